@@ -105,7 +105,8 @@ def pack(items: DataFrame, capacity: int = 1024, slack: int = 4, task_items: int
     bins = done[0]
     for more in done[1:]:
         bins = bins.unionByName(more)
-    bins = bins.select(F.monotonically_increasing_id().alias("sequence_id"), F.explode(_with_offsets("members")).alias("m"))
+    bins = bins.select(F.monotonically_increasing_id().alias("sequence_id"), _with_offsets("members").alias("members"))
+    bins = bins.select("sequence_id", F.explode("members").alias("m"))  # numbered before, not after
     return bins.select("m.doc_id", "m.piece", "m.start", "m.length", "m.ids_crc32", "sequence_id", "m.offset")
 
 
