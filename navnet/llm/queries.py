@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest, langid, licenses, packing
+from . import digest, langid, licenses, mixing, packing, secret_scan
 from .common import read
 
 
@@ -32,6 +32,16 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(read(spark, sf_dir, "documents")))
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(read(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda m, k=k: m["kind"] == k)).cast("bigint").alias(name) for k, name in enumerate(("n_assign", "n_access", "n_hex"))]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.listed("base"), 256).alias("base_sha256"), secret_scan.listed("spans").alias("spans"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
@@ -40,7 +50,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_fingerprints, op5_license_scan, op7_best_fit_packing, op10_language_id)}
+    return {f.__name__: f for f in (op2_fingerprints, op5_license_scan, op7_best_fit_packing, op8_source_mixing, op9_secret_scan, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
