@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest, langid, licenses, mixing, packing, secret_scan
+from . import digest, langid, licenses, mixing, ngram_join, packing, secret_scan
 from .common import read
 
 
@@ -13,6 +13,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.fingerprint_with_next(read(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(read(spark, sf_dir, "documents"))
     base = F.transform("base", lambda b: b["label"])
@@ -50,8 +54,26 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_fingerprints, op5_license_scan, op7_best_fit_packing, op8_source_mixing, op9_secret_scan, op10_language_id)}
+    return {f.__name__: f for f in (op2_fingerprints, op3_ngram_jaccard, op5_license_scan, op7_best_fit_packing, op8_source_mixing, op9_secret_scan, op10_language_id)}
+
+
+#: DuckDB, over the tables as views. Word lists and shingles are materialised once.
+OP3 = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS a FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT r, doc_id, CASE WHEN len(a) < 5 THEN array_to_string(a, ' ') ELSE array_to_string(a[i:i + 4], ' ') END AS t
+  FROM w, unnest(generate_series(1, greatest(len(a) - 4, least(len(a), 1)))) AS g(i)
+), n AS MATERIALIZED (SELECT r, any_value(doc_id) AS doc_id, count(*) AS n FROM s GROUP BY r
+), l AS MATERIALIZED (
+  SELECT x.r AS a, y.r AS b FROM s x JOIN s y ON x.t = y.t AND x.r <> y.r JOIN n p ON p.r = x.r JOIN n q ON q.r = y.r
+  GROUP BY x.r, y.r, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+), c AS (SELECT r AS a, r AS b FROM w UNION SELECT c.a, l.b FROM c JOIN l ON c.b = l.a
+)
+SELECT w.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(m.doc_id) AS component_id
+FROM w JOIN c ON c.a = w.r JOIN w m ON m.r = c.b LEFT JOIN n ON n.r = w.r GROUP BY w.r, w.doc_id
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_ngram_jaccard": OP3}
