@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest, langid, licenses, mixing, ngram_join, packing, secret_scan
+from . import digest, hpylm, langid, licenses, mixing, ngram_join, packing, secret_scan
 from .common import read
 
 
@@ -32,6 +32,11 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return hpylm.score(read(spark, sf_dir, "documents").withColumn("held_out", held_out))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(read(spark, sf_dir, "documents")))
 
@@ -54,7 +59,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_fingerprints, op3_ngram_jaccard, op5_license_scan, op7_best_fit_packing, op8_source_mixing, op9_secret_scan, op10_language_id)}
+    return {f.__name__: f for f in (op2_fingerprints, op3_ngram_jaccard, op5_license_scan, op6_lm_scoring, op7_best_fit_packing, op8_source_mixing, op9_secret_scan, op10_language_id)}
 
 
 #: DuckDB, over the tables as views. Word lists and shingles are materialised once.
