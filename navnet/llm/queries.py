@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest, hpylm, langid, licenses, mixing, ngram_join, packing, secret_scan
+from . import digest, hpylm, langid, licenses, materialise, mixing, ngram_join, packing, secret_scan, topk
 from .common import read
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return topk.similar(docs, docs.where("doc_id % 20 = 0"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.fingerprint_with_next(read(spark, sf_dir, "documents"))
 
@@ -17,6 +22,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise.materialise(read(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(read(spark, sf_dir, "documents"))
     base = F.transform("base", lambda b: b["label"])
@@ -59,7 +68,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_fingerprints, op3_ngram_jaccard, op5_license_scan, op6_lm_scoring, op7_best_fit_packing, op8_source_mixing, op9_secret_scan, op10_language_id)}
+    return {f.__name__: f for f in (op1_topk_search, op2_fingerprints, op3_ngram_jaccard, op4_training_order, op5_license_scan, op6_lm_scoring, op7_best_fit_packing, op8_source_mixing, op9_secret_scan, op10_language_id)}
 
 
 #: DuckDB, over the tables as views. Word lists and shingles are materialised once.
@@ -80,5 +89,51 @@ FROM w JOIN c ON c.a = w.r JOIN w m ON m.r = c.b LEFT JOIN n ON n.r = w.r GROUP
 """
 
 
+OP1 = r"""
+WITH w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM documents
+), o AS MATERIALIZED (SELECT doc_id, t AS term, count(*) AS tf, any_value(len(a)) AS size FROM w, unnest(a) AS u(t) GROUP BY doc_id, t
+), g AS (SELECT count(*)::DOUBLE AS n, sum(len(a)) / greatest(count(*), 1)::DOUBLE AS mean FROM w
+), d AS MATERIALIZED (SELECT term, count(*) AS df, ln((any_value(n) - count(*) + 0.5) / (count(*) + 0.5) + 1) AS idf FROM o, g GROUP BY term
+), q AS MATERIALIZED (
+  SELECT doc_id AS query_id, term FROM o JOIN d USING (term) WHERE doc_id % 20 = 0 AND df > 1
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(tf * idf * 1000000)::BIGINT DESC, encode(term)) <= 16
+), s AS (
+  SELECT query_id, o.doc_id, sum(round(idf * tf::DOUBLE * 2.2 / (tf::DOUBLE + 1.2 * (0.25 + 0.75 * size / mean)) * 1000000)::BIGINT)::BIGINT AS score
+  FROM q JOIN o USING (term) JOIN d USING (term), g GROUP BY query_id, o.doc_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 10
+"""
+#: Sources by their units, the phases of the mixture, and earliest deadline first over one period of each, slot by slot.
+OP8 = r"""
+WITH RECURSIVE r AS MATERIALIZED (
+  SELECT doc_id, source, coalesce('=' || source, '') AS src,
+    row_number() OVER (PARTITION BY coalesce('=' || source, '') ORDER BY md5(coalesce(doc_id::VARCHAR, ''))) - 1 AS rank FROM documents
+), o AS (SELECT src, count(*) AS n FROM r GROUP BY src
+), u AS (SELECT src, n, greatest(1, round(200 * sqrt(n) / sum(sqrt(n)) OVER ()))::BIGINT AS units, (n + 63) // 64 AS blocks FROM o
+), s AS MATERIALIZED (SELECT src, units, blocks // units AS cycles, blocks % units AS rest, row_number() OVER (ORDER BY encode(src)) AS i FROM u
+), e AS (SELECT DISTINCT cycles AS last FROM s WHERE cycles > 0
+), f AS (SELECT coalesce(lag(last) OVER (ORDER BY last), 0) AS first, last, false AS rest, row_number() OVER (ORDER BY last) AS phase FROM e
+  UNION ALL SELECT 0, 1, true, (SELECT count(*) FROM e) + 1
+), a AS MATERIALIZED (SELECT phase, f.first, f.last, f.rest AS is_rest, src, i, CASE WHEN f.rest THEN s.rest ELSE units END AS units
+  FROM f JOIN s ON CASE WHEN f.rest THEN s.rest > 0 ELSE s.cycles >= f.last END
+), p AS MATERIALIZED (SELECT phase, first, last, is_rest, sum(units)::BIGINT AS length, list(units ORDER BY i) AS us, list(src ORDER BY i) AS ss FROM a GROUP BY ALL
+), b AS (SELECT *, coalesce(sum((last - first) * length) OVER (ORDER BY phase ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin FROM p
+), t AS (
+  SELECT phase, length, us, -1::BIGINT AS pos, list_transform(us, lambda x: 0::BIGINT) AS done, 0::BIGINT AS pick FROM p
+  UNION ALL
+  SELECT phase, length, us, pos + 1, list_transform(done, lambda d, k: d + CASE WHEN k = g THEN 1 ELSE 0 END), g
+  FROM (SELECT *, list_min(list_transform(list_filter(generate_series(1, len(us)), lambda k: done[k] < us[k] AND done[k] * length // us[k] <= pos + 1),
+      lambda k: ((done[k] + 1) * length + us[k] - 1) // us[k] * 100000 + k)) % 100000 AS g FROM t WHERE pos + 1 < length) AS z
+), k AS (SELECT t.phase, b.ss[t.pick] AS src, t.pos, row_number() OVER (PARTITION BY t.phase, t.pick ORDER BY t.pos) - 1 AS k FROM t JOIN b USING (phase) WHERE t.pos >= 0
+)
+SELECT r.doc_id, r.source, r.rank, r.rank // 64 AS block, b.begin + CASE WHEN b.is_rest THEN 0 ELSE (r.rank // 64 // s.units - b.first) * b.length END + k.pos AS slot, (r.rank % 64)::INTEGER AS place
+FROM r JOIN s USING (src)
+JOIN b ON CASE WHEN r.rank // 64 // s.units >= s.cycles THEN b.is_rest ELSE NOT b.is_rest AND b.first <= r.rank // 64 // s.units AND r.rank // 64 // s.units < b.last END
+JOIN k ON k.phase = b.phase AND k.src = r.src AND k.k = r.rank // 64 % s.units
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_jaccard": OP3}
+    return {"op1_topk_search": OP1, "op8_source_mixing": OP8, "op3_ngram_jaccard": OP3}
