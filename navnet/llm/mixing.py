@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Sources a mixture may have: the driver never holds them, but one task folds over them.
-MAX_SOURCES = 10_000
+#: Sources a mixture may have. One task folds over them, and the schedule, which is broadcast to the rows, has at most a
+#: row for each slot of a period and phase: both bounded by this, not by the input.
+MAX_SOURCES = 1_000
 
 
 def _key(column: str) -> Column:
@@ -83,9 +84,15 @@ def mix(docs: DataFrame, block_rows: int = 64, units: int = 200, weights: dict[s
     places = places.withColumn("k", F.row_number().over(Window.partitionBy("phase", "src").orderBy("at")) - 1)
     by_source = phases.select("phase", "first", "last", "rest", "length", "begin", F.explode("active").alias("e")).groupBy(F.col("e.src").alias("src")).agg(F.collect_list(F.struct("phase", "first", "last", "rest", "length", "begin")).alias("phases"))
     sources = own.select("src", "units", "cycles").join(by_source, "src")
-    blocks = docs_in.withColumn("block", F.expr(f"rank div {block_rows}")).join(sources, "src")
+    blocks = docs_in.withColumn("block", F.expr(f"rank div {block_rows}")).join(F.broadcast(sources), "src")
     blocks = blocks.withColumn("cycle", F.expr("block div units")).withColumn("k", F.expr("cast(block - cycle * units as int)"))
     blocks = blocks.withColumn("p", F.expr("filter(phases, p -> if(cycle >= cycles, p.rest, not p.rest and p.first <= cycle and cycle < p.last))[0]"))
-    blocks = blocks.withColumn("phase", F.expr("p.phase")).join(places, ["phase", "src", "k"])
+    blocks = blocks.withColumn("phase", F.expr("p.phase")).join(F.broadcast(places), ["phase", "src", "k"])
     slot = F.expr("p.begin + if(p.rest, 0L, (cycle - p.first) * p.length) + at")
     return blocks.select(*keep, "rank", "block", slot.alias("slot"), F.expr(f"cast(rank % {block_rows} as int)").alias("place"))
+
+
+def in_order(docs: DataFrame, **how) -> DataFrame:
+    """docs, all rows and columns, sorted by their place in the mixture."""
+    mixed = mix(docs, keep=tuple(docs.columns), **how)
+    return mixed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(*docs.columns)

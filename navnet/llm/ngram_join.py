@@ -255,3 +255,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = rows.where(F.col("bucket").isNull()).select("doc_id", "n_shingles", "digest")
     out = own.join(classes, "digest", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").cast(kind).alias("component_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """docs, all columns, without the documents that link, directly or not, to one with a smaller doc_id. Of rows that
+    share doc_id and text one stays; rows without doc_id stay, once for each text."""
+    found = stored(near_duplicates(docs).select("doc_id", "component_id"), "ngram-found")
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    few = gone.count() <= 1_000_000  # ids; else both sides are shuffled
+    again = found.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id")
+    left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
+    if not again.limit(1).count():
+        return left
+    twice = left.where(F.col("doc_id").isNull()).unionByName(left.join(again, "doc_id", "left_semi").select(*docs.columns))
+    return left.where(F.col("doc_id").isNotNull()).join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(twice.dropDuplicates(["doc_id", "text"]))
