@@ -572,3 +572,18 @@ def line_lengths(t):
 def log_line_width(t):
     g = t.events.groupBy("event_type").agg(F.sum("value").alias("w"))
     return g.crossJoin(F.broadcast(g.agg(F.max("w").alias("m")))).select("event_type", F.round(S.line_width("w", "m"), 6).alias("width"))
+
+
+@query(None)
+def stream_counts(t):
+    """The events file as a stream, run to its end; rows only."""
+    import uuid
+
+    from ..streaming.positions import node_counts
+
+    rows = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t._dir)
+    own = rows.select(F.col("user_id").alias("vessel"), F.col("event_type").alias("node"), "ts")
+    name = f"stream_{uuid.uuid4().hex}"
+    run = node_counts(own, "1 day").writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return t.spark.table(name)
