@@ -78,6 +78,8 @@ class PpmModel:
 def train(samples: dict[str, list[bytes]]) -> PpmModel:
     """Trees of order 3 from lower-cased sample texts by language."""
     languages = sorted(samples)
+    if not languages:
+        return PpmModel([], np.zeros(256, np.int64), np.zeros(1, np.int32), np.zeros((1, 0), np.float32))
     joined = {k: np.frombuffer(b"".join(b"\n\n\n" + t for t in samples[k]) or b"\n\n\n", np.uint8) for k in languages}
     seen = np.unique(np.concatenate([*joined.values(), np.frombuffer(b"\n", np.uint8)]))
     a = len(seen) + 1  # the last symbol stands for every byte that no sample has
@@ -94,9 +96,7 @@ def train(samples: dict[str, list[bytes]]) -> PpmModel:
     probability: list[np.ndarray] = []  # by order: nodes x symbols x languages
     keys: list[np.ndarray] = []
     for order in range(4):
-        known = np.unique(np.concatenate([contexts(s, order) for s in texts.values()])) if texts else np.zeros(1, np.int64)
-        if order == 0 and not len(known):
-            known = np.zeros(1, np.int64)
+        known = np.unique(np.concatenate([contexts(s, order) for s in texts.values()]))
         shorter = np.full((len(known), a, len(languages)), 1.0 / a)
         if order:
             shorter = probability[-1][np.searchsorted(keys[-1], known % a ** (order - 1))].copy()

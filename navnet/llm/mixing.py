@@ -24,10 +24,10 @@ def _key(column: str) -> Column:
 
 
 def ranked(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """keep, and src, rank: the place from 0 of each row in its source, by md5(doc_id). A source is ranked in 256 parts
+    """_row (a struct of keep), src, rank: the place from 0 of each row in its source, by md5(doc_id). A source is ranked in 256 parts
     by the hash's first byte, and a part's offset is the count of those before it: no task has a whole source."""
     h = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    rows = docs.select(*dict.fromkeys(keep), _key("source").alias("src"), h.alias("h")).withColumn("part", F.substring("h", 1, 2))
+    rows = docs.select(F.struct(*dict.fromkeys(keep)).alias("_row"), _key("source").alias("src"), h.alias("h")).withColumn("part", F.substring("h", 1, 2))
     before = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("src", "part").count().select("src", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     own = F.row_number().over(Window.partitionBy("src", "part").orderBy("h"))
@@ -50,11 +50,18 @@ def period(sources: Column) -> Column:
 
 
 def mix(docs: DataFrame, block_rows: int = 64, units: int = 200, weights: dict[str, int] | None = None, keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
-    """keep, and rank, block, slot, place: where each row stands in the mixture (slots of block_rows places).
+    """keep, and rank, block, slot, place: where each row stands in the mixture (slots of block_rows places; these four
+    names win over columns of keep).
 
     weights: whole units of the sources; a source without one has 1. If None, a source has units in proportion to the
     square root of its rows, of `units` in all, and at least 1. Every row gets a place, repeated rows and those with null
     columns too. An empty table gives an empty result."""
+    placed = _placed(docs, block_rows, units, weights, keep)
+    added = ("rank", "block", "slot", "place")
+    return placed.select(*[F.col("_row")[c].alias(c) for c in dict.fromkeys(keep) if c not in added], *added)
+
+
+def _placed(docs: DataFrame, block_rows: int, units: int, weights: dict[str, int] | None, keep: tuple[str, ...]) -> DataFrame:
     docs_in = ranked(docs, keep)
     own = docs.groupBy(_key("source").alias("src")).count()
     if weights is None:
@@ -89,10 +96,10 @@ def mix(docs: DataFrame, block_rows: int = 64, units: int = 200, weights: dict[s
     blocks = blocks.withColumn("p", F.expr("filter(phases, p -> if(cycle >= cycles, p.rest, not p.rest and p.first <= cycle and cycle < p.last))[0]"))
     blocks = blocks.withColumn("phase", F.expr("p.phase")).join(F.broadcast(places), ["phase", "src", "k"])
     slot = F.expr("p.begin + if(p.rest, 0L, (cycle - p.first) * p.length) + at")
-    return blocks.select(*keep, "rank", "block", slot.alias("slot"), F.expr(f"cast(rank % {block_rows} as int)").alias("place"))
+    return blocks.select("_row", "rank", "block", slot.alias("slot"), F.expr(f"cast(rank % {block_rows} as int)").alias("place"))
 
 
-def in_order(docs: DataFrame, **how) -> DataFrame:
+def in_order(docs: DataFrame, block_rows: int = 64, units: int = 200, weights: dict[str, int] | None = None) -> DataFrame:
     """docs, all rows and columns, sorted by their place in the mixture."""
-    mixed = mix(docs, keep=tuple(docs.columns), **how)
-    return mixed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(*docs.columns)
+    mixed = _placed(docs, block_rows, units, weights, tuple(docs.columns))
+    return mixed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("_row.*")
