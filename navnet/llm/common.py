@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of [A-Z] as small letters, everything else as it is.
@@ -30,13 +32,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about `most` bytes of text at most, or one row: what a task holds at once is bounded, whatever
+    the texts' sizes."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype("int64")
+    part = (sizes.cumsum() - sizes) // most
+    at = 0
+    for n in np.unique(part, return_counts=True)[1].tolist():
+        yield batch.slice(at, n)
+        at += n
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
-    """df.mapInArrow of a function from one batch to a dict of columns; a batch is bounded by rows and by bytes."""
+    """df.mapInArrow of a function from one batch to a dict of columns; batches with texts come in slices."""
     names = [c.split()[0] for c in _fields(schema)]
     types = _arrow_types(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for b in batches for part in (slices(b) if "text" in b.schema.names else [b])):
             if batch.num_rows and (out := fn(batch)) is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(out[n], type=t) for n, t in zip(names, types, strict=True)], names=names)
 
