@@ -119,7 +119,7 @@ def survivors(rows: DataFrame) -> DataFrame:
     more than one document. rows: stored digests()."""
     lists = rows.where(F.col("bucket").isNotNull()).select("bucket", "batch", "tokens", "counts", "holders")
     parts = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    out = T.StructType.fromDDL("batch string, number int, more bigint")
+    out = T.StructType.fromDDL("batch string, hits binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, tokens, counts, holders = [], [], [], []
@@ -138,10 +138,23 @@ def survivors(rows: DataFrame) -> DataFrame:
         total = np.add.reduceat(count[order].astype(np.int64), edge)
         many = np.repeat(total > 1, np.diff(np.r_[edge, len(same)]))
         hit = order[many & (count[order] == 1)]
-        pair, n = np.unique(where[hit].astype(np.int64) << 32 | holder[hit], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in pair >> 32], pa.string()), pa.array((pair & 0xFFFFFFFF).astype(np.int32)), pa.array(n, pa.int64())], names=["batch", "number", "more"])
-
-    more = lists.repartitionById(parts, F.col("bucket")).mapInArrow(run, out).groupBy("batch", "number").agg(F.sum("more").alias("more"))
+        hit = hit[np.argsort(where[hit], kind="stable")]
+        batch, first = np.unique(where[hit], return_index=True)
+        groups = np.split(holder[hit], first[1:]) if len(batch) else []
+        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in batch], pa.string()), pa.array([g.tobytes() for g in groups], pa.binary())], names=["batch", "hits"])
+
+    def total(batch: pa.RecordBatch) -> dict:
+        """Of each batch of documents, how many of a document's tokens the buckets have found elsewhere."""
+        made: dict[str, list] = {"batch": [], "number": [], "more": []}
+        for name, hits in zip(batch.column("batch").to_pylist(), batch.column("hits").to_pylist(), strict=True):
+            number, n = np.unique(np.frombuffer(b"".join(hits), np.int32), return_counts=True)
+            for key, v in zip(made, ([name] * len(n), number.tolist(), n.tolist()), strict=True):
+                made[key] += v
+        return made
+
+    # a bucket's finds go back as one row for each batch; a batch holds at most its own prefix tokens
+    found = lists.repartitionById(parts, F.col("bucket")).mapInArrow(run, out).groupBy("batch").agg(F.collect_list("hits").alias("hits"))
+    more = arrow_map(found, total, "batch string, number int, more bigint").groupBy("batch", "number").agg(F.sum("more").alias("more"))
     sets = rows.where(F.col("digest").isNotNull())
     judged = sets.where(F.col("number").isNotNull()).join(more, ["batch", "number"], "left")
     # shared prefix tokens of x: 0.1 of the smaller set, which has 0.8 of x's at least
