@@ -7,9 +7,9 @@ linked sets share a rare token there, or two frequent ones. What meets under a k
 
 1. Equal sets are one class. 2. A bounded-memory pass (`survivors`) finds the classes that can link at all: by the same
 prefix argument with k in proportion to the set and tokens in order of their hashes, these share much of their prefix.
-3. The index is built on the survivors. 4. Small keys give all their pairs. Under large keys (a group of near copies) a
-few pivots are compared with all, which leaves one component there for the most part; then all pairs that are still in
-different components are compared. So no link between different components is ever missed, and a group's pairs are never
+3. The index is built on the survivors. 4. Small keys give all their pairs. Under large keys (a group of near copies) the
+members outside the largest component are compared with a few pivots of it, which leaves one component there for the most
+part; then all pairs that are still in different components are compared. So no link between different components is ever missed, and a group's pairs are never
 listed out. 5. Components of the verified links.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from ..operators.components import components
 from .common import arrow_map, stored
 
-FREQUENT, SMALL, PIVOTS, ROUNDS = 64, 32, 8, 2
+FREQUENT, SMALL, PIVOTS, ROUNDS, LIST = 64, 16, 12, 2, 64
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -185,7 +185,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(100 * F.col("i") >= 80 * (F.size("ta") + F.size("tb") - F.col("i"))).select("a", "b")
 
 
-def link_classes(sets: DataFrame, heavy: int = 128) -> DataFrame:
+def link_classes(sets: DataFrame, heavy: int = 16) -> DataFrame:
     """id, component of every set (id, n, tokens) that links to another; components by smallest id."""
     spark = sets.sparkSession
     tokens = sets.select("id", "n", F.explode("tokens").alias("token"))
@@ -208,14 +208,9 @@ def link_classes(sets: DataFrame, heavy: int = 128) -> DataFrame:
     wide = index.groupBy("key", F.col("kind") > 0).agg(F.count(F.lit(1)).alias("size"), F.max("kind").alias("top")).withColumnRenamed("(kind > 0)", "alone")
     wide = wide.where((F.col("size") > 1) & (~F.col("alone") | (F.col("top") == 2))).select("key", "alone", "size")
     index = stored(index.withColumn("alone", F.col("kind") > 0).join(wide, ["key", "alone"]), "ngram-index")
-    fits = (100 * F.least("x.n", "y.n") >= 80 * F.greatest("x.n", "y.n")) & ((F.col("x.kind") != 1) | (F.col("y.kind") != 1))
-
-    def met(left: DataFrame, right: DataFrame, extra) -> DataFrame:
-        pairs = left.alias("x").join(right.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.alone") == F.col("y.alone")) & fits & extra)
-        return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-
     small, large = index.where(F.col("size") <= SMALL), index.where(F.col("size") > SMALL)
-    links = stored(_verified(met(small, small, F.col("x.id") < F.col("y.id")), sets), "ngram-links")
+    alone = lambda df: df.withColumn("component", F.col("id"))
+    links = stored(_verified(_met(alone(small), alone(small)), sets), "ngram-links")
     if not large.limit(1).count():
         return components(links, "a", "b").select(F.col("node").alias("id"), "component")
     for k in range(ROUNDS + 1):
@@ -227,14 +222,25 @@ def link_classes(sets: DataFrame, heavy: int = 128) -> DataFrame:
         if not own.limit(1).count():
             return labels
         minor = own.where(F.col("component") != F.col("most"))
-        apart = F.col("x.component") != F.col("y.component")
         if k < ROUNDS:  # the pivots of a key are its members outside the largest component with the smallest hashes
             turn = Window.partitionBy("key", "alone").orderBy(F.xxhash64("id", F.lit(k)), "id")
             minor = minor.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= PIVOTS)
-        links = stored(links.union(_verified(met(minor, own, apart), sets)), "ngram-links")
+        links = stored(links.union(_verified(_met(minor, own), sets)), "ngram-links")
     return components(links, "a", "b").select(F.col("node").alias("id"), "component")
 
 
+def _met(few: DataFrame, many: DataFrame) -> DataFrame:
+    """a, b of the pairs of different components that meet under a key, one of them from `few`, and may link by their
+    sizes. A key's few go to its many as lists of about LIST, and a set's partners under all its keys are made distinct
+    before they are rows: a pair that meets under many keys is one row."""
+    lists = few.join(few.groupBy("key", "alone").count(), ["key", "alone"]).withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.ceil(F.col("count") / LIST)))
+    lists = lists.groupBy("key", "alone", "part").agg(F.collect_list(F.struct("id", "n", "kind", "component")).alias("few"))
+    fits = F.expr("filter(few, p -> p.id <> id and p.component <> component and (p.kind <> 1 or kind <> 1) and 100 * least(p.n, n) >= 80 * greatest(p.n, n))")
+    met = many.join(lists, ["key", "alone"]).select("id", F.transform(fits, lambda p: p["id"]).alias("others")).where(F.size("others") > 0)
+    pairs = met.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others")).select("id", F.explode("others").alias("other"))
+    return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs, whole texts.
 
