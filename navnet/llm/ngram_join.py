@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from ..operators.components import components
 from .common import arrow_map, stored
 
-FREQUENT, SMALL, PIVOTS, ROUNDS, LIST = 64, 16, 12, 2, 64
+FREQUENT, SMALL, PIVOTS, ROUNDS, LIST = 64, 4, 4, 2, 64
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -221,11 +221,11 @@ def link_classes(sets: DataFrame, heavy: int = 16) -> DataFrame:
         own = stored(own.join(most, ["key", "alone"]), "ngram-open")
         if not own.limit(1).count():
             return labels
-        minor = own.where(F.col("component") != F.col("most"))
-        if k < ROUNDS:  # the pivots of a key are its members outside the largest component with the smallest hashes
+        minor, few = own.where(F.col("component") != F.col("most")), own
+        if k < ROUNDS:  # a key's pivots are members of its largest component, by the smallest hashes, new ones each round
             turn = Window.partitionBy("key", "alone").orderBy(F.xxhash64("id", F.lit(k)), "id")
-            minor = minor.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= PIVOTS)
-        links = stored(links.union(_verified(_met(minor, own), sets)), "ngram-links")
+            few = own.where(F.col("component") == F.col("most")).withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= PIVOTS)
+        links = stored(links.union(_verified(_met(few, minor), sets)), "ngram-links")
     return components(links, "a", "b").select(F.col("node").alias("id"), "component")
 
 
