@@ -8,7 +8,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: Bytes of [A-Z] as small letters, everything else as it is.
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -32,6 +33,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """df with the column `name`: the place from 0 of each row in the table's order.
+
+    Of files as read, that is the order in which one write made them: by the number in a file's name, then by row (a scan
+    deals files to tasks by size, so its partitions don't tell). Of anything else, it is the order of the partitions."""
+    if df._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation":
+        file = F.col("_metadata.file_name")
+        part = F.struct(F.regexp_extract(file, r"part-(\d+)", 1).try_cast("bigint").alias("number"), file.alias("file"))
+        rows = df.select("*", part.alias("_part"), F.col("_metadata.row_index").alias("_own"))
+    else:
+        rows = stored(df.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+        rows = rows.withColumns({"_part": F.shiftright("_id", 33), "_own": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id")
+    # One row for each file or partition: the running sum is over these alone.
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy("_part").count().select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + F.col("_own")).drop("_part", "_own", "_before")
+
+
 def slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about `most` bytes of text at most, or one row: what a task holds at once is bounded, whatever
     the texts' sizes."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -19,6 +20,8 @@ from .common import arrow_map, stored
 from .tokens import encoder, public_vocabulary
 
 TASK_ITEMS = 200_000
+#: Documents whose pieces are packed together where their order counts.
+WINDOW = 2_048
 _MEMBER = "struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint>"
 
 
@@ -46,15 +49,18 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, vocabulary: tuple[str, str] | None = None) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, vocabulary: tuple[str, str] | None = None, order: str | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every whole text's ids and then end_id (null text: empty). Documents over
-    capacity are cut into pieces of capacity, of which the first may be shorter. Repeated rows give repeated pieces."""
+    capacity are cut into pieces of capacity, of which the first may be shorter. Repeated rows give repeated pieces.
+    order: a column of docs that the pieces keep, as the column at."""
     path, pattern = vocabulary or public_vocabulary()
     end = end_id.to_bytes(4, "little")
+    kept = order is not None
 
     def run(batch: pa.RecordBatch) -> dict:
         encode = encoder(path, pattern).encode
         out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
+        counts = []
         for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             ids = encode(text or "") + end
             n = len(ids) // 4
@@ -62,9 +68,11 @@ def pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, vocabulary: t
             for k, (a, b) in enumerate(zip(starts, [*starts[1:], n], strict=True)):
                 for name, v in zip(out, (i, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b])), strict=True):
                     out[name].append(v)
-        return out
+            counts.append(len(starts))
+        return out | ({"at": np.repeat(batch.column("at").to_numpy(), counts)} if kept else {})
 
-    return arrow_map(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + (", at bigint" if kept else "")
+    return arrow_map(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *([F.col(order).cast("bigint").alias("at")] if kept else [])), run, schema)
 
 
 def pack(items: DataFrame, capacity: int = 1024, slack: int = 4, task_items: int = TASK_ITEMS) -> DataFrame:
@@ -115,3 +123,29 @@ def _with_offsets(name: str):
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.expr("cast(array() as array<struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint,offset:bigint>>)").alias("out"))
     step = lambda acc, m: F.struct((acc["at"] + m["length"]).alias("at"), F.concat(acc["out"], F.array(F.struct(m["doc_id"].alias("doc_id"), m["piece"].alias("piece"), m["start"].alias("start"), m["length"].alias("length"), m["ids_crc32"].alias("ids_crc32"), acc["at"].alias("offset")))).alias("out"))
     return F.aggregate(name, start, step, lambda acc: acc["out"])
+
+
+def pack_in_order(items: DataFrame, capacity: int = 1024, window: int = WINDOW) -> DataFrame:
+    """The rows of items (columns of pieces(), with at: the documents' places from 0), each with sequence_id and offset.
+
+    Only pieces of the same `window` consecutive places share a sequence, best-fit; sequences are numbered by window, and
+    in a window by the first of their members. So the documents come in the order of their places, to within a window,
+    however many there are. An empty table gives an empty result."""
+    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in ("at", "piece", "doc_id")])
+        lengths = table.column("length").to_pylist()
+        bins = sorted(best_fit(lengths, capacity), key=min)
+        first = table.column("window")[0].as_py() << 33
+        taken = table.select(["doc_id", "piece", "start", "length", "ids_crc32"]).take(pa.array([i for b in bins for i in b], pa.int64()))
+        number, offset = [], []
+        for k, b in enumerate(bins):
+            at = 0
+            for i in b:
+                number.append(first + k)
+                offset.append(at)
+                at += lengths[i]
+        return taken.append_column("sequence_id", pa.array(number, pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
+
+    return items.withColumn("window", F.expr(f"at div {window}")).groupBy("window").applyInArrow(run, schema)

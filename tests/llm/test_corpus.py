@@ -351,6 +351,31 @@ def test_pipeline_stages(spark, docs, rows, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.packed(spark, four, path).collect()} == lead
 
 
+def test_sequences_follow_the_mixture(spark, tmp_path, monkeypatch):
+    """Windows of sequences hold the documents of consecutive places, so each source keeps to its weight."""
+    rng = random.Random(13)
+    n = {"a": 1600, "b": 400}
+    rows = [(i, " ".join(["word"] * rng.choice([2, 20, 300])), "en", "a" if i < n["a"] else "b", 1) for i in range(sum(n.values()))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    monkeypatch.setattr(mixing.in_order, "__defaults__", (4, 3, None))
+    monkeypatch.setattr(packing.pack_in_order, "__defaults__", (1024, 60))
+    place = {r.doc_id: 4 * r.slot + r.place for r in mixing.mix(docs, block_rows=4, units=3).collect()}
+    want = [i for _, i in sorted((p, i) for i, p in place.items())]
+    mixed = corpus_pipeline.mixture(spark, docs, str(tmp_path))
+    for four in (mixed, corpus_pipeline.stored(mixed, "test-mixture")):
+        got = sorted((r.sequence_id, r.offset, r.doc_id, r.length) for r in corpus_pipeline.packed(spark, four, str(tmp_path)).collect())
+        order = [r[2] for r in got]
+        assert all(sorted(order[k : k + 60]) == sorted(want[k : k + 60]) for k in range(0, len(want), 60))
+        used = Counter()
+        for s, _, _, length in got:
+            used[s] += length
+        assert max(used.values()) <= 1024
+        seen = Counter()
+        for k in range(0, 1200, 60):  # units 2 and 1: two thirds are a's until b runs out
+            seen.update("a" if i < n["a"] else "b" for i in order[k : k + 60])
+            assert abs(seen["a"] - 2 / 3 * (k + 60)) <= 4
+
+
 def test_pipeline_of_an_empty_table(spark, empty, tmp_path):
     empty.write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
