@@ -10,11 +10,16 @@ fill a whole period are mixed in a last one, so every row is kept.
 
 from __future__ import annotations
 
+import heapq
+from collections import defaultdict
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Sources a mixture may have. One task folds over them, and the schedule, which is broadcast to the rows, has at most a
-#: row for each slot of a period and phase: both bounded by this, not by the input.
+#: Sources (counted first) that one task folds over; the schedule, which is broadcast to the rows, has at most a row for
+#: each slot of a period and phase: both bounded by this, not by the input. With more, the schedule is a table of all
+#: blocks, joined by a shuffle, and each phase's period is made in a task of its own.
 MAX_SOURCES = 1_000
 
 
@@ -49,6 +54,48 @@ def period(sources: Column) -> Column:
     )
 
 
+def earliest_deadlines(units: list[int]) -> list[int]:
+    """period() by a heap: the source (index into units) of each slot of one period."""
+    n, done, out = sum(units), [0] * len(units), []
+    ready: list[tuple[int, int]] = []
+    released = defaultdict(list, {0: list(range(len(units)))})
+    for t in range(n):
+        for i in released.pop(t, ()):
+            heapq.heappush(ready, (-(-(done[i] + 1) * n // units[i]), i))
+        i = heapq.heappop(ready)[1]
+        out.append(i)
+        done[i] += 1
+        if done[i] < units[i]:
+            released[max(t + 1, done[i] * n // units[i])].append(i)
+    return out
+
+
+def _scheduled(own: DataFrame) -> DataFrame:
+    """src, block, slot of every block, by the rules of _placed(), for any number of sources (own: src, units, cycles,
+    rest). The phases are at most as many as the root of twice the blocks, and their slots in all as the blocks."""
+    ends = own.where("cycles > 0").select(F.col("cycles").alias("last")).distinct()
+    by_end, earlier = Window.partitionBy(F.lit(0)).orderBy("last"), Window.partitionBy(F.lit(0)).orderBy("is_rest", "last").rowsBetween(Window.unboundedPreceding, -1)
+    phases = ends.select(F.coalesce(F.lag("last").over(by_end), F.lit(0)).alias("first"), "last", F.lit(False).alias("is_rest"))
+    phases = phases.union(own.sparkSession.range(1).select(F.lit(0).cast("bigint"), F.lit(1).cast("bigint"), F.lit(True)))
+    active = own.join(F.broadcast(phases), F.expr("if(is_rest, rest > 0, cycles >= last)"))
+    active = active.select("first", "last", "is_rest", "src", F.expr("cast(if(is_rest, rest, units) as bigint)").alias("units"), F.expr("if(is_rest, cycles, first) * units").alias("base"))
+    lengths = active.groupBy("first", "last", "is_rest").agg(F.sum("units").alias("length"))
+    lengths = lengths.withColumn("begin", F.coalesce(F.sum(F.expr("(last - first) * length")).over(earlier), F.lit(0)))
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("src")
+        picks = earliest_deadlines(table.column("units").to_pylist())
+        count, k = [0] * table.num_rows, []
+        for i in picks:
+            k.append(count[i])
+            count[i] += 1
+        return table.take(pa.array(picks, pa.int64())).append_column("at", pa.array(range(len(picks)), pa.int64())).append_column("k", pa.array(k, pa.int64()))
+
+    places = active.groupBy("last", "is_rest").applyInArrow(run, "first bigint, last bigint, is_rest boolean, src string, units bigint, base bigint, at bigint, k bigint")
+    places = places.join(F.broadcast(lengths), ["first", "last", "is_rest"]).withColumn("c", F.explode(F.expr("sequence(0L, last - first - 1)")))
+    return places.select("src", F.expr("base + c * units + k").alias("block"), F.expr("begin + c * length + at").alias("slot"))
+
+
 def mix(docs: DataFrame, block_rows: int = 64, units: int = 200, weights: dict[str, int] | None = None, keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
     """keep, and rank, block, slot, place: where each row stands in the mixture (slots of block_rows places; these four
     names win over columns of keep).
@@ -72,8 +119,11 @@ def _placed(docs: DataFrame, block_rows: int, units: int, weights: dict[str, int
         given = F.create_map(*[x for k, v in weights.items() for x in (F.lit("=" + k), F.lit(v))]) if weights else F.expr("cast(map() as map<string,int>)")
         own = own.withColumn("units", F.coalesce(F.try_element_at(given, F.col("src")), F.lit(1)).cast("int"))
     own = own.withColumn("blocks", F.ceil(F.col("count") / block_rows)).withColumn("cycles", F.expr("blocks div units")).withColumn("rest", (F.col("blocks") - F.col("cycles") * F.col("units")).cast("int"))
+    place = F.expr(f"cast(rank % {block_rows} as int)").alias("place")
+    if own.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
+        blocks = docs_in.withColumn("block", F.expr(f"rank div {block_rows}")).join(_scheduled(own), ["src", "block"])
+        return blocks.select("_row", "rank", "block", "slot", place)
     one = own.groupBy().agg(F.sort_array(F.collect_list(F.struct("src", "units", "cycles", "rest"))).alias("all"))
-    one = one.where(F.when(F.size("all") <= MAX_SOURCES, True).otherwise(F.raise_error(F.lit(f"more than {MAX_SOURCES} sources")).cast("boolean")))
     # A phase: the cycles [first, last) in which the same sources are active; the last one has the rests, and one cycle.
     ends = one.select("all", F.expr("array_sort(array_distinct(filter(transform(all, e -> e.cycles), c -> c > 0)))").alias("ends"))
     phases = ends.select("all", F.expr("transform(ends, (e, i) -> named_struct('first', if(i = 0, 0L, ends[i - 1]), 'last', e, 'rest', false))").alias("p"))
@@ -96,7 +146,7 @@ def _placed(docs: DataFrame, block_rows: int, units: int, weights: dict[str, int
     blocks = blocks.withColumn("p", F.expr("filter(phases, p -> if(cycle >= cycles, p.rest, not p.rest and p.first <= cycle and cycle < p.last))[0]"))
     blocks = blocks.withColumn("phase", F.expr("p.phase")).join(F.broadcast(places), ["phase", "src", "k"])
     slot = F.expr("p.begin + if(p.rest, 0L, (cycle - p.first) * p.length) + at")
-    return blocks.select("_row", "rank", "block", slot.alias("slot"), F.expr(f"cast(rank % {block_rows} as int)").alias("place"))
+    return blocks.select("_row", "rank", "block", slot.alias("slot"), place)
 
 
 def in_order(docs: DataFrame, block_rows: int = 64, units: int = 200, weights: dict[str, int] | None = None) -> DataFrame:

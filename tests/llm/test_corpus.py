@@ -263,6 +263,19 @@ def test_mixture_with_given_weights(spark):
         assert abs(seen["a"] - 0.75 * (t + 1)) < 1
 
 
+def test_mixture_of_many_sources(spark, monkeypatch):
+    """Above MAX_SOURCES the schedule is a table, with the same rows."""
+    n = {"a": 300, "b": 130, "c": 40, None: 9}
+    few = spark.createDataFrame([(1000 * k + i, s) for k, (s, c) in enumerate(n.items()) for i in range(c)], "doc_id bigint, source string")
+    want = sorted(map(tuple, mixing.mix(few, block_rows=4, units=20).collect()))
+    many = spark.createDataFrame([(i, f"s{i % 1003}") for i in range(2010)], "doc_id bigint, source string")
+    got = mixing.mix(many, block_rows=1).collect()
+    assert sorted(r.doc_id for r in got) == list(range(2010)) and sorted(r.slot for r in got) == list(range(2010))
+    assert len({r.source for r in got if r.slot < 1003}) == 1003  # units of 1: each once in a period
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
+    assert sorted(map(tuple, mixing.mix(few, block_rows=4, units=20).collect())) == want
+
+
 def test_mixture_of_odd_tables(docs, empty, clashing, rows):
     assert mixing.mix(docs).count() == len(rows) and mixing.mix(empty).count() == 0
     again = mixing.in_order(clashing)
