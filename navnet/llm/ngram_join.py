@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,8 +67,14 @@ def needed(n: int) -> int:
     return -(-8 * n // 10)
 
 
+def text_key() -> Column:
+    """Names the text of a row that has no doc_id to name it by; null in other rows."""
+    return F.when(F.col("doc_id").isNull(), F.md5("text"))
+
+
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest (of the set; null if empty), and what survivors() counts: bucket lists of prefix tokens.
+    """doc_id, n_shingles, digest (of the set; null if empty), key (text_key()), and what survivors() counts: bucket lists
+    of prefix tokens.
 
     Rows of two kinds: a row for each document (bucket null), and for each batch and bucket of hashes the tokens that
     stand in the batch's prefixes, with how often, and their document if that is once."""
@@ -103,20 +109,20 @@ def digests(docs: DataFrame) -> DataFrame:
             number = {i: j for j, i in enumerate(chosen)}
             columns = [
                 pa.array([*ids, *[None] * m], pa_id), pa.array([*(len(s) for s in sets), *[None] * m], pa.int64()), pa.array([*keys, *[None] * m], pa.binary()),
-                pa.array([*(known.get(i, 0) for i in range(n)), *[None] * m], pa.int64()), pa.array([name] * (n + m)), pa.array([*(number.get(i) for i in range(n)), *[None] * m], pa.int32()),
+                pa.array([*(known.get(i, 0) for i in range(n)), *[None] * m], pa.int64()), pa.array([*batch.column("key").to_pylist(), *[None] * m], pa.string()), pa.array([name] * (n + m)), pa.array([*(number.get(i) for i in range(n)), *[None] * m], pa.int32()),
                 pa.array([*[None] * n, *(x[0] for x in lists)], pa.int32()), *(pa.array([*[None] * n, *(x[k] for x in lists)], pa.binary()) for k in (1, 2, 3)),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = f"doc_id {kind}, n_shingles bigint, digest binary, known bigint, batch string, number int, bucket int, tokens binary, counts binary, holders binary"
+    schema = f"doc_id {kind}, n_shingles bigint, digest binary, known bigint, key string, batch string, number int, bucket int, tokens binary, counts binary, holders binary"
     names = [x.split()[0] for x in schema.split(", ")]
     pa_id = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text", text_key().alias("key")).mapInArrow(run, schema)
 
 
 def survivors(rows: DataFrame) -> DataFrame:
-    """digest, rep (smallest doc_id), may of the classes of equal sets that may link to another (may), and of those with
-    more than one document. rows: stored digests()."""
+    """digest, rep (smallest doc_id), key (the smallest of rows without one), may of the classes of equal sets that may link
+    to another (may), and of those with more than one document. rows: stored digests()."""
     lists = rows.where(F.col("bucket").isNotNull()).select("bucket", "batch", "tokens", "counts", "holders")
     parts = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     out = T.StructType.fromDDL("batch string, hits binary")
@@ -159,9 +165,9 @@ def survivors(rows: DataFrame) -> DataFrame:
     judged = sets.where(F.col("number").isNotNull()).join(more, ["batch", "number"], "left")
     # shared prefix tokens of x: 0.1 of the smaller set, which has 0.8 of x's at least
     may = judged.where(100 * (F.col("known") + F.coalesce("more", F.lit(0))) >= 8 * F.col("n_shingles")).select("digest").distinct()
-    classes = sets.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"))
+    classes = sets.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("key").alias("key"), F.count(F.lit(1)).alias("size"))
     marked = classes.join(may.withColumn("may", F.lit(True)), "digest", "left").withColumn("may", F.coalesce("may", F.lit(False)))
-    return marked.where("may or size > 1").select("digest", "rep", "may")
+    return marked.where("may or size > 1").select("digest", "rep", "key", "may")
 
 
 def _keys(n: int, tokens: list[tuple[int, int]], heavy: int) -> list[tuple[int, int]]:
@@ -241,12 +247,8 @@ def _met(few: DataFrame, many: DataFrame) -> DataFrame:
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of docs, whole texts.
-
-    component_id: the smallest doc_id reachable by links, itself included. A text that is null, empty or without words
-    has an empty set, links with nothing and is its own component; so is a row without doc_id where nothing it reaches
-    has one (null). Rows with equal doc_id are documents of their own that share it. An empty table gives none."""
+def _found(docs: DataFrame) -> DataFrame:
+    """near_duplicates(), and the key of rows without doc_id."""
     rows = stored(digests(docs), "ngram-sets")
     alive = stored(survivors(rows), "ngram-classes")
     ids = alive.where(F.col("may") & F.col("rep").isNotNull()).select(F.col("rep").alias("doc_id"), F.col("digest").alias("wanted"))
@@ -263,28 +265,45 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # Few rows survive; their ids are broadcast only if there are at most a million, else both sides are shuffled.
     few = ids.count() <= 1_000_000
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id")
-    sets = arrow_map(texts.select("text", "wanted"), run, "digest binary, n bigint, tokens array<bigint>").dropDuplicates(["digest"])
+    texts = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id").select("text", "wanted")
+    # Classes of rows without doc_id alone: their texts by key.
+    keys = alive.where(F.col("may") & F.col("rep").isNull()).select("key", F.col("digest").alias("wanted"))
+    if n := keys.count():
+        nameless = docs.where(F.col("doc_id").isNull()).select("text", text_key().alias("key"))
+        texts = texts.union(nameless.join(F.broadcast(keys) if n <= 1_000_000 else keys, "key").select("text", "wanted"))
+    sets = arrow_map(texts, run, "digest binary, n bigint, tokens array<bigint>").dropDuplicates(["digest"])
     sets = stored(sets.select(F.xxhash64("digest").alias("id"), "digest", "n", "tokens"), "ngram-tokens")
     found = link_classes(sets)
     named = sets.select("id", "digest").join(found, "id").join(alive.select("digest", "rep"), "digest")
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     linked = named.join(least, "component").select("digest", "component_id")
     classes = alive.join(linked, "digest", "left").select("digest", F.coalesce("component_id", "rep").alias("component_id"))
-    own = rows.where(F.col("bucket").isNull()).select("doc_id", "n_shingles", "digest")
+    own = rows.where(F.col("bucket").isNull()).select("doc_id", "n_shingles", "digest", "key")
     out = own.join(classes, "digest", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").cast(kind).alias("component_id"))
+    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").cast(kind).alias("component_id"), "key")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of docs, whole texts.
+
+    component_id: the smallest doc_id reachable by links, itself included. A text that is null, empty or without words
+    has an empty set, links with nothing and is its own component; so is a row without doc_id where nothing it reaches
+    has one (null). Rows with equal doc_id are documents of their own that share it. An empty table gives none."""
+    return _found(docs).drop("key")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs, all columns, without the documents that link, directly or not, to one with a smaller doc_id. Of rows that
-    share doc_id and text one stays; rows without doc_id stay, once for each text."""
-    found = stored(near_duplicates(docs).select("doc_id", "component_id"), "ngram-found")
+    share doc_id and text one stays. Rows without doc_id go if they link to one that has one, else stay, once for each text."""
+    found = stored(_found(docs).select("doc_id", "component_id", "key"), "ngram-found")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     few = gone.count() <= 1_000_000  # ids; else both sides are shuffled
     again = found.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id")
     left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
     if not again.limit(1).count():
         return left
-    twice = left.where(F.col("doc_id").isNull()).unionByName(left.join(again, "doc_id", "left_semi").select(*docs.columns))
+    lost = found.where("doc_id is null and component_id is not null").select("key").distinct()
+    nameless = left.where(F.col("doc_id").isNull())
+    nameless = nameless.withColumn("_key", text_key()).join(lost, F.col("_key") == lost["key"], "left_anti").select(*docs.columns)
+    twice = nameless.unionByName(left.join(again, "doc_id", "left_semi").select(*docs.columns))
     return left.where(F.col("doc_id").isNotNull()).join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(twice.dropDuplicates(["doc_id", "text"]))

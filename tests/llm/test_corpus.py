@@ -51,6 +51,21 @@ def test_ngram_join_matches_all_pairs(docs, rows):
     assert joined(docs) == groups(rows)
 
 
+def test_ngram_join_of_rows_without_id(spark):
+    """A near copy without id, a bridge without id between two documents, and a pair of rows without id."""
+    w = [f"w{i}" for i in range(200)]
+    changed = lambda own, *at: " ".join("x" + v if i in at else v for i, v in enumerate(own))
+    one, two, three = w, [f"b{v}" for v in w], [f"c{v}" for v in w]
+    texts = [(1, " ".join(one)), (None, changed(one, 7)), (None, changed(one, 7)), (2, changed(two, 10, 60)), (None, " ".join(two)), (3, changed(two, 110, 160)), (None, " ".join(three)), (None, changed(three, 90)), (4, "another text that links with none of them"), (None, None)]
+    rows = [(i, t, None, f"s{k}", None) for k, (i, t) in enumerate(texts)]
+    want = groups(rows)
+    assert {i: c for i, _, c in want if i} == {1: 1, 2: 2, 3: 2, 4: 4} and sum(c is not None for i, _, c in want if i is None) == 3
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    assert joined(df) == want
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns and sorted(r.source for r in kept.collect()) == ["s0", "s3", "s6", "s7", "s8", "s9"]
+
+
 def test_ngram_join_of_frequent_tokens(spark, monkeypatch):
     """Small bounds: every class of tokens, pairs of frequent ones, heavy sets, pivots and what they leave."""
     rng = random.Random(8)
