@@ -11,8 +11,8 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,21 +89,24 @@ def fingerprint_with_next(docs: DataFrame) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     rows = docs.select(F.col("doc_id"), F.col("text"))
     tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shares = [(k + 1) / tasks for k in range(tasks)]
-    bounds = sorted(set(rows.agg(F.percentile_approx("doc_id", shares, 100 * tasks)).first()[0] or ()))
-    cuts = np.array(bounds[:-1], dtype=np.int64)
-    last, top = len(cuts), bounds[-1] if bounds else None
-
-    @F.pandas_udf("array<int>")
-    def ranges(ids: pd.Series) -> pd.Series:
+    known = rows.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("i"))
+    # bounds are ids of the table: even steps through those with the smallest hashes, and the largest of all
+    some = sorted({r.i for r in known.orderBy(F.xxhash64("i"), "i").limit(64 * tasks).collect()})
+    top = known.agg(F.max("i")).first()[0]
+    cuts = np.array(sorted({some[len(some) * k // tasks] for k in range(1, tasks)} - {top}) if some else [], np.int64)
+    last = len(cuts)
+
+    @F.arrow_udf("array<int>")
+    def ranges(ids: pa.Array) -> pa.Array:
         """The range of an id; then, as -1 - range, the one whose last row it follows."""
-        own = np.where(ids.isna(), 0, np.searchsorted(cuts, ids.fillna(0).astype(np.int64)))
+        known = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)  # whole numbers throughout: ids may be over 2**53
+        own = np.where(pc.is_null(ids).to_numpy(zero_copy_only=False), 0, np.searchsorted(cuts, known))
         out = [[int(k)] for k in own]
-        for i in np.flatnonzero(ids.isin([*cuts.tolist(), *([] if top is None else [top])]).to_numpy()):
-            out[i].append(-1 if ids.iloc[i] == top else -2 - int(own[i]))
-        return pd.Series(out)
+        edge = np.isin(known, [*cuts.tolist(), top]) & pc.is_valid(ids).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(edge):
+            out[i].append(-1 if known[i] == top else -2 - int(own[i]))
+        return pa.array(out, pa.list_(pa.int32()))
 
-    # cast: mixed nulls come to pandas as floats, which hold ids only up to 2**53
     dealt = rows.withColumn("to", F.explode(ranges(F.col("doc_id").cast("bigint")))) if last else rows.withColumn("to", F.explode(F.array(F.lit(0), F.lit(-1))))
     dealt = dealt.withColumn("ahead", F.col("to") < 0).withColumn("range", F.when(F.col("to") < 0, -1 - F.col("to")).otherwise(F.col("to")))
     if not last:  # one range: only the first row follows the last, which the task knows itself
