@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 
 import numpy as np
@@ -15,22 +16,29 @@ _LONGEST, _MOST = 48, 400_000
 
 class Encoder:
     """encode(text): little-endian unsigned 32-bit ids as bytes, as the tokenizers library gives them for the same
-    vocabulary, special tokens' strings being ordinary text. The vocabulary's pattern never joins a single space to what
+    vocabulary. specials: strings that are one id each wherever they stand; without, all strings are ordinary text. The vocabulary's pattern never joins a single space to what
     stands before it, so a text is cut at such spaces and each piece is encoded by itself; pieces are mostly words, and
     are kept (at most _MOST of at most _LONGEST characters)."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, specials: tuple[tuple[str, int], ...] = ()):
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._ids = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self._known: dict[str, bytes] = {}
+        self._special = {s: i.to_bytes(4, "little") for s, i in specials}
+        self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")") if specials else None
 
     def _bytes(self, text: str) -> bytes:
         return np.array(self._ids(text), "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
+        if self._cut and self._cut.search(text):
+            return b"".join(self._special.get(part) or self._plain(part) for part in self._cut.split(text))
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         head, *rest = _CUT.split(text) if _ODD.search(text) else text.split(" ")
         known = self._known
         out = [self._bytes(head)] if head else []
@@ -46,14 +54,14 @@ class Encoder:
         return b"".join(out)
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, pattern: str) -> Encoder:
-    """One for each Python worker."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = Encoder(path, pattern)
-    return _ENCODERS[path, pattern]
+def encoder(*vocabulary) -> Encoder:
+    """One for each Python worker. vocabulary: path, pattern and, if any, specials."""
+    if vocabulary not in _ENCODERS:
+        _ENCODERS[vocabulary] = Encoder(*vocabulary)
+    return _ENCODERS[vocabulary]
 
 
 def public_vocabulary(name: str = "byte_bpe_50k") -> tuple[str, str]:
@@ -61,3 +69,12 @@ def public_vocabulary(name: str = "byte_bpe_50k") -> tuple[str, str]:
     import public_tokenizers
 
     return public_tokenizers.path(f"{name}.tiktoken"), public_tokenizers.PATTERN
+
+
+def library_vocabulary(name: str = "byte_bpe_50k") -> tuple[str, str, tuple[tuple[str, int], ...]]:
+    """public_vocabulary(), and the special tokens that the tokenizers library finds in texts by its defaults."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(f"{name}.json")) as f:
+        added = json.load(f)["added_tokens"]
+    return *public_vocabulary(name), tuple((t["content"], t["id"]) for t in added)
