@@ -16,14 +16,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_map, stored
 from .tokens import encoder, public_vocabulary
 
-#: doc_id, piece, ids in the record; then the ids, little-endian, padded with zeros; then a line feed, by the text sink.
-HEADER, HEADER_SIZE = "<qii", 16
+#: doc_id, whether there is one, piece, number of ids; then the ids, little-endian, padded with zeros; then a line feed, by
+#: the text sink.
+HEADER, HEADER_SIZE = "<qiii", 20
+#: Shards at most: with more sequences the shards, which Spark sorts with spilling, are larger instead.
+MOST_SHARDS = 20_000
 
 
 def feistel(number: np.ndarray, size: int, key: int, rounds: int = 4) -> np.ndarray:
@@ -53,7 +57,10 @@ def sequences(docs: DataFrame, length: int = 512, end_id: int = 50256, vocabular
         encode = encoder(path, pattern).encode
         out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "n_tokens", "ids")}
         for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            ids = np.append(np.frombuffer(encode(text or ""), "<u4"), end_id).astype("<u2")
+            ids = np.append(np.frombuffer(encode(text or ""), "<u4"), end_id)
+            if ids.max() > 0xFFFF:
+                raise ValueError("records hold ids of 16 bits; this vocabulary has larger ones")
+            ids = ids.astype("<u2")
             for k, at in enumerate(range(0, len(ids), length)):
                 own = ids[at : at + length]
                 for name, v in zip(out, (i, k, len(own), own.tobytes()), strict=True):
@@ -65,8 +72,8 @@ def sequences(docs: DataFrame, length: int = 512, end_id: int = 50256, vocabular
 
 def ordered(own: DataFrame, key: int = 20, length: int = 512, shard_slots: int = 16_384) -> DataFrame:
     """slot, shard, byte_offset, doc_id, piece, n_tokens, ids_crc32, record of every sequence of own (as sequences() gives
-    it, stored as Parquet): a partition for each shard, in order of slots. A null doc_id is -1 in the record. An empty
-    table gives an empty result."""
+    it, stored as Parquet): a partition for each shard, in order of slots. A null doc_id has no flag in the record. An
+    empty table gives an empty result."""
     stride = HEADER_SIZE + 2 * length + 1
     files = own.select(F.col("_metadata.file_path").alias("file")).groupBy("file").count().orderBy("file").collect()
     total = sum(n for _, n in files)
@@ -77,12 +84,13 @@ def ordered(own: DataFrame, key: int = 20, length: int = 512, shard_slots: int =
         return pd.Series(feistel((file.map(first) + row).to_numpy(np.int64), total, key))
 
     rows = own.select("doc_id", "piece", "n_tokens", "ids", slot(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("slot"))
+    shard_slots = max(shard_slots, -(-total // MOST_SHARDS))
     shards = max(1, -(-total // shard_slots))
     dealt = rows.withColumn("shard", F.expr(f"cast(slot div {shard_slots} as int)")).repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
 
     def run(batch: pa.RecordBatch) -> dict:
         c = {n: batch.column(n).to_pylist() for n in batch.schema.names}
-        records = [(struct.pack(HEADER, -1 if d is None else d, p, n) + i).ljust(stride - 1, b"\0") for d, p, n, i in zip(c["doc_id"], c["piece"], c["n_tokens"], c["ids"], strict=True)]
+        records = [(struct.pack(HEADER, d or 0, d is not None, p, n) + i).ljust(stride - 1, b"\0") for d, p, n, i in zip(c["doc_id"], c["piece"], c["n_tokens"], c["ids"], strict=True)]
         return {**c, "byte_offset": [s % shard_slots * stride for s in c["slot"]], "ids_crc32": [zlib.crc32(i) for i in c["ids"]], "record": records}
 
     return arrow_map(dealt, run, "slot bigint, shard int, byte_offset bigint, doc_id bigint, piece int, n_tokens int, ids_crc32 bigint, record binary")
@@ -99,6 +107,24 @@ def write_shards(rows: DataFrame, path: str) -> None:
     rows.select(F.col("record").cast("string").alias("value")).write.text(path)
 
 
+def resume(path: str, slot: int, count: int, length: int = 512, shard_slots: int = 16_384) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
+    """slot, doc_id, piece, ids of `count` records from `slot` on, or as many as there are: each is read at its computed
+    place, in order, and nothing before it. path: the folder of write_shards(), on any file system that pyarrow knows;
+    shard_slots: the slots of a shard (of ordered()'s rows, shard 1's first slot)."""
+    files, root = pa.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pa.fs.LocalFileSystem(), path)
+    shards = sorted(f.path for f in files.get_file_info(pa.fs.FileSelector(root)) if f.base_name.startswith("part-"))
+    stride = HEADER_SIZE + 2 * length + 1
+    while count > 0 and slot // shard_slots < len(shards):
+        with files.open_input_file(shards[slot // shard_slots]) as f:
+            f.seek(slot % shard_slots * stride)
+            for _ in range(min(count, shard_slots - slot % shard_slots)):
+                if len(record := f.read(stride)) < stride:
+                    return
+                doc, known, piece, n = struct.unpack_from(HEADER, record)
+                yield slot, doc if known else None, piece, np.frombuffer(record, "<u2", n, HEADER_SIZE)
+                slot, count = slot + 1, count - 1
+
+
 def read_shards(spark: SparkSession, path: str, length: int = 512) -> DataFrame:
     """doc_id, piece, ids of each record, in the order of the slots within a shard."""
     stride = HEADER_SIZE + 2 * length + 1
@@ -108,7 +134,7 @@ def read_shards(spark: SparkSession, path: str, length: int = 512) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 parts = [struct.unpack_from(HEADER, content, at) for at in range(0, len(content), stride)]
-                ids = [np.frombuffer(content, "<u2", n, at * stride + HEADER_SIZE).astype(np.int32) for at, (_, _, n) in enumerate(parts)]
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(parts)), pa.array(range(len(parts)), pa.int64()), pa.array([d for d, _, _ in parts], pa.int64()), pa.array([p for _, p, _ in parts], pa.int32()), pa.array(ids, pa.list_(pa.int32()))], names=["file", "at", "doc_id", "piece", "ids"])
+                ids = [np.frombuffer(content, "<u2", p[3], at * stride + HEADER_SIZE).astype(np.int32) for at, p in enumerate(parts)]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(parts)), pa.array(range(len(parts)), pa.int64()), pa.array([p[0] if p[1] else None for p in parts], pa.int64()), pa.array([p[2] for p in parts], pa.int32()), pa.array(ids, pa.list_(pa.int32()))], names=["file", "at", "doc_id", "piece", "ids"])
 
     return files.mapInArrow(run, "file string, at bigint, doc_id bigint, piece int, ids array<int>")
