@@ -129,33 +129,46 @@ def fold(text: str) -> bytes:
 
 
 def labelled_sample(docs: DataFrame, learn: Column, per_language: int, max_bytes: int) -> dict[str, list[bytes]]:
-    """At most per_language documents of each language, of at most max_bytes each, by the smallest hashes of doc_id.
+    """At most per_language documents of each language, the first max_bytes characters of each, by the smallest hashes of doc_id.
 
     The ids are chosen first (in 64 parts of each language, then over the parts: no language is ever one task's), then
     the texts of that bounded list of ids are fetched.
     """
-    rows = docs.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull() & F.octet_length("text").between(1, max_bytes))
+    rows = docs.where(learn & F.col("lang").isNotNull() & (F.octet_length("text") > 0)).select("doc_id", "lang", "text")
     ids = rows.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(10)).alias("h")).withColumn("part", F.pmod("h", F.lit(64)))
     for by in (["lang", "part"], ["lang"]):
         ids = ids.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("h", "doc_id"))).where(F.col("r") <= per_language)
     ids = ids.select("doc_id", "lang").distinct()
     out: dict[str, list[bytes]] = {}
-    for lang, text in rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "text").orderBy("lang", "doc_id", "text").collect():
+    same = rows["doc_id"].eqNullSafe(ids["doc_id"]) & (rows["lang"] == ids["lang"])
+    for lang, text in rows.join(F.broadcast(ids), same, "left_semi").select("lang", F.substring("text", 1, max_bytes).alias("text")).orderBy("lang", "doc_id", "text").collect():
         if len(own := out.setdefault(lang, [])) < per_language:
             own.append(fold(text))
     return out
 
 
 def identify(docs: DataFrame, model: PpmModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns keep, and lang_pred, score, bits_per_byte of every row of docs, whole texts.
+    """Columns keep, and lang_pred, score, bits_per_byte (these win over columns of keep) of every row of docs, whole texts.
 
     lang_pred: the language with the shortest code (a tie: the first by name); und if text is null or has no letter, or
     if no language was learnt. score: that language's posterior under equal priors, 0 for und. bits_per_byte: the
     shortest code's bits over the text's bytes, null for und. Repeated rows give repeated results; an empty table none.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    kinds = dict(docs.dtypes)
+    added = ("lang_pred", "score", "bits_per_byte")
+    return _identified(docs, model, keep).select(*[F.col("_row")[f"c{i}"].alias(c) for i, c in enumerate(keep) if c not in added], *added)
+
+
+def recognised(docs: DataFrame, model: PpmModel) -> DataFrame:
+    """The rows of docs, all columns, whose text is in a learnt language."""
+    found = _identified(docs, model, tuple(docs.columns)).where(F.col("lang_pred") != UNDETERMINED)
+    return found.select(*[F.col("_row")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)])
+
+
+def _identified(docs: DataFrame, model: PpmModel, keep: tuple[str, ...]) -> DataFrame:
+    """_row (a struct of keep, by number), lang_pred, score, bits_per_byte."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)])
+    rows = docs.select(row.alias("_row"), "text")
 
     def run(batch: pa.RecordBatch) -> dict:
         m = shared.value
@@ -166,13 +179,17 @@ def identify(docs: DataFrame, model: PpmModel, keep: tuple[str, ...] = ("doc_id"
         for i, text, bits in zip(good, raw, m.code_lengths(raw), strict=True):
             best = int(bits.argmin())
             langs[i], scores[i], rates[i] = m.languages[best], float(1.0 / np.exp2(bits[best] - bits).sum()), float(bits[best] / len(text))
-        return {**{c: batch.column(c) for c in keep}, "lang_pred": langs, "score": scores, "bits_per_byte": rates}
+        return {"_row": batch.column("_row"), "lang_pred": langs, "score": scores, "bits_per_byte": rates}
 
-    schema = ", ".join([*(f"{c} {kinds[c]}" for c in keep), "lang_pred string, score double, bits_per_byte double"])
-    return arrow_map(docs.select(*dict.fromkeys([*keep, "text"])), run, schema)
+    return arrow_map(rows, run, f"_row {dict(rows.dtypes)['_row']}, lang_pred string, score double, bits_per_byte double")
 
 
 def fitted(docs: DataFrame, per_language: int = 160, max_bytes: int = 16384) -> PpmModel:
-    """The model of op10: learns where crc32(doc_id as text) mod 3 is not 1. The sample's bound is per_language documents
-    of max_bytes each; 160 documents of each language reach full accuracy here."""
-    return train(labelled_sample(docs, F.crc32(F.col("doc_id").cast("string")) % 3 != 1, per_language, max_bytes))
+    """The model of op10: learns from what is not held_out(). The sample's bound is per_language documents of max_bytes
+    characters each; 160 documents of each language reach full accuracy here."""
+    return train(labelled_sample(docs, ~held_out(), per_language, max_bytes))
+
+
+def held_out() -> Column:
+    """crc32(doc_id as text) mod 3 is 1; a row without doc_id is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
