@@ -5,8 +5,8 @@ Candidates are runs of letters, digits and + / _ = - of CANDIDATE characters and
 base 32, base 64) and gives the alphabet. Three statistics are taken: chi-squared uniformity over the alphabet, runs (of
 capitals, small letters, digits, others), and the serial correlation of neighbouring values. A candidate must be
 consistent with a uniform draw from its alphabet in all three (GATE standard deviations), and it must refute that it is
-written text, of which few class changes and uneven letters are expected: the two p-values are combined, and the false
-discoveries among all candidates of a length class in the table are controlled at rate FDR (Benjamini-Hochberg over a
+written text, of which few class changes, uneven letters and like neighbours are expected: the three p-values are
+combined (weighted z-scores; the serial test, which tells least, at half weight), and the false discoveries among all candidates of a length class in the table are controlled at rate FDR (Benjamini-Hochberg over a
 histogram of p-values, so that no task sorts the candidates). Short strings have too little evidence for that and are
 left alone unless a fixed kind matches.
 """
@@ -26,6 +26,8 @@ CANDIDATE = r"([A-Za-z0-9+/_=-]{20,})"
 FDR, GATE = 1e-3, 4.0
 #: Of written text: chance that two characters are equal, that neighbours differ in class; third moment of frequencies.
 SAME, CHANGES, CUBES = 0.066, 0.08, 0.006
+#: And the correlation of neighbours' places in the alphabet (both lie among the small letters), and that test's weight.
+LAG, SERIAL = 0.15, 0.5
 LENGTHS = (32, 48, 64)
 _SPAN = "struct<start:bigint,kind:int,end:bigint,value:string>"
 
@@ -84,11 +86,13 @@ def battery(value: Column) -> Column:
             uneven = (a - 1) + (n - 1) * max(0.5, a * SAME - 1)
             by_chi = (uneven - chi) / (F.sqrt(F.lit(2.0 * (a - 1))) + 2 * a * F.sqrt(n * (CUBES - SAME * SAME)))
             by_runs = (flips - 0.5 - CHANGES * (n - 1)) / F.sqrt(CHANGES * (1 - CHANGES) * (n - 1))
-            return F.when((n >= 20) & uniform, _tail((by_chi + by_runs) / 2**0.5)).otherwise(F.lit(0.0))
+            by_serial = LAG * F.sqrt(n - 1) - z_serial
+            together = (by_chi + by_runs + SERIAL * by_serial) / (2 + SERIAL**2) ** 0.5
+            return F.when((n >= 20) & uniform, _tail(together)).otherwise(F.lit(0.0))
 
         return F.transform(F.array(s), of)[0]
 
-    chain = F.when(~value.rlike("[0-9]") | ~value.rlike("[A-Za-z]"), F.lit(0.0))
+    chain = F
     for pattern, alphabet, classes in kinds:
         chain = chain.when(value.rlike(pattern), tests(alphabet, classes))
     return chain.otherwise(tests(*base64))
@@ -143,10 +147,11 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     """docs with every secret in text replaced by mask (n_chars, if there, counts anew); all rows stay. Spans that
-    overlap are replaced as one. Rows without a secret, null texts too, stay as they are."""
-    columns = docs.columns
-    found = with_matches(docs)
-    out = with_spans(found, thresholds(with_matches(docs.select("text"))))
+    overlap are replaced as one. Rows without a secret, null texts too, stay as they are, and so do all other columns,
+    whatever their names. An empty table gives none. Rows and matches are stored once, then the thresholds are taken."""
+    columns, row = docs.columns, F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"])
+    found = stored(with_matches(docs.select(row.alias("_row"), "text")), "secrets")
+    out = with_spans(found, thresholds(found))
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, m: Column) -> Column:
@@ -156,6 +161,8 @@ def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
 
     rest = lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.lit(2**31 - 1)))
     out = out.withColumn("text", F.when(F.size("spans") > 0, F.aggregate("spans", start, step, rest)).otherwise(F.col("text")))
+    fresh = {"text": F.col("text")}
     if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.char_length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
-    return out.select(*columns)
+        before = F.col("_row")[f"c{columns.index('n_chars')}"]
+        fresh["n_chars"] = F.when(F.size("spans") > 0, F.char_length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(before)
+    return out.select(*[(fresh[c] if c in fresh else F.col("_row")[f"c{i}"]).alias(c) for i, c in enumerate(columns)])
