@@ -7,10 +7,10 @@ linked sets share a rare token there, or two frequent ones. What meets under a k
 
 1. Equal sets are one class. 2. A bounded-memory pass (`survivors`) finds the classes that can link at all: by the same
 prefix argument with k in proportion to the set and tokens in order of their hashes, these share much of their prefix.
-3. The index is built on the survivors. 4. Small keys give all their pairs. Under large keys (a group of near copies) the
-members outside the largest component are compared with a few pivots of it, which leaves one component there for the most
-part; then all pairs that are still in different components are compared. So no link between different components is ever missed, and a group's pairs are never
-listed out. 5. Components of the verified links.
+3. The index is built on the survivors. 4. Small keys give all their pairs. Under large keys (a group of near copies) a few
+pivots outside the largest component are compared with the members, which leaves one component there for the most part;
+then what is still outside the largest component is compared with all members. Both comparisons go by blocks (`_compared`):
+no link between different components is missed, and a group's pairs are never rows. 5. Components of the verified links.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from ..operators.components import components
 from .common import arrow_map, stored
 
-FREQUENT, SMALL, PIVOTS, ROUNDS, LIST = 64, 16, 12, 2, 64
+FREQUENT, SMALL, PIVOTS, ROUNDS, LIST, BLOCK = 64, 16, 12, 1, 64, 400_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -231,10 +231,59 @@ def link_classes(sets: DataFrame, heavy: int = 16) -> DataFrame:
         if k < ROUNDS:  # the pivots of a key are its members outside the largest component with the smallest hashes
             turn = Window.partitionBy("key", "alone").orderBy(F.xxhash64("id", F.lit(k)), "id")
             minor = minor.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= PIVOTS)
-        links = stored(links.union(_verified(_met(minor, own), sets)), "ngram-links")
+        links = stored(links.union(_compared(minor, own, sets)), "ngram-links")
     return components(links, "a", "b").select(F.col("node").alias("id"), "component")
 
 
+def _compared(few: DataFrame, many: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: links between sets of `few` and of `many` that meet under a key, as far as they join components. Pairs are never
+    rows: the few are dealt into blocks, of about BLOCK tokens, by the smallest hash of their keys, which like sets share;
+    a set of many visits each block that its keys lead to, once, and is counted against the block's token index there. A
+    task keeps only links between what its links haven't joined yet, so its output is smaller than its input."""
+    home = few.groupBy("id").agg(F.min(F.xxhash64("key", "alone")).alias("home"), F.first("n").alias("n"), F.first("component").alias("component"))
+    parts = home.groupBy("home").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"))
+    home = home.join(parts, "home").select("id", "component", F.xxhash64("home", F.pmod(F.xxhash64("id", F.lit(3)), "parts")).alias("block"))
+    home = stored(home, "ngram-blocks")
+    # under a frequent token alone, sets of kind 1 meet those of kind 2 only
+    led = few.join(home.select("id", "block"), "id").groupBy("key", "alone").agg(F.collect_set("block").alias("blocks"), F.collect_set(F.when(F.col("kind") == 2, F.col("block"))).alias("wide"))
+    to = many.join(led, ["key", "alone"]).select("id", "component", F.expr("if(kind = 1, wide, blocks)").alias("blocks"))
+    visits = to.groupBy("id").agg(F.first("component").alias("component"), F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("blocks")).select("id", "component", F.explode("blocks").alias("block"))
+    guests = visits.join(sets.select("id", "n", "tokens"), "id")
+    loads = visits.join(sets.select("id", "n"), "id").groupBy("block").agg(F.ceil(F.sum("n") / (4 * BLOCK)).cast("int").alias("shares"))
+    guests = guests.join(loads, "block").select("block", F.expr("cast(pmod(xxhash64(id, 5), shares) as int)").alias("share"), F.lit(False).alias("host"), "id", "component", "n", "tokens")
+    hosts = home.join(sets.select("id", "n", "tokens"), "id").join(loads, "block")
+    hosts = hosts.select("block", F.explode(F.expr("sequence(0, shares - 1)")).alias("share"), F.lit(True).alias("host"), "id", "component", "n", "tokens")
+
+    def run(table: pa.Table) -> pa.Table:
+        host = table.column("host").to_numpy()
+        ids, n, component = (table.column(c).to_numpy() for c in ("id", "n", "component"))
+        tokens = table.column("tokens").combine_chunks()
+        flat, edge = tokens.flatten().to_numpy(), np.r_[0, np.cumsum(n)]
+        names, label = np.unique(component, return_inverse=True)  # components that links here join get one label
+        own = np.flatnonzero(host)
+        token = np.concatenate([flat[edge[i] : edge[i + 1]] for i in own])
+        owner = np.repeat(np.arange(len(own)), n[own])
+        order = np.argsort(token, kind="stable")
+        token, owner = token[order], owner[order]
+        a: list[int] = []
+        b: list[int] = []
+        for i in np.flatnonzero(~host):
+            t = flat[edge[i] : edge[i + 1]]
+            lo, hi = np.searchsorted(token, t), np.searchsorted(token, t, "right")
+            many = hi - lo
+            at = np.repeat(lo - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
+            both = np.bincount(owner[at], minlength=len(own))
+            linked = np.flatnonzero((100 * both >= 80 * (n[i] + n[own] - both)) & (ids[own] != ids[i]))
+            for j in own[linked]:
+                if label[j] != label[i]:
+                    a.append(min(ids[i], ids[j]))
+                    b.append(max(ids[i], ids[j]))
+                    label[label == label[j]] = label[i]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return hosts.unionByName(guests).groupBy("block", "share").applyInArrow(run, "a bigint, b bigint")
+
+
 def _met(few: DataFrame, many: DataFrame) -> DataFrame:
     """a, b of the pairs of different components that meet under a key, one of them from `few`, and may link by their
     sizes. A key's few go to its many as lists of about LIST, and a set's partners under all its keys are made distinct
