@@ -62,9 +62,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     found = langid.identify(docs, langid.fitted(docs))
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
 def queries() -> dict:
@@ -95,17 +94,16 @@ WITH w AS MATERIALIZED (
 ), o AS MATERIALIZED (SELECT doc_id, t AS term, count(*) AS tf, any_value(len(a)) AS size FROM w, unnest(a) AS u(t) GROUP BY doc_id, t
 ), g AS (SELECT count(*)::DOUBLE AS n, sum(len(a)) / greatest(count(*), 1)::DOUBLE AS mean FROM w
 ), d AS MATERIALIZED (SELECT term, count(*) AS df, ln((any_value(n) - count(*) + 0.5) / (count(*) + 0.5) + 1) AS idf FROM o, g GROUP BY term
-), q AS MATERIALIZED (
-  SELECT doc_id AS query_id, term FROM o JOIN d USING (term) WHERE doc_id % 20 = 0 AND df > 1
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(tf * idf * 1000000)::BIGINT DESC, encode(term)) <= 16
+), q AS MATERIALIZED (SELECT doc_id AS query_id, term, tf AS times FROM o WHERE doc_id % 20 = 0
 ), s AS (
-  SELECT query_id, o.doc_id, sum(round(idf * tf::DOUBLE * 2.2 / (tf::DOUBLE + 1.2 * (0.25 + 0.75 * size / mean)) * 1000000)::BIGINT)::BIGINT AS score
+  SELECT query_id, o.doc_id, sum(times * round(idf * tf::DOUBLE * 2.2 / (tf::DOUBLE + 1.2 * (0.25 + 0.75 * size / mean)) * 1000000)::BIGINT)::BIGINT AS score
   FROM q JOIN o USING (term) JOIN d USING (term), g GROUP BY query_id, o.doc_id
 )
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 10
 """
-#: Sources by their units, the phases of the mixture, and earliest deadline first over one period of each, slot by slot.
+#: Sources by their units, the phases of the mixture, windows of the blocks of one cycle of each phase, and earliest deadline
+#: first over it, slot by slot.
 OP8 = r"""
 WITH RECURSIVE r AS MATERIALIZED (
   SELECT doc_id, source, coalesce('=' || source, '') AS src,
@@ -113,25 +111,27 @@ WITH RECURSIVE r AS MATERIALIZED (
 ), o AS (SELECT src, count(*) AS n FROM r GROUP BY src
 ), u AS (SELECT src, n, greatest(1, round(200 * sqrt(n) / sum(sqrt(n)) OVER ()))::BIGINT AS units, (n + 63) // 64 AS blocks FROM o
 ), s AS MATERIALIZED (SELECT src, units, blocks // units AS cycles, blocks % units AS rest, row_number() OVER (ORDER BY encode(src)) AS i FROM u
-), e AS (SELECT DISTINCT cycles AS last FROM s WHERE cycles > 0
-), f AS (SELECT coalesce(lag(last) OVER (ORDER BY last), 0) AS first, last, false AS rest, row_number() OVER (ORDER BY last) AS phase FROM e
-  UNION ALL SELECT 0, 1, true, (SELECT count(*) FROM e) + 1
-), a AS MATERIALIZED (SELECT phase, f.first, f.last, f.rest AS is_rest, src, i, CASE WHEN f.rest THEN s.rest ELSE units END AS units
-  FROM f JOIN s ON CASE WHEN f.rest THEN s.rest > 0 ELSE s.cycles >= f.last END
-), p AS MATERIALIZED (SELECT phase, first, last, is_rest, sum(units)::BIGINT AS length, list(units ORDER BY i) AS us, list(src ORDER BY i) AS ss FROM a GROUP BY ALL
-), b AS (SELECT *, coalesce(sum((last - first) * length) OVER (ORDER BY phase ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin FROM p
+), e AS (SELECT 0 AS c UNION SELECT cycles FROM s UNION SELECT cycles + 1 FROM s WHERE rest > 0
+), f AS (SELECT * FROM (SELECT c AS first, lead(c) OVER (ORDER BY c) AS last FROM e) AS x WHERE last IS NOT NULL
+), a AS MATERIALIZED (SELECT first, last, src, i, units, CASE WHEN cycles > first THEN units ELSE rest END AS share
+  FROM f JOIN s ON s.cycles > f.first OR s.cycles = f.first AND s.rest > 0
+), v AS MATERIALIZED (SELECT a.first, a.src, a.units, g.d, sum(least(k.units * g.d, k.share * a.units))::BIGINT AS reached
+  FROM a, unnest(generate_series(0, a.share)) AS g(d) JOIN a k ON k.first = a.first GROUP BY ALL
+), x AS MATERIALIZED (SELECT first, src, list(reached // units ORDER BY d) AS release, list((reached + units - 1) // units ORDER BY d) AS deadline FROM v GROUP BY first, src
+), p AS MATERIALIZED (SELECT first, last, sum(share)::BIGINT AS length, list(share ORDER BY i) AS shares, list(src ORDER BY i) AS ss, list(release ORDER BY i) AS rs, list(deadline ORDER BY i) AS ds
+  FROM a JOIN x USING (first, src) GROUP BY ALL
+), b AS (SELECT *, coalesce(sum((last - first) * length) OVER (ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin FROM p
 ), t AS (
-  SELECT phase, length, us, -1::BIGINT AS pos, list_transform(us, lambda x: 0::BIGINT) AS done, 0::BIGINT AS pick FROM p
+  SELECT first, length, shares, rs, ds, -1::BIGINT AS pos, list_transform(shares, lambda x: 0::BIGINT) AS done, 0::BIGINT AS pick FROM p
   UNION ALL
-  SELECT phase, length, us, pos + 1, list_transform(done, lambda d, k: d + CASE WHEN k = g THEN 1 ELSE 0 END), g
-  FROM (SELECT *, list_min(list_transform(list_filter(generate_series(1, len(us)), lambda k: done[k] < us[k] AND done[k] * length // us[k] <= pos + 1),
-      lambda k: ((done[k] + 1) * length + us[k] - 1) // us[k] * 100000 + k)) % 100000 AS g FROM t WHERE pos + 1 < length) AS z
-), k AS (SELECT t.phase, b.ss[t.pick] AS src, t.pos, row_number() OVER (PARTITION BY t.phase, t.pick ORDER BY t.pos) - 1 AS k FROM t JOIN b USING (phase) WHERE t.pos >= 0
+  SELECT first, length, shares, rs, ds, pos + 1, list_transform(done, lambda d, k: d + CASE WHEN k = g THEN 1 ELSE 0 END), g
+  FROM (SELECT *, list_min(list_transform(list_filter(generate_series(1, len(shares)), lambda k: done[k] < shares[k] AND rs[k][done[k] + 1] <= pos + 1),
+      lambda k: ds[k][done[k] + 2] * 100000 + k)) % 100000 AS g FROM t WHERE pos + 1 < length) AS z
+), k AS (SELECT t.first, b.ss[t.pick] AS src, t.pos, row_number() OVER (PARTITION BY t.first, t.pick ORDER BY t.pos) - 1 AS k FROM t JOIN b USING (first) WHERE t.pos >= 0
 )
-SELECT r.doc_id, r.source, r.rank, r.rank // 64 AS block, b.begin + CASE WHEN b.is_rest THEN 0 ELSE (r.rank // 64 // s.units - b.first) * b.length END + k.pos AS slot, (r.rank % 64)::INTEGER AS place
-FROM r JOIN s USING (src)
-JOIN b ON CASE WHEN r.rank // 64 // s.units >= s.cycles THEN b.is_rest ELSE NOT b.is_rest AND b.first <= r.rank // 64 // s.units AND r.rank // 64 // s.units < b.last END
-JOIN k ON k.phase = b.phase AND k.src = r.src AND k.k = r.rank // 64 % s.units
+SELECT r.doc_id, r.source, r.rank, r.rank // 64 AS block, b.begin + (r.rank // 64 // s.units - b.first) * b.length + k.pos AS slot, (r.rank % 64)::INTEGER AS place
+FROM r JOIN s USING (src) JOIN b ON b.first <= r.rank // 64 // s.units AND r.rank // 64 // s.units < b.last
+JOIN k ON k.first = b.first AND k.src = r.src AND k.k = r.rank // 64 % s.units
 """
 
 

@@ -4,6 +4,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from navnet.llm import hpylm, materialise, mixing, ngram_join, packing, topk
-from navnet.llm.tokens import Encoder, public_vocabulary
+from navnet.llm.tokens import Encoder, library_vocabulary, public_vocabulary
 
 
 def shingles(text):
@@ -106,50 +107,72 @@ def test_keys_cover_linked_sets():
 
 
 def brute_search(rows, queries, k):
-    docs = [(r[0], Counter(topk.terms(r[1]))) for r in rows if r[0] is not None]
+    """queries: id to a Counter of terms."""
     everyone = [Counter(topk.terms(r[1])) for r in rows]
     n, size = len(everyone), sum(sum(c.values()) for c in everyone)
     df = Counter(t for c in everyone for t in c)
-    out = {}
-    for q, terms in queries.items():
-        best = defaultdict(int)
-        by_term = defaultdict(lambda: defaultdict(int))
-        for t in terms:
-            idf = math.log((n - df[t] + 0.5) / (df[t] + 0.5) + 1)
-            for d, c in docs:
+    out = []
+    for q, asked in queries.items():
+        best = {}
+        for r, c in zip(rows, everyone, strict=True):
+            score = 0
+            for t, times in asked.items():
                 if c[t]:
-                    v = idf * c[t] * 2.2 / (c[t] + 1.2 * (0.25 + 0.75 * sum(c.values()) / (size / n)))
-                    by_term[d][t] = max(by_term[d][t], int(math.floor(v * 1e6 + 0.5)))
-        for d, own in by_term.items():
-            best[d] = sum(own.values())
-        out[q] = sorted(((-s, d) for d, s in best.items() if s))[:k]
-    return sorted((q, i, d, -s) for q, own in out.items() for i, (s, d) in enumerate(own, 1))
-
-
-def test_search_is_exact(docs, rows):
-    df, n, size = topk.frequencies(docs)
-    asked = {r[0]: sorted(set(topk.terms(r[1]))) for r in rows if r[0] is not None and r[0] % 9 == 0 and topk.terms(r[1])}
-    flat = [(q, bytearray(t), 1) for q, own in asked.items() for t in own]
+                    idf = math.log((n - df[t] + 0.5) / (df[t] + 0.5) + 1)
+                    score += times * int(math.floor(idf * c[t] * 2.2 / (c[t] + 1.2 * (0.25 + 0.75 * sum(c.values()) / (size / n))) * 1e6 + 0.5))
+            if score and r[0] is not None:
+                best[r[0]] = max(best.get(r[0], 0), score)
+        out += [(q, i, d, -s) for i, (s, d) in enumerate(sorted((-s, d) for d, s in best.items())[:k], 1)]
+    return sorted(out)
+
+
+def test_search_is_exact(docs, rows, monkeypatch):
+    asked = {r[0]: Counter(topk.terms(r[1])) for r in rows if r[0] is not None and r[0] % 9 == 0 and topk.terms(r[1])}
+    flat = [(q, bytearray(t), n) for q, own in asked.items() for t, n in own.items()]
     queries = docs.sparkSession.createDataFrame(flat, "query_id bigint, term binary, times int")
-    got = sorted(tuple(r) for r in topk.search(docs, queries, df, n, size, k=5).select("query_id", "rank", "doc_id", "score").collect())
+    monkeypatch.setattr(topk, "QUERIES", 5)  # several groups
+    got = sorted(tuple(r) for r in topk.search(docs, queries, k=5).select("query_id", "rank", "doc_id", "score").collect())
     assert got == brute_search(rows, asked, 5)
 
 
+def test_whole_texts_are_the_queries(docs, rows):
+    asked = {r[0]: Counter(topk.terms(r[1])) for r in rows if r[0] is not None and r[0] % 20 == 0}
+    got = topk.similar(docs, docs.where("doc_id % 20 = 0")).collect()
+    assert sorted((r.query_id, r.rank, r.doc_id, r.score) for r in got) == brute_search(rows, asked, 10)
+
+
 def test_block_max_wand_skips_and_stays_exact(monkeypatch):
+    """Random shards against all scores: every way of storing a list, repeated ids, thresholds, and postings left unread."""
     monkeypatch.setattr(topk, "BLOCK", 4)
-    rng = random.Random(10)
-    for _ in range(150):
-        lists = {}
-        for t in "abcdef":
-            at = sorted(rng.sample(range(80), rng.randrange(1, 60)))
-            lists[t.encode()] = (at, [rng.randrange(1, 9) for _ in at])
-        query = [(t.encode(), rng.randrange(1, 3)) for t in rng.sample("abcdefg", rng.randrange(1, 7))]
-        total = Counter()
-        for t, times in query:
-            for d, v in zip(*lists.get(t, ((), ())), strict=True):
-                total[d] += v * times
-        want = sorted(((s, d) for d, s in total.items()), key=lambda x: (-x[0], x[1]))[:5]
-        assert topk.Index(list(range(80)), lists).search(query, 5) == want
+    rng, opened, postings = random.Random(10), 0, 0
+    for turn in range(60):
+        monkeypatch.setattr(topk, "CELLS", rng.choice([0, 400, 10**6]))
+        vocabulary = [f"w{i}" for i in range(60)]
+        texts = [" ".join(rng.choices(vocabulary, [1 / (i + 1) for i in range(60)], k=rng.randrange(0, 12))) for _ in range(240)]
+        ids = list(range(500, 740)) if turn % 3 else [rng.choice([None, *range(100)]) for _ in texts]
+        rows = [topk.chunk(ids[a : a + 50], texts[a : a + 50]) for a in range(0, 240, 50)]
+        words = [w.encode() for w in vocabulary]
+        idf = np.array([rng.randrange(1, 90) / 10 for _ in words])
+        shard = topk.Shard(rows, b" ".join(words), idf, 5.0)
+        q = topk.Queries.__new__(topk.Queries)
+        own = [sorted(rng.sample(range(60), rng.randrange(1, 9))) for _ in range(6)]
+        q.query, q.code, q.edge = np.arange(6), np.concatenate(own), np.r_[0, np.cumsum([len(x) for x in own])]
+        q.times, q.least = np.array([rng.randrange(1, 4) for _ in q.code]), np.zeros(6)
+        for again in range(2):
+            for i, (docs, scores) in enumerate(shard.search_all(q, 5)):
+                best = {}
+                for d, text in zip(ids, texts, strict=True):
+                    c = Counter(text.encode().split())
+                    size = sum(c.values())
+                    s = sum(int(times) * math.floor(idf[code] * c[words[code]] * 2.2 / (c[words[code]] + 1.2 * (0.25 + 0.75 * size / 5.0)) * 1e6 + 0.5) for code, times in zip(own[i], q.times[q.edge[i] : q.edge[i + 1]], strict=True) if c[words[code]])
+                    if s and d is not None:
+                        best[d] = max(best.get(d, 0), s)
+                want = sorted(((-s, d) for d, s in best.items()))[:5]
+                assert list(zip((-scores).tolist(), docs.tolist(), strict=True)) == want
+                if not again:
+                    q.least[i] = -want[-1][0] if len(want) == 5 else 0
+        opened, postings = opened + shard.opened, postings + 2 * sum(int(np.diff(shard.start)[shard.first[c] : shard.first[c + 1]].sum()) for c in q.code if shard.row[c] < 0)
+    assert opened < 0.6 * postings  # of the postings that a scan of the same lists reads
 
 
 def test_similar_of_odd_tables(empty, clashing):
@@ -165,12 +188,14 @@ def test_token_ids_are_the_librarys(rows):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    own = Encoder(*public_vocabulary())
+    own, plain = Encoder(*library_vocabulary()), Encoder(*public_vocabulary())
     rng = random.Random(11)
     odd = ["".join(rng.choice([" ", "  ", "\n", "\t", "a", "The", "é", "中文", "😀", "'s", "12", "!!", "\xa0", "\x1c", "\x85", "<|endoftext|>"]) for _ in range(30)) for _ in range(400)]
     for text in [*(r[1] for r in rows if r[1]), *odd, " ", "  a", "a  ", ""]:
+        t.encode_special_tokens = False
         assert np.frombuffer(own.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+        t.encode_special_tokens = True
+        assert np.frombuffer(plain.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
 def test_pieces_and_packing(docs, rows):
@@ -234,36 +259,45 @@ def test_training_order_round_trip(spark, docs, rows, tmp_path):
     path = str(tmp_path / "shards")
     materialise.write_shards(out, path)
     back = sorted(materialise.read_shards(spark, path, length=16).collect(), key=lambda r: (r.file, r.at))
-    assert [(r.doc_id, r.piece, zlib.crc32(np.array(r.ids, "<u2").tobytes())) for r in back] == [(-1 if r.doc_id is None else r.doc_id, r.piece, r.ids_crc32) for r in got]
+    assert [(r.doc_id, r.piece, zlib.crc32(np.array(r.ids, "<u2").tobytes())) for r in back] == [(r.doc_id, r.piece, r.ids_crc32) for r in got]
+    for first, count in ((0, 3), (95, 130), (len(got) - 2, 9)):  # a reader takes up at any slot
+        again = [(s, d, p, zlib.crc32(i.tobytes())) for s, d, p, i in materialise.resume(path, first, count, length=16, shard_slots=100)]
+        assert again == [(r.slot, r.doc_id, r.piece, r.ids_crc32) for r in got[first : first + count]]
     own = Encoder(*public_vocabulary())
     whole = Counter(tuple([*np.frombuffer(own.encode(r[1] or ""), "<u4").tolist(), 50256]) for r in rows if r[0] is not None and r[0] != 3)
     texts = defaultdict(list)
-    for r in sorted(back, key=lambda r: (r.doc_id, r.piece)):
+    for r in sorted((r for r in back if r.doc_id is not None), key=lambda r: (r.doc_id, r.piece)):
         texts[r.doc_id] += r.ids
-    assert Counter(tuple(v) for k, v in texts.items() if k not in (-1, 3)) == whole
+    assert Counter(tuple(v) for k, v in texts.items() if k != 3) == whole
 
 
-def test_training_order_of_an_empty_table(empty):
+def test_training_order_of_odd_tables(empty, clashing, docs):
     assert materialise.materialise(empty).count() == 0
+    assert materialise.materialise(clashing).count() == materialise.materialise(docs).count()
 
 
 # op8
 
 
-def test_mixture_stays_within_a_block(spark):
-    rows = [(i, s) for s, n in (("a", 900), ("b", 350), ("c", 120), (None, 40)) for i in range(1000 * "abc".find(s or "z") + 5000, 1000 * "abc".find(s or "z") + 5000 + n)]
+def ideal(units, blocks):
+    """The slot that the ideal schedule has reached when a source of u units has j blocks."""
+    return lambda j, u: sum(min(Fraction(units[k] * j, u), blocks[k]) for k in units)
+
+
+@pytest.mark.parametrize(("n", "block_rows", "total"), [({"a": 900, "b": 350, "c": 120, None: 40}, 4, 20), ({"a": 30, "b": 7, "c": 3}, 1, 200), ({"a": 513, "b": 64, "c": 8, "d": 1}, 1, 9)])
+def test_mixture_stays_within_a_block(spark, n, block_rows, total):
+    """In every prefix, over all slots, also where sources have less than a cycle or run out inside one."""
+    rows = [(1000 * k + i, s) for k, (s, c) in enumerate(n.items()) for i in range(c)]
     df = spark.createDataFrame(rows, "doc_id bigint, source string")
-    got = mixing.mix(df, block_rows=4, units=20).collect()
-    assert sorted((r.doc_id, r.source) for r in got) == sorted(rows, key=lambda r: r[0])
-    slots = {r.slot: r.source for r in got}
-    assert sorted(slots) == list(range(len(slots)))  # one block in each slot
-    n = {"a": 900, "b": 350, "c": 120, None: 40}
-    units = {s: max(1, round(20 * math.sqrt(c) / sum(math.sqrt(x) for x in n.values()))) for s, c in n.items()}
-    cycles = min(-(-n[s] // 4) // units[s] for s in n)
-    period, seen = sum(units.values()), Counter()
-    for t in range(cycles * period):
-        seen[slots[t]] += 1
-        assert all(abs(seen[s] - (t + 1) * u / period) < 1 for s, u in units.items())
+    got = mixing.mix(df, block_rows=block_rows, units=total).collect()
+    assert sorted((r.doc_id, r.source or "") for r in got) == sorted((i, s or "") for i, s in rows)
+    slots = {r.slot: (r.source, r.block) for r in got}
+    blocks = {s: -(-c // block_rows) for s, c in n.items()}
+    units = {s: max(1, round(total * math.sqrt(c) / sum(math.sqrt(x) for x in n.values()))) for s, c in n.items()}
+    assert sorted(slots) == list(range(sum(blocks.values())))  # one block in each slot
+    reached = ideal(units, blocks)
+    for slot, (s, j) in slots.items():
+        assert math.floor(reached(j, units[s])) <= slot < math.ceil(reached(j + 1, units[s]))
     for s in n:  # a source's rows stay in its own order
         own = sorted((r.slot, r.place, r.rank) for r in got if r.source == s)
         assert [x[2] for x in own] == list(range(n[s]))
@@ -273,11 +307,18 @@ def test_mixture_with_given_weights(spark):
     df = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(80)], "doc_id bigint, source string")
     got = {r.slot: r.source for r in mixing.mix(df, block_rows=1, weights={"a": 3, "b": 1}).collect()}
     seen = Counter()
-    for t in range(52):
+    for t in range(53):
         seen[got[t]] += 1
         assert abs(seen["a"] - 0.75 * (t + 1)) < 1
 
 
+def test_mixture_breaks_ties_by_all_columns(spark):
+    rows = [(1, "a", f"text {i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    orders = [[r.text for r in sorted(mixing.mix(df.repartition(k), block_rows=1, keep=("text",)).collect(), key=lambda r: r.slot)] for k in (3, 7)]
+    assert orders[0] == orders[1]
+
+
 def test_mixture_of_many_sources(spark, monkeypatch):
     """Above MAX_SOURCES the schedule is a table, with the same rows."""
     n = {"a": 300, "b": 130, "c": 40, None: 9}
@@ -286,7 +327,7 @@ def test_mixture_of_many_sources(spark, monkeypatch):
     many = spark.createDataFrame([(i, f"s{i % 1003}") for i in range(2010)], "doc_id bigint, source string")
     got = mixing.mix(many, block_rows=1).collect()
     assert sorted(r.doc_id for r in got) == list(range(2010)) and sorted(r.slot for r in got) == list(range(2010))
-    assert len({r.source for r in got if r.slot < 1003}) == 1003  # units of 1: each once in a period
+    assert len({r.source for r in got if r.slot < 1003}) == 1003  # units of 1: each once in a cycle
     monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
     assert sorted(map(tuple, mixing.mix(few, block_rows=4, units=20).collect())) == want
 
