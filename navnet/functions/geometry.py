@@ -60,6 +60,35 @@ def point_line_distance(p: Column, line: Column) -> Column:
     return F.array_min(F.transform(_segments(line), lambda g: distance(p, _at(g, _share(p, g)))))
 
 
+def segments(line: Column) -> Column:
+    """The segments of a line: an array of struct(a, b)."""
+    return _segments(line)
+
+
+def _side(a: Column, b: Column, p: Column) -> Column:
+    return F.signum((b["x"] - a["x"]) * (p["y"] - a["y"]) - (b["y"] - a["y"]) * (p["x"] - a["x"]))
+
+
+def line_distance(one: Column, other: Column) -> Column:
+    """The least distance between two lines: 0 where they cross, else from a point of one to the other."""
+    cross = lambda g, h: (_side(g["a"], g["b"], h["a"]) * _side(g["a"], g["b"], h["b"]) < 0) & (_side(h["a"], h["b"], g["a"]) * _side(h["a"], h["b"], g["b"]) < 0)
+    crossing = F.exists(_segments(one), lambda g: F.exists(_segments(other), lambda h: cross(g, h)))
+    ends = F.least(F.array_min(F.transform(one, lambda p: point_line_distance(p, other))), F.array_min(F.transform(other, lambda p: point_line_distance(p, one))))
+    return F.when(crossing, F.lit(0.0)).otherwise(ends)
+
+
+def point_region_distance(p: Column, ring: Column) -> Column:
+    """0 inside a closed ring (a ray from p crosses it an odd number of times), else the distance to it."""
+    across = lambda g: ((g["a"]["y"] > p["y"]) != (g["b"]["y"] > p["y"])) & (p["x"] < (g["b"]["x"] - g["a"]["x"]) * (p["y"] - g["a"]["y"]) / F.nullif(g["b"]["y"] - g["a"]["y"], F.lit(0.0)) + g["a"]["x"])
+    inside = F.size(F.filter(_segments(ring), across)) % 2 == 1
+    return F.when(inside, F.lit(0.0)).otherwise(point_line_distance(p, ring))
+
+
+def parts_distance(p: Column, parts: Column) -> Column:
+    """The least distance of a point to the lines of an array."""
+    return F.array_min(F.transform(parts, lambda line: point_line_distance(p, line)))
+
+
 def project(line: Column, p: Column) -> Column:
     """Length along the line to its point nearest to p (the first of equals)."""
     start = F.struct(F.lit(0.0).alias("done"), F.lit(float("inf")).alias("best"), F.lit(0.0).alias("at"))

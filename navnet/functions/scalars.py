@@ -84,8 +84,11 @@ def cemt_scale(x: Column | str) -> Column:
 
 
 def number_in_text(x: Column | str) -> Column:
-    """The first decimal or whole number of a text if it is above zero, else null."""
+    """The first decimal or whole number of a text if it is above zero, else null; a number is taken as it is."""
+    #: Fixed value: the pattern of a number.
     found = F.regexp_extract(_c(x).cast("string"), r"[-+]?\d*\.\d+|\d+", 0).try_cast("double")
+    number = F.typeof(_c(x)).rlike("^(tinyint|smallint|int|bigint|float|double|decimal)")
+    found = F.when(number, _c(x).cast("string").try_cast("double")).otherwise(found)
     return F.when(found > 0, found)
 
 
@@ -144,6 +147,24 @@ def flag_text(x: Column | str) -> Column:
     return F.when(low.isin("true", "yes"), "1").when(low.isin("false", "no"), "0").otherwise(F.regexp_replace(low, r"\.\d*$", ""))
 
 
+def edge_key(fis_id: Column | str, code: Column | str) -> Column:
+    """An edge's name: the first of its two ids that isn't empty, as a text; null without any."""
+    text = lambda x: F.nullif(F.trim(_c(x).cast("string")), F.lit(""))
+    return F.coalesce(text(fis_id), text(code))
+
+
+#: The water that inland routes avoid and its factor; classes of large waterways and the factor of others.
+SEA, SEA_FACTOR, LARGE, SMALL_FACTOR = "Noordzee", 1e8, ("IV", "VII", "VIa", "VIb", "VIc", "Va", "Vb"), 10.0
+
+
+def length_without_sea(length: Column | str, water_name: Column | str) -> Column:
+    return F.coalesce(_c(length), F.lit(1.0)) * F.when(F.coalesce(_c(water_name) == SEA, F.lit(False)), SEA_FACTOR).otherwise(1.0)
+
+
+def length_by_class(length: Column | str, cemt: Column | str) -> Column:
+    return _c(length) * F.when(F.coalesce(_c(cemt).isin(*LARGE), F.lit(False)), 1.0).otherwise(SMALL_FACTOR)
+
+
 def percent(part: Column | str, total: Column | str) -> Column:
     return F.coalesce(F.when(_c(total) > 0, 100.0 * _c(part) / _c(total)), F.lit(0.0))
 

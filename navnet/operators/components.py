@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rounds are logarithmic in a component's width; more than this can't be needed.
+ROUNDS = 200
+
+
 def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -27,7 +31,7 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     both = edges.where(F.col(src).isNotNull() & F.col(dst).isNotNull()).select(F.col(src).alias("a"), F.col(dst).alias("b"))
     links = _stored(both.union(both.select("b", "a")).distinct(), f"{path}/links")
     labels = _stored(links.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("component")), f"{path}/0")
-    for k in range(1, 200):
+    for k in range(1, ROUNDS + 1):
         # Smallest label among neighbours, offered to the node and to the node that its label points at.
         near = links.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("m"))
         step = labels.join(near, "node").select("node", "component", F.least("component", "m").alias("m"))
@@ -38,5 +42,5 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
         changed = new.join(labels.withColumnRenamed("component", "old"), "node").where(F.col("component") != F.col("old")).limit(1).count()
         labels = new
         if not changed:
-            break
-    return labels
+            return labels
+    raise RuntimeError(f"labels still change after {ROUNDS} rounds")

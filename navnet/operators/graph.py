@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from .components import components
 from .relational import keep_last, ragged_union, semi_referenced
+from .store import stored
 
 
 def build_graph(sections: DataFrame, junctions: DataFrame, order: str, start: str = "start", end: str = "end", node: str = "id") -> tuple[DataFrame, DataFrame]:
@@ -52,11 +53,11 @@ def component_sizes(edges: DataFrame) -> DataFrame:
 
 def neighbourhood(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     """node, hops: every node within so many steps of a seed (node), with its least number of steps."""
-    both = edges.select("src", "dst").union(edges.select("dst", "src")).distinct()
+    both = stored(edges.select("src", "dst").union(edges.select("dst", "src")).distinct(), "neighbourhood")
     found = front = seeds.select("node", F.lit(0).alias("hops"))
     for k in range(1, hops + 1):
         front = front.join(both, front["node"] == both["src"]).select(F.col("dst").alias("node"), F.lit(k).alias("hops")).distinct()
-        front = front.join(found.select("node"), "node", "left_anti")
+        front = stored(front.join(found.select("node"), "node", "left_anti"), "neighbourhood")
         found = found.unionByName(front)
     return found.groupBy("node").agg(F.min("hops").alias("hops"))
 
@@ -70,10 +71,11 @@ def induced(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 def relaxed_costs(edges: DataFrame, sources: DataFrame, rounds: int) -> DataFrame:
     """source, node, cost: the least cost (edges src, dst, weight, undirected) over at most `rounds` edges."""
     both = edges.select("src", "dst", "weight").union(edges.select("dst", "src", "weight")).groupBy("src", "dst").agg(F.min("weight").alias("weight"))
+    both = stored(both, "relaxed")
     cost = sources.select(F.col("node").alias("source"), "node", F.lit(0.0).alias("cost"))
     for _ in range(rounds):
         step = cost.join(both, cost["node"] == both["src"]).select("source", F.col("dst").alias("node"), (F.col("cost") + F.col("weight")).alias("cost"))
-        cost = cost.unionByName(step).groupBy("source", "node").agg(F.min("cost").alias("cost"))
+        cost = stored(cost.unionByName(step).groupBy("source", "node").agg(F.min("cost").alias("cost")), "relaxed")
     return cost
 
 

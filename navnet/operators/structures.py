@@ -58,13 +58,18 @@ def matched_registry(objects: DataFrame, chambers: DataFrame, radius: float, buf
     return strict.unionByName(within_distance(rest, chambers, radius)).select("left_id", "right_id")
 
 
+def berth_candidates(berths: DataFrame, categories: tuple[str, ...]) -> DataFrame:
+    """Those of the categories, and those without one."""
+    return berths.where(F.col("category").isNull() | F.col("category").isin(*categories))
+
+
 def nearby_berths(locks: DataFrame, berths: DataFrame, at_most: float = 2000.0, categories: tuple[str, ...] = ("WAITING_AREA",)) -> DataFrame:
     """lock_id, berth_id, dist_m of the berths (id, category, fairway_id, lon, lat) within at_most metres of a lock (id,
     fairways, lon, lat) on its fairways (none: on any), of the categories or without one. Distances are geodesic; cells of
     degrees choose the candidates."""
     cell = at_most / 55_000.0
     span = F.sequence(F.lit(-1), F.lit(1))
-    own = berths.where(F.col("category").isNull() | F.col("category").isin(*categories))
+    own = berth_candidates(berths, categories)
     b = own.select(F.col("id").alias("berth_id"), F.col("fairway_id").alias("_f"), F.col("lon").alias("_x"), F.col("lat").alias("_y")).withColumn("cx", F.floor(F.col("_x") / cell)).withColumn("cy", F.floor(F.col("_y") / cell))
     l = locks.withColumn("cx", F.explode(F.transform(span, lambda d: F.floor(F.col("lon") / cell) + d))).withColumn("cy", F.explode(F.transform(span, lambda d: F.floor(F.col("lat") / cell) + d)))
     on = l.join(b, ["cx", "cy"]).where(F.coalesce(F.size("fairways") <= 0, F.lit(True)) | F.array_contains("fairways", F.col("_f")))

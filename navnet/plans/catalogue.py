@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import scalars as S
-from ..operators import graph, relational, schema, spatial, splice
+from ..operators import graph, relational, schema, spatial, splice, structures, traffic, validate
 from ..operators.components import components
+from ..streaming import positions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -83,8 +84,11 @@ def penalised_edges(t):
 
 @query("""SELECT CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'no_path' ELSE 'geocode_fail' END AS status, count(*) AS n FROM orders GROUP BY 1""")
 def trip_status_counts(t):
-    status = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "no_path").otherwise("geocode_fail")
-    return t.orders.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    """Orders as trips over a network of one edge: from its one end to the other, to a node off it, or without an end."""
+    edges = t.region.where("r_regionkey = 0").select(F.lit("a").alias("src"), F.lit("b").alias("dst"), F.lit("e").alias("key"), F.lit(1.0).alias("weight"))
+    end = F.when(F.col("o_orderstatus") == "F", "b").when(F.col("o_orderstatus") == "O", "z")
+    trips = t.orders.select(F.lit("a").alias("origin_node"), end.alias("destination_node"), F.lit("M8").alias("class"))
+    return graph.route(trips, edges, "class", {"M8": F.col("weight")}).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH s AS (SELECT o_orderkey, o_custkey % 50 AS k, o_totalprice AS b, o_totalprice + 2000 AS e FROM orders), d AS (SELECT p_partkey AS id, p_partkey % 50 AS k, p_retailprice * 150 AS b, p_retailprice * 150 - 500 AS e, p_size FROM part)
@@ -133,12 +137,16 @@ def codes_first_match(t):
     return relational.left_first(t.supplier.select("s_suppkey", "s_nationkey"), codes, "s_nationkey", "p_partkey", ["code"]).select("s_suppkey", "code")
 
 
-@query("""WITH c AS (SELECT p_brand AS code, p_partkey AS node, p_size * 10 + p_retailprice / 1000 AS score FROM part), k AS (SELECT code, node, score FROM c UNION ALL SELECT left(code, 7), node, score FROM c WHERE left(code, 7) <> code)
-SELECT code, arg_min(node, score * 1000000000 + node) AS node FROM k GROUP BY code""")
+@query("""WITH n AS (SELECT c_custkey AS node, 'N' || lpad(c_nationkey::VARCHAR, 4, '0') AS k, CASE c_custkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS rank, (c_custkey % 100) / 100.0::DOUBLE AS x, c_nationkey / 10.0::DOUBLE AS y FROM customer),
+a AS (SELECT 'N' || lpad(n_nationkey::VARCHAR, 4, '0') || 'X' AS code, 'N' || lpad(n_nationkey::VARCHAR, 4, '0') AS k, CASE WHEN n_nationkey % 2 = 0 THEN n_regionkey / 10.0::DOUBLE END AS px FROM nation)
+SELECT code, first(node ORDER BY 10.0 * rank + coalesce(power(x - px, 2) + power(y, 2), 0), node) AS node FROM a LEFT JOIN n USING (k) GROUP BY code""")
 def geocode_score(t):
-    c = t.part.select(F.col("p_brand").alias("code"), F.col("p_partkey").alias("node"), (F.col("p_size") * 10 + F.col("p_retailprice") / 1000).alias("score"))
-    keys = c.withColumn("code", F.explode(F.array_distinct(F.array("code", F.substring("code", 1, 7)))))
-    return keys.groupBy("code").agg(F.min_by("node", F.col("score") * 1000000000 + F.col("node")).alias("node"))
+    """Nations' codes by the first five characters; every other one has a place of its own."""
+    stem = lambda c: F.concat(F.lit("N"), F.lpad(F.col(c).cast("string"), 4, "0"))
+    kind = F.when(F.col("c_custkey") % 3 == 0, "harbour").when(F.col("c_custkey") % 3 == 1, "terminal").otherwise("node")
+    nodes = t.customer.select(F.col("c_custkey").alias("id"), F.concat(stem("c_nationkey"), "c_mktsegment").alias("locode"), kind.alias("kind"), ((F.col("c_custkey") % 100) / 100.0).alias("x"), (F.col("c_nationkey") / 10.0).alias("y"))
+    codes = t.nation.select(F.concat(stem("n_nationkey"), F.lit("X")).alias("code"), (F.col("n_regionkey") / 10.0).alias("x"), F.lit(0.0).alias("y"), "n_nationkey")
+    return traffic.geocode(codes, nodes, codes.where("n_nationkey % 2 = 0").select("code", "x", "y"))
 
 
 @query("""WITH e AS (SELECT user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1) SELECT o_orderkey, coalesce(event_type, o_orderpriority) AS o_orderpriority, value FROM orders LEFT JOIN e ON user_id = o_custkey""")
@@ -195,7 +203,9 @@ def extent(t):
 @query(None)
 def greedy_pairs(t):
     p = t.part.select(F.col("p_partkey").alias("id"), F.lower("p_name").alias("name"), F.col("p_size").alias("size"))
-    c = p.where("id % 40 = 1").alias("a").join(p.where("id % 40 = 2").alias("b"), F.abs(F.col("a.size") - F.col("b.size")) <= 3)
+    a = p.where("id % 2 = 1").withColumn("cell", F.floor(F.col("size") / 4)).alias("a")
+    b = p.where("id % 2 = 0").withColumn("cell", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.floor(F.col("size") / 4) + d))).alias("b")
+    c = a.join(b, (F.col("a.name") == F.col("b.name")) & (F.col("a.cell") == F.col("b.cell")) & (F.abs(F.col("a.size") - F.col("b.size")) <= 3))
     d = F.abs(F.col("a.size") - F.col("b.size")).cast("double")
     return spatial.greedy_pairs(c.select(F.col("a.id").alias("left"), F.col("b.id").alias("right"), S.name_score("a.name", "b.name", d * 100).alias("score"), d.alias("distance")).where("score > 1"))
 
@@ -208,7 +218,9 @@ def semi_referenced(t):
 
 @query("""SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey::VARCHAR NOT IN ('1', '5', '7')""")
 def blacklist(t):
-    return t.supplier.where(~S.stringify_id("s_suppkey").isin("1", "5", "7")).select("s_suppkey", "s_name")
+    own = t.supplier.select(F.col("s_suppkey").alias("id"), "s_suppkey", "s_name")
+    none = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("parent"), "c_name")
+    return structures.complexes(own, none, "parent", ignored=("1", "5", "7")).select("s_suppkey", "s_name")
 
 
 @query("""SELECT c_custkey, CASE WHEN a AND b THEN 'both' WHEN a THEN 'a' WHEN b THEN 'b' ELSE 'neither' END AS matched FROM (SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders) AS a, c_custkey IN (SELECT user_id FROM events) AS b FROM customer)""")
@@ -220,7 +232,7 @@ def matched_unmatched(t):
 @query("""WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS category FROM customer) SELECT * FROM c WHERE category IS NULL OR category IN ('BUILDING', 'MACHINERY')""")
 def null_aware_category(t):
     c = t.customer.select("c_custkey", F.when(F.col("c_custkey") % 3 > 0, F.col("c_mktsegment")).alias("category"))
-    return c.where(F.col("category").isNull() | F.col("category").isin("BUILDING", "MACHINERY"))
+    return structures.berth_candidates(c, ("BUILDING", "MACHINERY"))
 
 
 @query(f"""WITH {_VOYAGES} SELECT a.n_name AS origin, b.n_name AS dest, count(*) AS trips FROM v JOIN nation a ON a.n_nationkey = origin JOIN nation b ON b.n_nationkey = dest WHERE starts_with(a.n_name, left(b.n_name, 7)) GROUP BY ALL""")
@@ -366,20 +378,21 @@ def counts_by_source(t):
 
 @query("""SELECT min(o_totalprice) AS min_gap, max(o_totalprice) AS max_gap, round(avg(o_totalprice), 4) AS avg_gap, count(*) AS total, CASE WHEN count(*) >= 14 THEN 'PASS' ELSE 'WARNING' END AS status FROM orders WHERE o_orderstatus = 'F'""")
 def gap_summary(t):
-    g = F.col("o_totalprice")
-    return t.orders.where("o_orderstatus = 'F'").agg(F.min(g).alias("min_gap"), F.max(g).alias("max_gap"), F.round(F.avg(g), 4).alias("avg_gap"), F.count(F.lit(1)).alias("total"), F.when(F.count(F.lit(1)) >= 14, "PASS").otherwise("WARNING").alias("status"))
+    edges = t.orders.select(F.col("o_totalprice").alias("distance"), F.when(F.col("o_orderstatus") == "F", "BORDER").alias("data_source"))
+    return validate.border_figures(edges).withColumn("avg_gap", F.round("avg_gap", 4))
 
 
 @query("""WITH d AS (SELECT abs(l_extendedprice - l_quantity * p_retailprice) AS d, l_extendedprice AS l FROM lineitem JOIN part ON l_partkey = p_partkey) SELECT round(max(d), 3) AS max_diff, count(*) FILTER (WHERE d > 1) AS over, count(*) FILTER (WHERE l < 0.001) AS zero, round(sum(d) / count(*), 3) AS mean_diff, CASE WHEN count(*) FILTER (WHERE d > 1) < 0.05 * count(*) THEN 'PASS' ELSE 'FAIL' END AS status FROM d""")
 def length_mismatch(t):
-    d = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.abs(F.col("l_extendedprice") - F.col("l_quantity") * F.col("p_retailprice")).alias("d"), F.col("l_extendedprice").alias("l"))
-    n, over = F.count(F.lit(1)), F.count_if(F.col("d") > 1)
-    return d.agg(F.round(F.max("d"), 3).alias("max_diff"), over.alias("over"), F.count_if(F.col("l") < 0.001).alias("zero"), F.round(F.sum("d") / n, 3).alias("mean_diff"), F.when(over < 0.05 * n, "PASS").otherwise("FAIL").alias("status"))
+    d = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_extendedprice").alias("geometry_m"), (F.col("l_quantity") * F.col("p_retailprice")).alias("length_m"))
+    return validate.length_figures(d).select(F.round("largest", 3).alias("max_diff"), F.col("over_1m").alias("over"), "zero", F.round("mean", 3).alias("mean_diff"), "status")
 
 
 @query("""SELECT bool_or(event_type = 'purchase') AS has_purchase, bool_or(event_type = 'none') AS has_none, count(*) FILTER (WHERE value > 50) AS spliced FROM events""")
 def health_checks(t):
-    return t.events.agg(F.bool_or(F.col("event_type") == "purchase").alias("has_purchase"), F.bool_or(F.col("event_type") == "none").alias("has_none"), F.count_if(F.col("value") > 50).alias("spliced"))
+    kind = F.when(F.col("event_type") == "purchase", "lock_passage").when(F.col("event_type") == "none", "bridge_passage").otherwise("other")
+    found = validate.dropin_figures(t.events.select(kind.alias("type"), (F.col("value") > 50).alias("is_splice")))
+    return found.select(F.col("locks").alias("has_purchase"), F.col("bridges").alias("has_none"), F.col("splices").alias("spliced"))
 
 
 @query("""SELECT l_returnflag, round(avg(abs(l_discount - l_tax)), 6) AS mae, round(avg(l_discount - l_tax), 6) AS bias FROM lineitem GROUP BY 1""")
@@ -435,9 +448,9 @@ def od_topk(t):
     return _voyages(t).groupBy("origin", "dest").agg(F.round(F.sum("l_quantity"), 2).alias("w")).orderBy(F.desc("w"), "origin", "dest").limit(100)
 
 
-@query("""SELECT user_id, count(*) AS n, round(sum(value), 2) AS w FROM events GROUP BY 1 ORDER BY n DESC, user_id LIMIT 5""")
+@query("""SELECT user_id AS node, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, user_id LIMIT 5""")
 def busiest_nodes(t):
-    return t.events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("w")).orderBy(F.desc("n"), "user_id").limit(5)
+    return positions.busiest(t.events.select(F.col("user_id").alias("node")))
 
 
 @query("""SELECT user_id, event_id AS a, next AS b FROM (SELECT user_id, event_id, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS next FROM events) WHERE next IS NOT NULL""")
@@ -454,36 +467,39 @@ def splice_segments(t):
     return splice.splice(sections, cuts).select("section_id", "begin", "end")
 
 
-def _bipartite(t: Tables) -> DataFrame:
-    own = t.lineitem.where("l_linenumber = 1 and l_discount = 0.05")
-    return own.select(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("src"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string"), F.lit("_"), F.col("l_quantity").cast("int").cast("string")).alias("dst")).distinct()
+def _linked(t: Tables) -> DataFrame:
+    """Customers to their orders, orders to their line items: a forest over the whole tables."""
+    name = lambda p, *c: F.concat(F.lit(p), F.concat_ws("_", *[F.col(x).cast("string") for x in c]))
+    upper = t.orders.select(name("c", "o_custkey").alias("src"), name("o", "o_orderkey").alias("dst"))
+    return upper.union(t.lineitem.select(name("o", "l_orderkey").alias("src"), name("p", "l_orderkey", "l_linenumber").alias("dst"))).distinct()
 
 
-_BIPARTITE = "b AS (SELECT DISTINCT 'p' || l_partkey::VARCHAR AS src, 's' || l_suppkey::VARCHAR || '_' || l_quantity::INT::VARCHAR AS dst FROM lineitem WHERE l_linenumber = 1 AND l_discount = 0.05), u AS (SELECT src AS a, dst AS b FROM b UNION SELECT dst, src FROM b)"
-_REACH = f"WITH RECURSIVE {_BIPARTITE}, r AS (SELECT a AS n, a AS m FROM u UNION SELECT r.n, u.b FROM r JOIN u ON r.m = u.a)"
+_LINKED = "b AS (SELECT 'c' || o_custkey::VARCHAR AS src, 'o' || o_orderkey::VARCHAR AS dst FROM orders UNION SELECT 'o' || l_orderkey::VARCHAR, 'p' || l_orderkey::VARCHAR || '_' || l_linenumber::VARCHAR FROM lineitem), u AS (SELECT src AS a, dst AS b FROM b UNION SELECT dst, src FROM b)"
+#: From the roots down: names of customers are the smallest of their parts.
+_PARTS = f"WITH RECURSIVE {_LINKED}, r AS (SELECT DISTINCT src AS n, src AS m FROM b WHERE src NOT IN (SELECT dst FROM b) UNION SELECT b.dst, r.m FROM r JOIN b ON r.n = b.src)"
 
 
-@query(f"{_REACH} SELECT n AS node, min(m) AS component FROM r GROUP BY n")
+@query(f"{_PARTS} SELECT n AS node, min(m) AS component FROM r GROUP BY n")
 def components_(t):
-    return components(_bipartite(t))
+    return components(_linked(t))
 
 
 QUERIES["components"], SQL["components"] = QUERIES.pop("components_"), SQL.pop("components_")
 
 
-@query(f"{_REACH}, c AS (SELECT n, min(m) AS component FROM r GROUP BY n) SELECT component, count(*) AS size FROM c GROUP BY component")
+@query(f"{_PARTS}, c AS (SELECT n, min(m) AS component FROM r GROUP BY n) SELECT component, count(*) AS size FROM c GROUP BY component")
 def component_rank(t):
-    return graph.component_sizes(_bipartite(t))
+    return graph.component_sizes(_linked(t))
 
 
-@query(f"WITH {_BIPARTITE} SELECT a AS node, count(*) AS degree FROM u GROUP BY a")
+@query(f"WITH {_LINKED} SELECT a AS node, count(*) AS degree FROM u GROUP BY a")
 def degree(t):
-    return graph.degrees(_bipartite(t))
+    return graph.degrees(_linked(t))
 
 
-@query(f"""WITH RECURSIVE {_BIPARTITE}, s AS (SELECT min(a) AS a FROM u), r AS (SELECT a AS n, 0 AS k FROM s UNION SELECT u.b, k + 1 FROM r JOIN u ON r.n = u.a WHERE k < 6) SELECT n AS node, min(k)::INT AS hops FROM r GROUP BY n""")
+@query(f"""WITH RECURSIVE {_LINKED}, s AS (SELECT min(a) AS a FROM u), r AS (SELECT a AS n, 0 AS k FROM s UNION SELECT u.b, k + 1 FROM r JOIN u ON r.n = u.a WHERE k < 6) SELECT n AS node, min(k)::INT AS hops FROM r GROUP BY n""")
 def khop(t):
-    e = _bipartite(t)
+    e = _linked(t)
     seed = e.select(F.explode(F.array("src", "dst")).alias("node")).agg(F.min("node").alias("node"))
     return graph.neighbourhood(e, seed, 6)
 
@@ -504,11 +520,11 @@ def relaxed_costs(t):
     return graph.relaxed_costs(_ports(t), nodes, 4).withColumn("cost", F.round("cost", 2))
 
 
-@query(_relaxed(8).replace("AS cost FROM c8", "AS cost FROM c8 WHERE source::INT < 5"))
+@query(_relaxed(8))
 def shortest_path_cost(t):
     edges = _ports(t).withColumn("key", F.concat_ws("-", "src", "dst"))
     nodes = t.nation.select(F.col("n_nationkey").cast("string").alias("n"))
-    groups = nodes.where("cast(n as int) < 5").select(F.col("n").alias("origin_node")).crossJoin(nodes.select(F.col("n").alias("destination_node"))).withColumn("class", F.lit("M8"))
+    groups = nodes.select(F.col("n").alias("origin_node")).crossJoin(nodes.select(F.col("n").alias("destination_node"))).withColumn("class", F.lit("M8"))
     return graph.route(groups, edges, "class", {"M8": F.col("weight")}).where("status = 'success'").select(F.col("origin_node").alias("source"), F.col("destination_node").alias("node"), F.round("cost", 2).alias("cost"))
 
 
@@ -579,11 +595,9 @@ def stream_counts(t):
     """The events file as a stream, run to its end; rows only."""
     import uuid
 
-    from ..streaming.positions import node_counts
-
     rows = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t._dir)
     own = rows.select(F.col("user_id").alias("vessel"), F.col("event_type").alias("node"), "ts")
     name = f"stream_{uuid.uuid4().hex}"
-    run = node_counts(own, "1 day").writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
+    run = positions.node_counts(own, "1 day").writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
     run.awaitTermination()
     return t.spark.table(name)
