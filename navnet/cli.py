@@ -7,9 +7,12 @@ import json
 import logging
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from .operators import graph, splice, validate
+from .operators import dropins, graph, splice, structures, traffic, validate
+from .operators.store import stored
 from .sources import files, sinks
+from .timing import timer
 
 
 def session() -> SparkSession:
@@ -43,11 +46,54 @@ def process(spark: SparkSession, a: argparse.Namespace) -> None:
     sinks.voyage_months(files.zipped_voyages(spark, a.source), a.target)
 
 
-def dropins(spark: SparkSession, a: argparse.Namespace) -> None:
+@timer
+def cuts(spark: SparkSession, a: argparse.Namespace) -> None:
     """Sections and cuts to spliced segments."""
     splice.splice(spark.read.parquet(f"{a.source}/sections"), spark.read.parquet(f"{a.source}/cuts")).write.mode("overwrite").parquet(a.target)
 
 
+#: Tables of a drop-in build by what they hold.
+COMPLEXES, OBJECTS = ("lock", "bridge"), ("terminal", "berth")
+
+
+@timer
+def build_dropins(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Sections, structures and objects to the tables of a drop-in network."""
+    t = files.bundle(spark, a.source, ("sections",), (*COMPLEXES, *OBJECTS))
+    made = dropins.build(t["sections"], {k: t[k] for k in COMPLEXES if k in t}, {k: t[k] for k in OBJECTS if k in t}, a.mode)
+    print(json.dumps(sinks.export_tables(made, a.target, needed=("nodes", "edges"))))
+
+
+@timer
+def schematize(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Structures and their children to complexes, and nodes and edges with lines."""
+    t = files.bundle(spark, a.source, ("structures", "children"), ("grandchildren",))
+    own = structures.complexes(t["structures"], t["children"], a.parent, t.get("grandchildren"), ignored=tuple(filter(None, a.ignored.split(","))))
+    features = dropins.with_geometry(structures.detailed_features(own, a.kind), dropins.node_points(own, a.kind)) if "before" in own.columns else structures.detailed_features(own, a.kind)
+    tables = {a.kind: own.drop("children"), "nodes": features.where("feature_type = 'node'"), "edges": features.where("feature_type <> 'node'")}
+    print(json.dumps(sinks.export_schematization(own, tables, a.target)))
+
+
+@timer
+def assign(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Voyages over a network to the intensity of its edges."""
+    t = files.bundle(spark, a.source, ("edges", "nodes", "places"), ("vessels",))
+    voyages = files.voyages(spark, f"{a.source}/voyages", a.year and int(a.year), a.month and int(a.month)) if a.year else spark.read.parquet(f"{a.source}/voyages")
+    codes = voyages.select(F.col("origin").alias("code")).union(voyages.select("destination")).distinct()
+    known = {r.class_code: (r.beam, r.length, r.cemt) for r in t["vessels"].collect()} if "vessels" in t else {}
+    trips, intensity, status = traffic.assign(voyages, traffic.geocode(codes, t["nodes"], t["places"]), t["edges"], known)
+    trips = stored(trips, "assigned")
+    sinks.export_assignment(trips, intensity, traffic.penalised(trips, t["edges"], known), t["edges"], a.target)
+    print(json.dumps({r.status: r.groups for r in status.collect()}))
+
+
+def publish(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Check that a publication has all it needs; nothing is sent."""
+    if missing := sinks.missing_artifacts(spark, a.source, tuple(a.needed.split(","))):
+        raise SystemExit("missing: " + ", ".join(missing))
+    print(json.dumps({"source": a.source, "complete": True}))
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="navnet", description=__doc__)
     p.add_argument("--debug", action="store_true")
@@ -57,12 +103,17 @@ def parser() -> argparse.ArgumentParser:
         ("merge", merge, {"--home": None, "--foreign": None, "--links": None, "--country": "NL"}),
         ("validate", check, {}),
         ("process", process, {}),
-        ("dropins", dropins, {}),
+        ("cuts", cuts, {}),
+        ("dropins", build_dropins, {"--mode": "detailed"}),
+        ("schematize", schematize, {"--kind": "lock", "--parent": "parent_id", "--ignored": ""}),
+        ("assign", assign, {"--year": "", "--month": ""}),
+        ("publish", publish, {"--needed": "nodes,edges,summary.json"}),
     ):
         c = commands.add_parser(name, help=fn.__doc__)
         if name != "merge":
             c.add_argument("source")
-        c.add_argument("target")
+        if name != "publish":
+            c.add_argument("target")
         for o, default in options.items():
             c.add_argument(o, default=default, required=default is None)
         c.set_defaults(run=fn)

@@ -84,6 +84,12 @@ def point_region_distance(p: Column, ring: Column) -> Column:
     return F.when(inside, F.lit(0.0)).otherwise(point_line_distance(p, ring))
 
 
+def oriented(p: Column, a: Column, b: Column, off: Column) -> Column:
+    """The point at `off` from p in the direction from a to b; p itself where a and b are one."""
+    span = F.nullif(distance(a, b), F.lit(0.0))
+    return point(p["x"] + F.coalesce(off * (b["x"] - a["x"]) / span, F.lit(0.0)), p["y"] + F.coalesce(off * (b["y"] - a["y"]) / span, F.lit(0.0)))
+
+
 def parts_distance(p: Column, parts: Column) -> Column:
     """The least distance of a point to the lines of an array."""
     return F.array_min(F.transform(parts, lambda line: point_line_distance(p, line)))
@@ -306,3 +312,13 @@ def grid_point(lon: pd.Series, lat: pd.Series) -> pd.DataFrame:
 @F.pandas_udf(T.DoubleType())
 def geodesic_metres(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
     return pd.Series(geodesic_inverse(lon1, lat1, lon2, lat2)[0])
+
+
+@F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in ("lon1", "lat1", "lon2", "lat2")]))
+def geodesic_passage(lon: pd.Series, lat: pd.Series, split_lon: pd.Series, split_lat: pd.Series, merge_lon: pd.Series, merge_lat: pd.Series, metres: pd.Series) -> pd.DataFrame:
+    """The two ends of a passage of so many metres around a place, in the bearing from split to merge, on the ellipsoid."""
+    bearing = geodesic_inverse(split_lon.to_numpy(float), split_lat.to_numpy(float), merge_lon.to_numpy(float), merge_lat.to_numpy(float))[1]
+    half = metres.to_numpy(float) / 2
+    a = geodesic_direct(lon.to_numpy(float), lat.to_numpy(float), bearing + 180.0, half)
+    b = geodesic_direct(lon.to_numpy(float), lat.to_numpy(float), bearing, half)
+    return pd.DataFrame({"lon1": a[0], "lat1": a[1], "lon2": b[0], "lat2": b[1]})

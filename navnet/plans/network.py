@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import scalars as S
-from ..operators import compare, graph, network, relational, schema, spatial
-from ..sources import files
+from ..operators import compare, dropins, graph, network, relational, schema, spatial, structures
+from ..sources import files, sinks
 from .catalogue import _POINTS, _VOYAGES, _points, _voyages, query
 
 
@@ -338,3 +340,107 @@ def points_in_regions(t):
 def parts_distance(t):
     parts = _lines(t).where("id <= 2").agg(F.collect_list("line").alias("parts"))
     return _points(t).crossJoin(F.broadcast(parts)).select("id", F.round(G.parts_distance(G.point(F.col("x"), F.col("y")), F.col("parts")), 6).alias("distance"))
+
+
+# structures with their geometries; sinks and sources, written and read again
+
+_STRUCTURES = """x AS (SELECT s_suppkey AS id, s_nationkey::DOUBLE AS bx, s_nationkey + 100.0::DOUBLE AS ax FROM supplier), k AS (SELECT s_suppkey AS id, p_partkey::VARCHAR AS child, p_size::DOUBLE AS cx, p_retailprice AS cy FROM supplier JOIN part ON p_partkey % 100 = s_suppkey % 100 AND p_partkey < 300)"""
+
+
+def _structures(t):
+    point = lambda x, y: G.point(x.cast("double"), y)
+    own = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), point(F.col("s_nationkey"), F.lit(0.0)).alias("before"), point(F.col("s_nationkey") + 100, F.lit(0.0)).alias("after"))
+    kids = t.part.where("p_partkey < 300").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % 100).alias("_k"), point(F.col("p_size"), F.col("p_retailprice")).alias("centre"))
+    child = own.select(F.col("id").alias("parent")).join(kids, F.col("parent") % 100 == F.col("_k")).drop("_k")
+    return schema.nested(own, child.withColumn("id", F.col("id").cast("string")), "id", "parent", "children", "id")
+
+
+@query(f"""WITH {_STRUCTURES}, f AS (SELECT id, 'lock_' || id::VARCHAR || '_split' AS f, bx AS x1, 0.0 AS y1, NULL::DOUBLE AS x2, NULL::DOUBLE AS y2 FROM x UNION ALL SELECT id, 'lock_' || id::VARCHAR || '_merge', ax, 0.0, NULL, NULL FROM x
+UNION ALL SELECT id, 'chamber_' || child || e, cx, cy, NULL, NULL FROM k, (VALUES ('_start'), ('_end')) v(e) UNION ALL SELECT k.id, 'chamber_' || child || '_approach', bx, 0.0, cx, cy FROM k JOIN x USING (id) UNION ALL SELECT id, 'chamber_' || child || '_route', cx, cy, cx, cy FROM k UNION ALL SELECT k.id, 'chamber_' || child || '_exit', cx, cy, ax, 0.0 FROM k JOIN x USING (id))
+SELECT id::VARCHAR AS structure_id, f AS id, x1::DOUBLE AS x1, y1::DOUBLE AS y1, x2, y2 FROM f""")
+def lock_features(t):
+    own = _structures(t)
+    found = dropins.with_geometry(structures.detailed_features(own, "lock"), dropins.node_points(own, "lock"))
+    at = lambda i, c: F.try_element_at("geometry", F.lit(i))[c].alias(f"{c}{i}")
+    return found.select("structure_id", "id", at(1, "x"), at(1, "y"), at(2, "x"), at(2, "y"))
+
+
+@query("""WITH o AS (SELECT s_suppkey AS id, s_nationkey::DOUBLE AS bx, s_nationkey + 100.0::DOUBLE AS ax FROM supplier) SELECT 'bridge_' || id::VARCHAR || '_split' AS id, bx AS x1, NULL::DOUBLE AS x2 FROM o UNION ALL SELECT 'bridge_' || id::VARCHAR || '_merge', ax, NULL FROM o UNION ALL SELECT 'opening_virtual_' || id::VARCHAR || e, (bx + ax) / 2, NULL FROM o, (VALUES ('_start'), ('_end')) v(e)
+UNION ALL SELECT 'opening_virtual_' || id::VARCHAR || '_approach', bx, (bx + ax) / 2 FROM o UNION ALL SELECT 'opening_virtual_' || id::VARCHAR || '_passage', (bx + ax) / 2, (bx + ax) / 2 FROM o UNION ALL SELECT 'opening_virtual_' || id::VARCHAR || '_exit', (bx + ax) / 2, ax FROM o""")
+def bridge_features(t):
+    """Bridges without openings: each has a virtual one."""
+    own = _structures(t).withColumn("children", F.filter("children", lambda c: F.lit(False)))
+    found = dropins.with_geometry(structures.detailed_features(own, "bridge"), dropins.node_points(own, "bridge"))
+    at = lambda i: F.try_element_at("geometry", F.lit(i))["x"].alias(f"x{i}")
+    return found.select("id", at(1), at(2))
+
+
+@query("""WITH p AS (SELECT 'lock_passage_' || s_suppkey::VARCHAR AS id, s_nationkey::DOUBLE AS x1, s_nationkey + 100.0::DOUBLE AS x2 FROM supplier), o AS (SELECT * FROM orders WHERE o_orderkey IN (SELECT s_suppkey FROM supplier))
+SELECT id, x1, x2, NULL::DOUBLE AS length_m FROM p UNION ALL SELECT 'section_' || s || '_0', NULL, NULL, 90.0 FROM (SELECT s_suppkey::VARCHAR AS s FROM supplier) UNION ALL SELECT 'section_' || s || '_1', NULL, NULL, 890.0 FROM (SELECT s_suppkey::VARCHAR AS s FROM supplier)""")
+def simplified_build(t):
+    """Each supplier's lock on a section of its own, at 100 m with 10 m around."""
+    sid = F.col("id").cast("string")
+    locks = _structures(t).withColumn("sections", F.array(F.struct(sid.alias("id"), F.lit("direct").alias("relation"), F.lit(100.0).alias("distance")))).withColumn("buffer", F.lit(10.0))
+    sections = t.supplier.select(F.col("s_suppkey").cast("string").alias("section_id"), F.lit("a").alias("start"), F.lit("b").alias("end"), F.lit(1000.0).alias("length"))
+    edges = dropins.build(sections, {"lock": locks}, {}, "simplified")["edges"]
+    at = lambda i: F.try_element_at("geometry", F.lit(i))["x"].alias(f"x{i}")
+    return edges.select("id", at(1), at(2), "length_m")
+
+
+def _folder(t, name: str) -> str:
+    """A folder of the query's own in the shared one."""
+    base = t.spark.conf.get("spark.checkpoint.dir", None) or t.spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/navnet/{name}-{uuid.uuid4().hex}"
+
+
+@query("""SELECT event_type AS "GeoType", event_id, value FROM events""")
+def types_fanned_out(t):
+    path = _folder(t, "types")
+    sinks.by_type(t.events.select(F.col("event_type").alias("GeoType"), "event_id", "value"), path)
+    return t.spark.read.schema("event_id bigint, value double, GeoType string").json(path)
+
+
+@query("""SELECT 'n' || n_nationkey::VARCHAR AS id, n_name AS name, '{"a":' || n_regionkey::VARCHAR || '}' AS extra FROM nation""")
+def tables_exported(t):
+    """Nested columns go as JSON texts, empty tables are skipped."""
+    path = _folder(t, "tables")
+    own = t.nation.select(_text("n", "n_nationkey").alias("id"), F.col("n_name").alias("name"), F.struct(F.col("n_regionkey").alias("a")).alias("extra"))
+    assert sinks.export_tables({"nodes": own, "berths": own.where("false")}, path, needed=("nodes",)) == ["nodes"]
+    return t.spark.read.parquet(f"{path}/nodes")
+
+
+@query("""SELECT 'l' || o_orderkey::VARCHAR AS id, o_totalprice AS width, o_totalprice AS x FROM orders WHERE o_orderkey % 10 = 0""")
+def lines_exported(t):
+    """Lines as GeoJSON features, read again as a collection's features."""
+    path = _folder(t, "lines")
+    own = t.orders.where("o_orderkey % 10 = 0").select(_text("l", "o_orderkey").alias("id"), F.col("o_totalprice").alias("width"), F.array(G.point(F.col("o_totalprice"), F.lit(0.0)), G.point(F.lit(1.0), F.lit(2.0))).alias("geometry"))
+    sinks.with_line(own, path, "edges")
+    rows = t.spark.read.schema("type string, geometry struct<type:string,coordinates:array<array<double>>>, properties struct<id:string,width:double>").json(f"{path}/edges.geojson")
+    return rows.where("geometry.type = 'LineString'").select("properties.id", "properties.width", F.col("geometry.coordinates")[0][0].alias("x"))
+
+
+@query("""SELECT year(ts)::INT AS year, month(ts)::INT AS month, count(*) AS n FROM events GROUP BY ALL""")
+def months_exported(t):
+    """The partitioned table, read back by its folders."""
+    path = _folder(t, "months")
+    own = t.events.select("event_id", F.col("event_id").cast("string").alias("v05_06_begindt_evenement"), F.year("ts").alias("file_year"), F.month("ts").alias("file_month"), F.lit("f").alias("source_file"), F.col("event_id").alias("row"))
+    sinks.voyage_months(own, path)
+    return files.voyages(t.spark, path).groupBy(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT s_suppkey, CASE s_nationkey WHEN 0 THEN 3.7115 ELSE s_acctbal END::DOUBLE AS x, CASE s_nationkey WHEN 0 THEN 51.6391 ELSE 1 END::DOUBLE AS y FROM supplier WHERE s_suppkey % 6 > 0""")
+def corrected_places(t):
+    location = F.when(F.col("s_nationkey") == 0, "NTJ").otherwise(F.col("s_suppkey").cast("string"))
+    rows = t.supplier.select("s_suppkey", F.lit("NL").alias("country_code"), location.alias("location_code"), F.when(F.col("s_suppkey") % 6 > 0, F.col("s_acctbal")).alias("x"), F.lit(1.0).alias("y"))
+    # NLNTJ stands at several suppliers: their places are looked up by key
+    keyed = files.corrected_places(rows).distinct()
+    own = rows.where("x is not null").select("s_suppkey", F.concat("country_code", "location_code").alias("code"))
+    return own.join(keyed, "code").select("s_suppkey", "x", "y")
+
+
+@query("""SELECT l_orderkey, l_linenumber FROM lineitem QUALIFY count(*) OVER (PARTITION BY l_orderkey) > 1""")
+def discrepancies(t):
+    """Ids with several matches; those without one are none here."""
+    matches = t.lineitem.select(F.col("l_orderkey").alias("left_id"), F.col("l_linenumber").alias("right_id"))
+    alone, many = sinks.discrepancies(t.orders.select(F.col("o_orderkey").alias("id")), matches, "id")
+    return t.lineitem.join(many.select(F.col("id").alias("l_orderkey")), "l_orderkey", "left_semi").select("l_orderkey", "l_linenumber")

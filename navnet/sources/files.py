@@ -9,6 +9,7 @@ import csv
 import io
 import re
 import sqlite3
+import struct
 import tempfile
 import warnings
 import zipfile
@@ -198,3 +199,63 @@ def latest_files(listing: DataFrame) -> DataFrame:
     """name, last_modified of the newest file of each (country, dataset) of a listing (name: <dataset>_<CC>_...)."""
     own = listing.withColumn("dataset", F.regexp_extract("name", r"^(\w+?)_([A-Z]{2})_", 1)).withColumn("country", F.regexp_extract("name", r"^(\w+?)_([A-Z]{2})_", 2)).where("country <> ''")
     return own.groupBy("country", "dataset").agg(F.max_by("name", F.struct("last_modified", "name")).alias("name"), F.max("last_modified").alias("last_modified"))
+
+
+#: A location whose place is wrong in the reference data, and its place in degrees.
+CORRECTED_PLACES = {"NLNTJ": (3.7115, 51.6391)}
+
+
+def corrected_places(rows: DataFrame) -> DataFrame:
+    """code, x, y of the rows (country_code, location_code, x, y) that have a place: the code is country and location."""
+    code = F.concat("country_code", "location_code")
+    x, y = F.col("x"), F.col("y")
+    for name, (lon, lat) in CORRECTED_PLACES.items():
+        x, y = F.when(code == name, lon).otherwise(x), F.when(code == name, lat).otherwise(y)
+    return rows.select(code.alias("code"), x.alias("x"), y.alias("y")).where("code is not null and x is not null and y is not null")
+
+
+def location_codes(spark: SparkSession, path: str, table: str = "unlo") -> DataFrame:
+    """corrected_places() of a GeoPackage whose points are in `table`; a point's coordinates are the last 16 bytes."""
+    rows = sqlite_table(spark, path, f"SELECT country_code, location_code, geom FROM {table} WHERE geom IS NOT NULL", "country_code string, location_code string, geom binary")  # noqa: S608
+
+    @F.pandas_udf("struct<x:double,y:double>")
+    def place(blob: pd.Series) -> pd.DataFrame:
+        xy = [struct.unpack("<dd", bytes(b)[-16:]) if b is not None and len(b) >= 21 else (None, None) for b in blob]
+        return pd.DataFrame(xy, columns=["x", "y"], dtype=float)
+
+    return corrected_places(rows.select("country_code", "location_code", place("geom").alias("p")).select("country_code", "location_code", "p.x", "p.y"))
+
+
+def od_matrix(spark: SparkSession, path: str, origin: str, destination: str, weight: str) -> DataFrame:
+    """origin, destination, weight of a CSV matrix with a header; other columns are not parsed."""
+    rows = spark.read.option("header", True).csv(path)
+    return rows.select(F.col(f"`{origin}`").alias("origin"), F.col(f"`{destination}`").alias("destination"), F.col(f"`{weight}`").try_cast("double").alias("weight"))
+
+
+def border_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    """The table of border nodes, if the folder has one; else an empty table of its columns."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return parquet_table(spark, folder, "border_nodes")
+    except (AnalysisException, FileNotFoundError):
+        return spark.createDataFrame([], "node_id string, borderpoint string, locode string")
+
+
+def captured_pages(spark: SparkSession, path: str, result: str) -> DataFrame:
+    """The rows of a paged service's captured answers (JSON lines of {"Result": [...], "Offset", "TotalCount"}): result is
+    their DDL. A page that was captured again counts once, and a type whose pages don't reach its total is an error."""
+    pages = spark.read.schema(f"GeoType string, Offset bigint, TotalCount bigint, Result array<struct<{_as_struct(result)}>>").json(path)
+    last = pages.groupBy("GeoType", "Offset").agg(F.max_by(F.struct("TotalCount", "Result"), F.size("Result")).alias("p"))
+    got = last.groupBy(F.col("GeoType").alias("_type")).agg(F.sum(F.size("p.Result")).alias("_got"), F.max("p.TotalCount").alias("_all"))
+    whole = F.when(F.col("_got") >= F.coalesce("_all", F.lit(0)), True).otherwise(F.raise_error(F.concat(F.lit("pages are missing of "), F.col("_type"))).cast("boolean"))
+    rows = last.join(got.where(whole), F.col("GeoType").eqNullSafe(F.col("_type")))
+    return rows.select("GeoType", F.explode("p.Result").alias("r")).select("GeoType", "r.*")
+
+
+def feature_rows(spark: SparkSession, path: str, layers: tuple[str, ...], properties: str) -> DataFrame:
+    """layer, properties, geometry (as text) of captured feature answers, a file <layer>.json each: layers that weren't
+    captured have no rows, other files are left out."""
+    schema = f"features array<struct<properties:struct<{_as_struct(properties)}>,geometry:string>>"
+    rows = spark.read.schema(schema).option("multiLine", True).json(path).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1).alias("layer"), F.explode("features").alias("f"))
+    return rows.where(F.col("layer").isin(*layers)).select("layer", "f.properties.*", "f.geometry")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from ..operators.relational import keep_first
+from ..functions.scalars import stringify_id
 from ..operators.schema import sanitized
 
 
@@ -76,3 +77,52 @@ def discrepancies(left: DataFrame, matches: DataFrame, left_id: str) -> tuple[Da
     """Rows of left without a match, and left ids with several."""
     hit = matches.where(F.col("right_id").isNotNull()).select(F.col("left_id").alias(left_id))
     return left.join(hit, left_id, "left_anti"), hit.groupBy(left_id).count().where("count > 1")
+
+
+def with_line(df: DataFrame, path: str, name: str, line: str = "geometry") -> None:
+    """A table as Parquet (flat columns and the line) and as lines of GeoJSON features; ids are clean texts."""
+    flat = sanitized(df.drop(line)).columns
+    own = df.select(*[stringify_id(c).alias(c) if c == "id" or c.endswith("_id") else F.col(c) for c in flat], line)
+    own.write.mode("overwrite").parquet(f"{path}/{name}")
+    geojson_lines(own.where(F.size(line) > 0), line).write.mode("overwrite").text(f"{path}/{name}.geojson")
+
+
+def export_schematization(complexes: DataFrame, tables: dict[str, DataFrame], path: str) -> list[str]:
+    """summary.json, a line for each complex with all that is nested in it, and each table that has rows with its lines."""
+    complexes.write.mode("overwrite").json(f"{path}/summary.json")
+    out = []
+    for name, df in tables.items():
+        if df.limit(1).count():
+            with_line(df, path, name) if "geometry" in df.columns else sanitized(df).write.mode("overwrite").parquet(f"{path}/{name}")
+            out.append(name)
+    return out
+
+
+def export_assignment(trips: DataFrame, intensity: DataFrame, penalised: DataFrame | None, edges: DataFrame, path: str) -> None:
+    """The layers of an assignment: intensity and penalised edges with their lines (edges: key, geometry), and the trips with
+    their paths. No trips that got through is an error."""
+    through = trips.where("status = 'success'")
+    if not through.limit(1).count() or not intensity.limit(1).count():
+        raise ValueError("no voyage was routed")
+    lines = edges.select(F.col("key").alias("_key"), "geometry")
+    with_line(intensity.join(lines, F.col("edge") == F.col("_key")).drop("_key"), path, "intensity")
+    if penalised is not None and penalised.limit(1).count():
+        with_line(penalised.join(lines, F.col("key") == F.col("_key")).drop("_key"), path, "penalised_edges")
+    through.write.mode("overwrite").parquet(f"{path}/trips_with_paths")
+
+
+def missing_artifacts(spark: SparkSession, path: str, needed: tuple[str, ...]) -> list[str]:
+    """Names of needed that aren't in the folder, on any file system that Spark reads: a publication's check."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [n for n in needed if not files.exists(jvm.org.apache.hadoop.fs.Path(folder, n))]
+
+
+def comparison_report(title: str, figures: dict[str, DataFrame], most: int = 50) -> str:
+    """report() of small tables: a section each, of its first `most` rows by its first column."""
+    sections = {}
+    for name, df in figures.items():
+        rows = df.orderBy(df.columns[0]).limit(most).collect()
+        sections[name] = [(r[0], ", ".join(f"{c} {r[c]}" for c in df.columns[1:])) for r in rows]
+    return report(title, sections)

@@ -15,7 +15,7 @@ def test_build_validate_and_dropins(spark, tmp_path, capsys):
     assert "| components | [(10, 3)] |" in (tmp_path / "report.md").read_text()
     spark.createDataFrame([("s", "a", "b", 100.0)], "section_id string, start string, end string, length double").write.parquet(f"{src}/sections")
     spark.createDataFrame([("s", 50.0, 10.0, "L")], "section_id string, distance double, buffer double, id string").write.parquet(f"{src}/cuts")
-    cli.main(["dropins", src, str(tmp_path / "d")])
+    cli.main(["cuts", src, str(tmp_path / "d")])
     assert spark.read.parquet(str(tmp_path / "d")).count() == 2
 
 
