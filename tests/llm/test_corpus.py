@@ -387,11 +387,35 @@ def test_seats_are_within_bounds_and_repeatable():
     c = np.array([1, 2, 5, 400, 1_000_000.0])
     t = hpylm.seated(c, np.full(5, 3.0), 0.5, np.arange(5))
     assert (t >= 1).all() and (t <= c).all() and (t == hpylm.seated(c, np.full(5, 3.0), 0.5, np.arange(5))).all()
-    # expected tables of a Chinese restaurant with discount 0: sum of a / (a + i)
+    # expected tables of a Chinese restaurant with discount 0, strength a: sum of a / (a + i)
     many = hpylm.seated(np.full(4000, 200.0), np.full(4000, 3.0), 0.0, np.arange(4000) * 7919).mean()
     assert many == pytest.approx(1 + sum(3 / (3 + i) for i in range(1, 200)), rel=0.05)
 
 
+def test_blocked_sweeps_sample_the_posterior():
+    """One restaurant of two dishes under a fixed base, small enough to sum over all numbers of tables: the sweeps' shares of
+    each pair of table numbers are the Pitman-Yor posterior's."""
+    d, strength, counts, base = 0.5, 1.5, (3, 4), (0.3, 0.2)
+
+    def ways(c, t):  # sums over seatings of c customers at t tables of the products of (1 - d)(2 - d)... : Stirling-like numbers
+        s = {(0, 0): 1.0}
+        for n in range(1, c + 1):
+            for k in range(n + 1):
+                s[n, k] = s.get((n - 1, k - 1), 0.0) + (n - 1 - d * k) * s.get((n - 1, k), 0.0)
+        return s[c, t]
+
+    weight = {(a, b): math.prod(strength + d * i for i in range(a + b)) * base[0] ** a * base[1] ** b * ways(counts[0], a) * ways(counts[1], b) for a in range(1, 4) for b in range(1, 5)}
+    total, seen = sum(weight.values()), Counter()
+    t = [np.ones(6000), np.ones(6000)]
+    for turn in range(12):
+        for i in (0, 1):
+            t[i] = hpylm.seated(np.full(6000, float(counts[i])), strength + d * t[1 - i], d, np.arange(6000) * 7919 + turn * 31 + i * 1_000_003, base[i])
+        if turn >= 4:
+            seen.update(zip(t[0].astype(int).tolist(), t[1].astype(int).tolist(), strict=True))
+    for k, w in weight.items():
+        assert seen[k] / sum(seen.values()) == pytest.approx(w / total, abs=0.012)
+
+
 def test_language_model_of_odd_tables(spark, empty, clashing, rows):
     assert scored(empty) == [] and len(scored(clashing)) == len(rows)
     alone = spark.createDataFrame([(i, "a b") for i in range(40) if zlib.crc32(str(i).encode()) % 7 == 2], "doc_id bigint, text string")

@@ -1,0 +1,124 @@
+"""The driver's queries of the operators as they are registered, over whole small tables: against SQL, or brute force."""
+
+import hashlib
+import math
+import os
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from test_texts import ASSIGN, base_places, base_spans, edited, in_turn  # noqa: F401
+
+import __spark_entry__ as entry
+from navnet.llm import digest, hpylm, queries
+from navnet.llm.tokens import Encoder, library_vocabulary
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def own(spark):
+    return [(r.doc_id, r.text or "", r.lang) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+
+
+def result(spark, name):
+    return entry.queries()[name](spark, FOLDER).collect()
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{FOLDER}/documents.parquet'")
+    df = entry.queries()[name](spark, FOLDER)
+    con.execute(entry.oracle_sql()[name])
+    names = [c[0] for c in con.description]
+    assert sorted(names) == sorted(df.columns)
+    assert sorted((tuple(r[c] for c in sorted(names)) for r in df.collect()), key=repr) == sorted((tuple(r[names.index(c)] for c in sorted(names)) for r in con.fetchall()), key=repr)
+
+
+def test_op2(spark, own):
+    order = in_turn(own)
+    want = {}
+    for k, (i, text, _) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        want[i] = (len(text), hashlib.sha256(edited(text, after).encode()).hexdigest(), digest.encode(digest.digests([text.encode()]))[0])
+    got = result(spark, "op2_fingerprints")
+    assert {r.doc_id: (r.n_chars, r.edited_sha256, r.fingerprint) for r in got} == want and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+
+
+def test_op4(spark, own):
+    got = sorted(result(spark, "op4_training_order"), key=lambda r: r.slot)
+    assert [r.slot for r in got] == list(range(len(got)))
+    encode = Encoder(*library_vocabulary()[:2]).encode
+    parts = defaultdict(dict)
+    for r in got:
+        parts[r.doc_id][r.piece] = np.frombuffer(r.record, "<u2", r.n_tokens, 20)
+        assert zlib.crc32(parts[r.doc_id][r.piece].tobytes()) == r.ids_crc32
+    for i, text, _ in own:
+        assert np.concatenate([parts[i][k] for k in range(len(parts[i]))]).tolist() == [*np.frombuffer(encode(text), "<u4").tolist(), 50256]
+
+
+def test_op5(spark, own):
+    texts = {i: text for i, text, _ in own}
+    got = result(spark, "op5_license_scan")
+    assert {r.doc_id for r in got} == set(texts)
+    for r in got:
+        n, places = base_places(texts[r.doc_id])
+        starts, labels = [s for s, _ in places], sorted({x for _, x in places})
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (n, len(places), min(starts, default=None), max(starts, default=None), ",".join(labels))
+        assert set(labels) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1
+
+
+def test_op6(spark, own):
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    count = Counter(w for i, text, _ in own if not held(i) for w in hpylm.words(text))
+    n, v = sum(count.values()), len(count)
+    got = {r.doc_id: r for r in result(spark, "op6_lm_scoring")}
+    for i, text, _ in own:
+        words = hpylm.words(text)
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(i), len(words), sum(w in count for w in words), n)
+        assert r.base_score == pytest.approx(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in words), rel=1e-9) and r.score < 0
+
+
+def test_op7(spark, own):
+    encode = Encoder(*library_vocabulary()).encode
+    got = result(spark, "op7_best_fit_packing")
+    pieces, bins = defaultdict(dict), defaultdict(list)
+    for r in got:
+        pieces[r.doc_id][r.piece] = (r.start, r.length, r.ids_crc32)
+        bins[r.sequence_id].append((r.offset, r.length))
+    for i, text, _ in own:
+        ids = encode(text) + (2).to_bytes(4, "little")
+        at = 0
+        for k in range(len(pieces[i])):
+            start, length, crc = pieces[i][k]
+            assert start == at and crc == zlib.crc32(ids[4 * at : 4 * (at + length)]) and (length == 1024 or k == 0)
+            at += length
+        assert at == len(ids) // 4
+    assert all(sum(n for _, n in b) <= 1024 and sorted(b) == [(sum(n for _, n in sorted(b)[:k]), sorted(b)[k][1]) for k in range(len(b))] for b in bins.values())
+    assert len(bins) <= 1.05 * sum(n for b in bins.values() for _, n in b) / 1024 + 1
+
+
+def test_op9(spark, own):
+    names = ("assign", "access", "hex")
+    got = {r.doc_id: r for r in result(spark, "op9_secret_scan")}
+    for i, text, _ in own:
+        spans, r = base_spans(text), got[i]
+        listed = ",".join(f"{names[k]}:{a}:{b}" for a, k, b in spans)
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == j for _, k, _ in spans) for j in range(3)]
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest() and set(filter(None, listed.split(","))) <= set(filter(None, r.spans.split(",")))
+
+
+def test_op10(spark, own):
+    got = {r.doc_id: r for r in result(spark, "op10_language_id")}
+    learnt = {lang for i, _, lang in own if lang and zlib.crc32(str(i).encode()) % 3 != 1}
+    for i, text, _ in own:
+        r = got[i]
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= r.score <= 1
+        assert (r.lang_pred == "und") == (not any(c.isalpha() for c in text)) and r.lang_pred in learnt | {"und"}
+    held = [(got[i].lang_pred, lang) for i, text, lang in own if lang and got[i].held_out and len(text.split()) > 20]
+    assert sum(a == b for a, b in held) >= 0.95 * len(held)
