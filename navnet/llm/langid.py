@@ -155,20 +155,25 @@ def identify(docs: DataFrame, model: PpmModel, keep: tuple[str, ...] = ("doc_id"
     shortest code's bits over the text's bytes, null for und. Repeated rows give repeated results; an empty table none.
     """
     added = ("lang_pred", "score", "bits_per_byte")
-    return _identified(docs, model, keep).select(*[F.col("_row")[f"c{i}"].alias(c) for i, c in enumerate(keep) if c not in added], *added)
+    return _identified(docs, model, keep).select(*[c for c, name in zip(_kept(keep), keep, strict=True) if name not in added], *added)
 
 
 def recognised(docs: DataFrame, model: PpmModel) -> DataFrame:
     """The rows of docs, all columns, whose text is in a learnt language."""
     found = _identified(docs, model, tuple(docs.columns)).where(F.col("lang_pred") != UNDETERMINED)
-    return found.select(*[F.col("_row")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)])
+    return found.select(*_kept(docs.columns))
+
+
+def _kept(keep: tuple[str, ...]) -> list[Column]:
+    """The columns keep of _identified()."""
+    return [(F.col("_text") if c == "text" else F.col("_row")[f"c{i}"]).alias(c) for i, c in enumerate(keep)]
 
 
 def _identified(docs: DataFrame, model: PpmModel, keep: tuple[str, ...]) -> DataFrame:
-    """_row (a struct of keep, by number), lang_pred, score, bits_per_byte."""
+    """_row (a struct of keep, by number, without the text), _text if it is kept, lang_pred, score, bits_per_byte."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)])
-    rows = docs.select(row.alias("_row"), "text")
+    row = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep) if c != "text"])
+    rows, whole = docs.select(row.alias("_row"), "text"), "text" in keep
 
     def run(batch: pa.RecordBatch) -> dict:
         m = shared.value
@@ -179,9 +184,9 @@ def _identified(docs: DataFrame, model: PpmModel, keep: tuple[str, ...]) -> Data
         for i, text, bits in zip(good, raw, m.code_lengths(raw), strict=True):
             best = int(bits.argmin())
             langs[i], scores[i], rates[i] = m.languages[best], float(1.0 / np.exp2(bits[best] - bits).sum()), float(bits[best] / len(text))
-        return {"_row": batch.column("_row"), "lang_pred": langs, "score": scores, "bits_per_byte": rates}
+        return {"_row": batch.column("_row"), **({"_text": batch.column("text")} if whole else {}), "lang_pred": langs, "score": scores, "bits_per_byte": rates}
 
-    return arrow_map(rows, run, f"_row {dict(rows.dtypes)['_row']}, lang_pred string, score double, bits_per_byte double")
+    return arrow_map(rows, run, f"_row {dict(rows.dtypes)['_row']}, {'_text string, ' if whole else ''}lang_pred string, score double, bits_per_byte double")
 
 
 def fitted(docs: DataFrame, per_language: int = 160, max_bytes: int = 16384) -> PpmModel:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.components import components
-from .common import arrow_map, stored
+from .common import arrow_map, release, slices, stored
 
 FREQUENT, SMALL, PIVOTS, ROUNDS, LIST, BLOCK = 64, 16, 12, 1, 64, 400_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -36,7 +36,7 @@ class _Hashes(dict):
     """xxh64 of words, kept up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -82,7 +82,7 @@ def digests(docs: DataFrame) -> DataFrame:
     parts = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b)):
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             sets = [shingle_set(t) for t in texts]
             keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
@@ -113,6 +113,7 @@ def digests(docs: DataFrame) -> DataFrame:
                 pa.array([*[None] * n, *(x[0] for x in lists)], pa.int32()), *(pa.array([*[None] * n, *(x[k] for x in lists)], pa.binary()) for k in (1, 2, 3)),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        release()
 
     schema = f"doc_id {kind}, n_shingles bigint, digest binary, known bigint, key string, batch string, number int, bucket int, tokens binary, counts binary, holders binary"
     names = [x.split()[0] for x in schema.split(", ")]
@@ -148,6 +149,8 @@ def survivors(rows: DataFrame) -> DataFrame:
         batch, first = np.unique(where[hit], return_index=True)
         groups = np.split(holder[hit], first[1:]) if len(batch) else []
         yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in batch], pa.string()), pa.array([g.tobytes() for g in groups], pa.binary())], names=["batch", "hits"])
+        del where, token, count, holder, order, same, many, hit, groups, tokens, counts, holders
+        release()
 
     def total(batch: pa.RecordBatch) -> dict:
         """Of each batch of documents, how many of a document's tokens the buckets have found elsewhere."""
