@@ -383,6 +383,20 @@ def test_probabilities_sum_to_one(docs):
     assert (total + back)[used] == pytest.approx(np.ones(used.sum()))
 
 
+def test_seats_stored_after_the_burn_in_change_nothing(docs, spark):
+    table = hpylm.stored(hpylm.counted(docs.withColumn("held_out", F.lit(False))), "test-counts")
+    burnt = hpylm.burnt_in(table)
+    (plain, tokens), (late, again) = hpylm.fit(table), hpylm.fit(burnt)
+    assert tokens == again and len(plain) == 1 + hpylm.BURN_IN + hpylm.SAMPLES and len(late) == 1 + hpylm.SAMPLES
+    for x, y in zip(plain[hpylm.BURN_IN :], late, strict=True):
+        assert (x.customers == y.customers).all() and (x.tables == y.tables).all()
+        assert (x.parent_customers, x.parent_tables, x.known) == (y.parent_customers, y.parent_tables, y.known)
+    model = lambda t, h: sorted((bytes(r.word), r.total, r.classes, r.direct, r.parent) for r in hpylm.predicted(t, h).collect())
+    assert model(table, plain) == model(burnt, late)
+    empty = hpylm.burnt_in(hpylm.stored(hpylm.counted(docs.withColumn("held_out", F.lit(True))), "test-counts"))
+    assert empty.count() == 0 and hpylm.fit(empty)[1] == 0
+
+
 def test_seats_are_within_bounds_and_repeatable():
     c = np.array([1, 2, 5, 400, 1_000_000.0])
     t = hpylm.seated(c, np.full(5, 3.0), 0.5, np.arange(5))
