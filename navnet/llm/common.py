@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of [A-Z] as small letters, everything else as it is.
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Folders that stored() wrote since the innermost settled() began; None outside.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,9 +34,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     an executor is lost, and what made df runs once."""
     path = f"{shared_dir(df.sparkSession)}/navnet/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if (paths := _written.get()) is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """stored(make()). The tables that make() stored on the way are deleted when this one is written: nothing reads them
+    any more, and a lost executor's rows are read from this table again."""
+    token = _written.set(paths := [])
+    try:
+        df = make()
+    finally:
+        _written.reset(token)
+    out = stored(df, name)
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return out
+
+
 def numbered(df: DataFrame, name: str) -> DataFrame:
     """df with the column `name`: the place from 0 of each row in the table's order.
 

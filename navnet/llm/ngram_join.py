@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.components import components
-from .common import arrow_map, release, slices, stored
+from .common import arrow_map, release, slices, settled, stored
 
 FREQUENT, SMALL, PIVOTS, ROUNDS, LIST, BLOCK = 64, 16, 12, 1, 64, 400_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -347,7 +347,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs, all columns, without the documents that link, directly or not, to one with a smaller doc_id. Of rows that
     share doc_id and text one stays. Rows without doc_id go if they link to one that has one, else stay, once for each text."""
-    found = stored(_found(docs).select("doc_id", "component_id", "key"), "ngram-found")
+    found = settled(docs.sparkSession, lambda: _found(docs).select("doc_id", "component_id", "key"), "ngram-found")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     few = gone.count() <= 1_000_000  # ids; else both sides are shuffled
     again = found.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id")

@@ -5,13 +5,15 @@ import random
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from navnet.llm import hpylm, materialise, mixing, ngram_join, packing, topk
+from navnet.llm import common, hpylm, materialise, mixing, ngram_join, packing, topk
 from navnet.llm.tokens import Encoder, library_vocabulary, public_vocabulary
 
 
@@ -383,6 +385,21 @@ def test_probabilities_sum_to_one(docs):
     assert (total + back)[used] == pytest.approx(np.ones(used.sum()))
 
 
+def test_settled_deletes_what_was_stored_on_the_way(spark):
+    paths = []
+
+    def make():
+        half = common.stored(spark.range(10), "test-half")
+        paths.extend(half.inputFiles())
+        return half.where("id > 4")
+
+    out = common.settled(spark, make, "test-whole")
+    assert sorted(r.id for r in out.collect()) == [5, 6, 7, 8, 9]
+    assert paths and not any(Path(urlparse(p).path).exists() for p in paths)
+    other = common.stored(spark.range(3), "test-other")  # outside nothing is deleted
+    assert common.settled(spark, lambda: other, "test-copy").count() == other.count() == 3
+
+
 def test_seats_stored_after_the_burn_in_change_nothing(docs, spark):
     table = hpylm.stored(hpylm.counted(docs.withColumn("held_out", F.lit(False))), "test-counts")
     burnt = hpylm.burnt_in(table)
