@@ -11,7 +11,7 @@ import numpy as np
 #: A space before white space or at the end: only then may a token hold a space and what precedes it.
 _ODD = re.compile(r" (?:\s|$)")
 _CUT = re.compile(r" (?=\S)")
-_LONGEST, _MOST = 48, 400_000
+_LONGEST, _MOST = 48, 100_000
 
 
 class Encoder:
