@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest, hpylm, langid, licenses, materialise, mixing, ngram_join, packing, secret_scan, topk
+from . import codes, decontaminate, digest, hpylm, langid, licenses, materialise, mixing, ngram_join, packing, secret_scan, topk
 from .common import read
 
 
@@ -66,8 +66,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(read(spark, sf_dir, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_topk_search, op2_fingerprints, op3_ngram_jaccard, op4_training_order, op5_license_scan, op6_lm_scoring, op7_best_fit_packing, op8_source_mixing, op9_secret_scan, op10_language_id)}
+    return {f.__name__: f for f in (op1_topk_search, op2_fingerprints, op3_ngram_jaccard, op4_training_order, op5_license_scan, op6_lm_scoring, op7_best_fit_packing, op8_source_mixing, op9_secret_scan, op10_language_id, op11_decontamination, op13_vector_codes)}
 
 
 #: DuckDB, over the tables as views. Word lists and shingles are materialised once.
@@ -133,7 +149,58 @@ SELECT r.doc_id, r.source, r.rank, r.rank // 64 AS block, b.begin + (r.rank // 6
 FROM r JOIN s USING (src) JOIN b ON b.first <= r.rank // 64 // s.units AND r.rank // 64 // s.units < b.last
 JOIN k ON k.first = b.first AND k.src = r.src AND k.k = r.rank // 64 % s.units
 """
+#: Every window of every item against all stretches of as many words.
+OP11 = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM benchmark
+), w AS MATERIALIZED (
+  SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item, least(len(a), 10) AS n, array_to_string(a[i:i + least(len(a), 10) - 1], ' ') AS t
+  FROM b, unnest(generate_series(1, len(a) - least(len(a), 10) + 1)) AS g(i) WHERE len(a) > 0
+), z AS (SELECT DISTINCT n FROM w
+), x AS MATERIALIZED (SELECT r, i, n, array_to_string(a[i:i + n - 1], ' ') AS t FROM d, z, unnest(generate_series(1, len(a) - n + 1)) AS g(i)
+), h AS MATERIALIZED (SELECT x.r, x.i, x.n, w.item FROM x JOIN w ON x.n = w.n AND x.t = w.t
+), k AS (SELECT r, count(DISTINCT p) AS n_hit FROM h, unnest(generate_series(i, i + n - 1)) AS u(p) GROUP BY r
+), m AS (SELECT r, list_sort(list(DISTINCT item)) AS items FROM h GROUP BY r)
+SELECT doc_id, len(a)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN k USING (r) LEFT JOIN m USING (r)
+"""
+#: The codebooks c0 to c6 of the rounds, each from the assignment a of the one before.
+OP13 = (
+    r"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), q AS MATERIALIZED (
+  SELECT r, vec_id, i // (len(v) // 8) AS p, i % (len(v) // 8) AS d, floor(4096 * v[i + 1]::DOUBLE)::BIGINT AS x FROM e, unnest(generate_series(0, len(v) - 1)) AS g(i)
+), f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM (SELECT DISTINCT vec_id FROM e WHERE vec_id IS NOT NULL) AS y QUALIFY k < 16
+), c0 AS MATERIALIZED (SELECT p, k, d, min(x) AS c FROM q JOIN f USING (vec_id) GROUP BY p, k, d
+)"""
+    + "".join(
+        rf""", a{n} AS MATERIALIZED (
+  SELECT r, p, min(s * 16 + k) % 16 AS k, min(s * 16 + k) // 16 AS s
+  FROM (SELECT r, p, k, sum((x - c) * (x - c))::BIGINT AS s FROM q JOIN c{n} USING (p, d) GROUP BY r, p, k) AS y GROUP BY r, p
+)"""
+        + (
+            rf""", c{n + 1} AS MATERIALIZED (
+  SELECT p, k, d, coalesce(m.c, o.c) AS c FROM c{n} AS o LEFT JOIN (
+    SELECT p, k, d, floor(sum(x)::DOUBLE / count(*))::BIGINT AS c FROM a{n} JOIN q USING (r, p) GROUP BY p, k, d) AS m USING (p, k, d)
+)"""
+            if n < codes.ROUNDS
+            else ""
+        )
+        for n in range(codes.ROUNDS + 1)
+    )
+    + rf""", t AS (
+  SELECT r, string_agg(format('{{:02x}}', k), '' ORDER BY p) AS code, sum(s)::BIGINT AS error FROM a{codes.ROUNDS} GROUP BY r
+), h AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, k, d)) AS codebooks_sha256 FROM c{codes.ROUNDS}
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM t JOIN e USING (r), h
+"""
+)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": OP1, "op8_source_mixing": OP8, "op3_ngram_jaccard": OP3}
+    return {"op1_topk_search": OP1, "op8_source_mixing": OP8, "op3_ngram_jaccard": OP3, "op11_decontamination": OP11, "op13_vector_codes": OP13}

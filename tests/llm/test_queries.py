@@ -31,7 +31,8 @@ def result(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{FOLDER}/documents.parquet'")
+    for table in ("documents", "benchmark", "embeddings", "sale_lines", "items", "vendors"):
+        con.execute(f"create view {table} as select * from '{FOLDER}/{table}.parquet'")
     df = entry.queries()[name](spark, FOLDER)
     con.execute(entry.oracle_sql()[name])
     names = [c[0] for c in con.description]
