@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import codes, decontaminate, digest, hpylm, langid, licenses, materialise, mixing, ngram_join, packing, secret_scan, topk
+from . import codes, decontaminate, digest, hpylm, langid, leaderboard, licenses, materialise, mixing, ngram_join, packing, secret_scan, topk
 from .common import read
 
 
@@ -78,12 +78,17 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_leaderboard_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = (read(spark, sf_dir, t) for t in ("sale_lines", "vendors", "items"))
+    return leaderboard.change_feed(leaderboard.sale_batches(*tables))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(read(spark, sf_dir, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_topk_search, op2_fingerprints, op3_ngram_jaccard, op4_training_order, op5_license_scan, op6_lm_scoring, op7_best_fit_packing, op8_source_mixing, op9_secret_scan, op10_language_id, op11_decontamination, op13_vector_codes)}
+    return {f.__name__: f for f in (op1_topk_search, op2_fingerprints, op3_ngram_jaccard, op4_training_order, op5_license_scan, op6_lm_scoring, op7_best_fit_packing, op8_source_mixing, op9_secret_scan, op10_language_id, op11_decontamination, op12_leaderboard_feed, op13_vector_codes)}
 
 
 #: DuckDB, over the tables as views. Word lists and shingles are materialised once.
@@ -167,6 +172,38 @@ SELECT doc_id, len(a)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN k USING (r) LEFT JOIN m USING (r)
 """
+#: h is CRC-32, bit by bit for its table of 256 and byte by byte for the texts. A board needs every item of the nation on every
+#: day: its revenue on the last day it changed.
+OP12 = r"""
+WITH z AS (
+  SELECT list_transform(generate_series(0, 255), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc
+), l AS (
+  SELECT *, coalesce(sale_id::VARCHAR, '') || ',' || coalesce(item_id::VARCHAR, '') || ',' || coalesce(vendor_id::VARCHAR, '') || ',' || coalesce(line_no::VARCHAR, '') AS ids FROM sale_lines
+), h AS MATERIALIZED (
+  SELECT l.*, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(ids, ''), lambda c: ascii(c)::BIGINT)), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) AS h FROM l, z
+), s AS (SELECT *, coalesce(date_diff('day', DATE '1970-01-01', shipped_at::DATE), 19723 + h % 150) AS s FROM h
+), a AS (SELECT *, s + h % 7 + CASE WHEN h % 5 = 0 THEN 20 ELSE 0 END AS a FROM s
+), b AS MATERIALIZED (SELECT *, least(8, greatest(1, 1 + floor((a - 19723) * 8 / 180)))::INTEGER AS batch FROM a
+), m AS (SELECT batch, max(max(s)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM b GROUP BY batch
+), r AS MATERIALIZED (
+  SELECT v.nation_id AS nation, b.item_id AS item, b.a AS day, any_value(b.batch) AS batch,
+    sum(CASE WHEN b.flag = 'swapped' THEN -1 ELSE 1 END * coalesce(floor(100 * b.amount + 0.5), b.quantity * floor(100 * i.price + 0.5), 0))::BIGINT AS cents
+  FROM b JOIN m USING (batch) JOIN vendors v ON v.vendor_id = b.vendor_id JOIN items i ON i.item_id = b.item_id
+  WHERE v.nation_id IS NOT NULL AND (m.seen IS NULL OR b.s + 15 >= m.seen) GROUP BY 1, 2, 3
+), c AS MATERIALIZED (
+  SELECT nation, item, day, sum(cents) OVER w::BIGINT AS revenue, lead(day) OVER w AS until FROM r WINDOW w AS (PARTITION BY nation, item ORDER BY day)
+), d AS MATERIALIZED (SELECT nation, day, any_value(batch) AS batch, row_number() OVER (PARTITION BY nation ORDER BY day) AS k FROM r GROUP BY nation, day
+), x AS MATERIALIZED (
+  SELECT d.nation, d.k, c.item, row_number() OVER (PARTITION BY d.nation, d.k ORDER BY c.revenue DESC, c.item) AS rank
+  FROM d JOIN c ON c.nation = d.nation AND c.day <= d.day AND (c.until IS NULL OR c.until > d.day) WHERE c.revenue > 0 QUALIFY rank <= 10
+), f AS (
+  SELECT coalesce(n.nation, o.nation) AS nation, coalesce(n.k, o.k + 1) AS k, coalesce(n.item, o.item) AS item, o.rank AS old_rank, n.rank AS new_rank
+  FROM x AS n FULL JOIN x AS o ON o.nation = n.nation AND o.k = n.k - 1 AND o.item = n.item WHERE o.rank IS DISTINCT FROM n.rank
+)
+SELECT f.nation AS nation_id, d.day AS arrival_day, f.item AS item_id, d.batch, CASE WHEN old_rank IS NULL THEN 'enter' WHEN new_rank IS NULL THEN 'exit' ELSE 'move' END AS change,
+  old_rank::INTEGER AS old_rank, new_rank::INTEGER AS new_rank, c.revenue
+FROM f JOIN d ON d.nation = f.nation AND d.k = f.k JOIN c ON c.nation = f.nation AND c.item = f.item AND c.day <= d.day AND (c.until IS NULL OR c.until > d.day)
+"""
 #: The codebooks c0 to c6 of the rounds, each from the assignment a of the one before.
 OP13 = (
     r"""
@@ -203,4 +240,4 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": OP1, "op8_source_mixing": OP8, "op3_ngram_jaccard": OP3, "op11_decontamination": OP11, "op13_vector_codes": OP13}
+    return {"op1_topk_search": OP1, "op8_source_mixing": OP8, "op3_ngram_jaccard": OP3, "op11_decontamination": OP11, "op12_leaderboard_feed": OP12, "op13_vector_codes": OP13}
