@@ -29,12 +29,23 @@ from .common import shared_dir, stored
 
 #: buckets: a shard's memory is 16 bytes for each of its items, so a nation's items over BUCKETS; a merger's is TOP items a
 #: bucket, whatever the input.
-TOP, BUCKETS, LATENESS, CHUNK = 10, 64, 15, 1 << 20
+TOP, BUCKETS, LATENESS, CHUNK = 10, 32, 15, 1 << 20
 #: One sum of a shard's packet; one change of a shard's board (on: whether the item is on it afterwards).
 SUM = np.dtype([("day", "<i8"), ("item", "<i8"), ("cents", "<i8")])
 CHANGE = np.dtype([("day", "<i8"), ("item", "<i8"), ("cents", "<i8"), ("on", "?")])
 FEED = "nation_id int, arrival_day bigint, item_id bigint, batch int, change string, old_rank int, new_rank int, revenue bigint"
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Settings of the session that streams. A start ends after one batch, so its stores are closed when they commit, and many
+#: small stores share one cache and hold no files in advance.
+STREAMING = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.totalMemoryUsageMB": "200",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    "spark.sql.streaming.minBatchesToRetain": "2",
+}
 
 
 def packets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,13 +187,7 @@ def change_feed(lines: DataFrame, top: int = TOP, buckets: int = BUCKETS, latene
     latest = spark.read.schema(own.schema).parquet(f"{folder}/cut").groupBy("batch").agg(F.max("event_day").alias("day")).orderBy("batch").collect()
 
     session = spark.newSession()
-    for name, value in {
-        "spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions"),
-        "spark.sql.streaming.stateStore.providerClass": PROVIDER,
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
-        "spark.sql.streaming.minBatchesToRetain": "2",
-    }.items():
+    for name, value in {"spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions"), **STREAMING}.items():
         session.conf.set(name, value)
     seen = None
     for batch, day in latest:
