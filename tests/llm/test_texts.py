@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -178,7 +179,8 @@ def test_battery_matches_brute_force(spark):
 
 def evidence(value):
     alphabet, classes = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", (26, 26, 10, 2)
-    for pattern, own, sizes in (("[0-9a-f]+", "0123456789abcdef", (10, 6)), ("[0-9A-F]+", "0123456789ABCDEF", (10, 6)), ("[A-Z2-7]+=*", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", (26, 6))):
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for pattern, own, sizes in (("[0-9a-f]+", "0123456789abcdef", (10, 6)), ("[0-9A-F]+", "0123456789ABCDEF", (10, 6)), ("[A-Z2-7]+=*", upper + "234567", (26, 6)), ("[0-9a-z]+", "0123456789" + lower, (10, 26)), ("[0-9A-Z]+", "0123456789" + upper, (10, 26))):
         if re.fullmatch(pattern, value):
             alphabet, classes = own, sizes
             break
@@ -204,6 +206,37 @@ def evidence(value):
     return (z * z / 2 + np.log(z * 2.5066282746)) / np.log(10) if z > 1 else 0.0
 
 
+def test_positions_take_time_in_proportion(spark):
+    """Many matches in one text: every position and the masked text as plain Python has them."""
+    rng = random.Random(18)
+    key = lambda: "AKIA" + "".join(rng.choice("ABCDEFGH0123") for _ in range(16))
+    texts = [" é".join(key() for _ in range(n)) for n in (1, 64, 65, 4100, 20_000)]
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, n_chars bigint")
+    began = time.time()
+    for r in secret_scan.find_secrets(df).collect():
+        assert [(b.start, b.kind, b.end) for b in r.base] == base_spans(texts[r.doc_id])
+    for r in secret_scan.redact(df).collect():
+        assert r.text == re.sub("AKIA[A-Z0-9]+", "[secret]", texts[r.doc_id]) and r.n_chars == len(r.text)
+    assert time.time() - began < 60
+
+
+def test_recall_by_encoding(spark):
+    """Planted strings of 20 to 60 characters, 40 of each encoding and length, among as many long words: the recall that
+    README states, and no false finding."""
+    rng = random.Random(19)
+    alphabets = {"base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "base36": "0123456789abcdefghijklmnopqrstuvwxyz", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "hex": "0123456789ABCDEF"}
+    rows = [(f"{name} {n}", "x " + "".join(rng.choice(a) for _ in range(n)) + " y") for name, a in alphabets.items() for n in (20, 32, 40, 60) for _ in range(40)]
+    plain = ["x " + "-".join(rng.choice(["river", "lock", "bridge", "annual", "report", "vessel", "harbour"]) for _ in range(4)) + " y" for _ in range(640)]
+    df = spark.createDataFrame([*rows, *(("plain", t) for t in plain)], "doc_id string, text string")
+    found = {}
+    for r in secret_scan.find_secrets(df).collect():
+        found[r.doc_id] = found.get(r.doc_id, 0) + any(s.kind == 3 for s in r.spans)
+    assert not found["plain"]
+    # Shorter strings of fewer symbols hold too little evidence at the rate of false findings that is kept.
+    sure = {"base64": 20, "hex": 32, "base36": 40, "base32": 60}
+    assert all(found[f"{name} {n}"] >= 36 for name, least in sure.items() for n in (20, 32, 40, 60) if n >= least)
+
+
 def test_random_letters_are_found(spark):
     """Strings without a digit are candidates as all others are."""
     rng = random.Random(17)
