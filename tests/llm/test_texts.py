@@ -126,6 +126,38 @@ def test_template_spans_are_chained():
     assert spans == [(2, 2 + len(mit), pytest.approx((len(mit) - 1) / len(mit)))]
 
 
+def labels_of(text):
+    a = licenses.build()
+    return {a.labels[k]: round(c, 2) for _, _, k, c in licenses.outstanding(licenses.scan(a, licenses.words(text)).spans, a.sizes, 0.6)}
+
+
+def test_a_longer_match_hides_no_other():
+    """Notices that share most of their words: each text gets its own label, and shorter notices within are known too."""
+    t = licenses.TEMPLATES
+    assert labels_of("x " + t["cc-by-nc-sa"] + " y") == {"cc-by-nc-sa": 1.0}
+    assert labels_of("x " + t["lgpl"] + " y") == {"lgpl": 1.0} and labels_of("x " + t["gpl"]) == {"gpl": 1.0}
+    found = licenses.scan(a := licenses.build(), licenses.words(t["cc-by-nc-sa"])).spans
+    assert {a.labels[k]: round(c, 2) for _, _, k, c in found if c >= 0.6} == {"cc-by-nc": 0.83, "cc-by-sa": 0.75, "cc-by-nc-sa": 1.0}  # runs of three words don't count
+    for name in ("mit", "isc", "bsd-2"):
+        assert labels_of("a b c " + t[f"{name}-whole"].replace(" IN NO EVENT", " changed IN NO EVENT") + " d")[name] >= 0.99
+    # a chain through a template's second place of a run
+    twice = licenses.build({"t": "a b c d x a b c d y z w v"}, {})
+    assert licenses.scan(twice, licenses.words("q a b c d q y z w v")).spans == [(1, 9, 0, pytest.approx(8 / 13))]
+
+
+def test_chains_match_all_chains():
+    """Words covered by the best chain, against trying all subsets of hits."""
+    rng = random.Random(8)
+    for _ in range(300):
+        hits = [(e, rng.randrange(1, 30), rng.randrange(1, 6)) for e in (rng.randrange(5, 60) for _ in range(rng.randrange(1, 7)))]
+        most = 0
+        for mask in range(1, 1 << len(hits)):
+            own = sorted(h for i, h in enumerate(hits) if mask >> i & 1)
+            if all(p[1] < q[1] and p[0] < q[0] and q[0] - q[2] - p[0] <= 9 for p, q in zip(own, own[1:], strict=False)):
+                most = max(most, own[0][2] + sum(min(q[2], q[1] - p[1], q[0] - p[0]) for p, q in zip(own, own[1:], strict=False)))
+        assert max(c for *_, c in licenses.chained(hits, 9)) == most
+
+
 def test_licenses_of_odd_tables(empty, clashing, rows):
     assert licenses.scan_licenses(empty).count() == 0
     assert licenses.scan_licenses(clashing).count() == len(rows)
