@@ -9,6 +9,7 @@ of a computed shard: reads are sequential, and resume at any slot.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -101,25 +102,44 @@ def materialise(docs: DataFrame, key: int = 20, length: int = 512, shard_slots:
     return ordered(stored(sequences(docs, length), "sequences"), key, length, shard_slots)
 
 
-def write_shards(rows: DataFrame, path: str) -> None:
+def write_shards(rows: DataFrame, path: str, key: int = 20, length: int = 512) -> None:
     """A file for each shard, part-<shard>: its records in order of slots, one stride apart. Spark's committer writes it,
-    to any file system and safe from lost executors; bytes pass through the text sink as they are."""
+    to any file system and safe from lost executors; bytes pass through the text sink as they are. The folder _manifest
+    has what resume() needs: stride, shard_slots, total and key, from the sizes of the files as they were written."""
     rows.select(F.col("record").cast("string").alias("value")).write.text(path)
+    stride = HEADER_SIZE + 2 * length + 1
+    spark = rows.sparkSession
+    files = spark.read.format("binaryFile").load(path).select("length")
+    most, total, odd = files.agg(F.max("length"), F.sum("length"), F.count(F.when(F.col("length") % stride != 0, 1))).first()
+    if odd:
+        raise ValueError(f"records aren't {stride} bytes apart: length must be the sequences' own")
+    manifest = {"stride": stride, "shard_slots": max(1, (most or 0) // stride), "total": (total or 0) // stride, "key": key}
+    spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.text(f"{path}/_manifest")
+
 
+def manifest(files: pa.fs.FileSystem, root: str) -> dict:
+    """What write_shards() kept of the shards under root."""
+    part = next(f.path for f in files.get_file_info(pa.fs.FileSelector(f"{root}/_manifest")) if f.base_name.startswith("part-"))
+    with files.open_input_file(part) as f:
+        return json.loads(f.read())
 
-def resume(path: str, slot: int, count: int, length: int = 512, shard_slots: int = 16_384) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
+
+def resume(path: str, slot: int, count: int) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
     """slot, doc_id, piece, ids of `count` records from `slot` on, or as many as there are: each is read at its computed
-    place, in order, and nothing before it. path: the folder of write_shards(), on any file system that pyarrow knows;
-    shard_slots: the slots of a shard (of ordered()'s rows, shard 1's first slot)."""
+    place, in order, and nothing before it. path: the folder of write_shards(), on any file system that pyarrow knows; how
+    large its shards are stands in its manifest, also where they grew because there are more than MOST_SHARDS of them. A
+    slot below 0 is an error."""
+    if slot < 0:
+        raise ValueError(f"no slot {slot}")
     files, root = pa.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pa.fs.LocalFileSystem(), path)
+    own = manifest(files, root)
+    stride, shard_slots = own["stride"], own["shard_slots"]
     shards = sorted(f.path for f in files.get_file_info(pa.fs.FileSelector(root)) if f.base_name.startswith("part-"))
-    stride = HEADER_SIZE + 2 * length + 1
-    while count > 0 and slot // shard_slots < len(shards):
+    while count > 0 and slot < own["total"]:
         with files.open_input_file(shards[slot // shard_slots]) as f:
             f.seek(slot % shard_slots * stride)
-            for _ in range(min(count, shard_slots - slot % shard_slots)):
-                if len(record := f.read(stride)) < stride:
-                    return
+            for _ in range(min(count, shard_slots - slot % shard_slots, own["total"] - slot)):
+                record = f.read(stride)
                 doc, known, piece, n = struct.unpack_from(HEADER, record)
                 yield slot, doc if known else None, piece, np.frombuffer(record, "<u2", n, HEADER_SIZE)
                 slot, count = slot + 1, count - 1

@@ -259,11 +259,11 @@ def test_training_order_round_trip(spark, docs, rows, tmp_path):
     stride = len(got[0].record) + 1
     assert [r.slot for r in got] == list(range(len(got))) and all(r.shard == r.slot // 100 and r.byte_offset == r.slot % 100 * stride for r in got)
     path = str(tmp_path / "shards")
-    materialise.write_shards(out, path)
+    materialise.write_shards(out, path, length=16)
     back = sorted(materialise.read_shards(spark, path, length=16).collect(), key=lambda r: (r.file, r.at))
     assert [(r.doc_id, r.piece, zlib.crc32(np.array(r.ids, "<u2").tobytes())) for r in back] == [(r.doc_id, r.piece, r.ids_crc32) for r in got]
     for first, count in ((0, 3), (95, 130), (len(got) - 2, 9)):  # a reader takes up at any slot
-        again = [(s, d, p, zlib.crc32(i.tobytes())) for s, d, p, i in materialise.resume(path, first, count, length=16, shard_slots=100)]
+        again = [(s, d, p, zlib.crc32(i.tobytes())) for s, d, p, i in materialise.resume(path, first, count)]
         assert again == [(r.slot, r.doc_id, r.piece, r.ids_crc32) for r in got[first : first + count]]
     own = Encoder(*public_vocabulary())
     whole = Counter(tuple([*np.frombuffer(own.encode(r[1] or ""), "<u4").tolist(), 50256]) for r in rows if r[0] is not None and r[0] != 3)
@@ -273,6 +273,19 @@ def test_training_order_round_trip(spark, docs, rows, tmp_path):
     assert Counter(tuple(v) for k, v in texts.items() if k != 3) == whole
 
 
+def test_resume_where_shards_grew(docs, empty, tmp_path, monkeypatch):
+    """More sequences than the bound on shards allows: shards are larger, and the manifest says so."""
+    monkeypatch.setattr(materialise, "MOST_SHARDS", 4)
+    own = materialise.materialise(docs, length=16, shard_slots=10)
+    got = sorted(own.collect(), key=lambda r: r.slot)
+    materialise.write_shards(own, path := str(tmp_path / "grown"), length=16)
+    for first in (0, 9, 100, len(got) - 3):
+        assert [(s, d, p) for s, d, p, _ in materialise.resume(path, first, 5)] == [(r.slot, r.doc_id, r.piece) for r in got[first : first + 5]]
+    assert list(materialise.resume(path, len(got), 5)) == []
+    materialise.write_shards(materialise.materialise(empty, length=16), path := str(tmp_path / "none"), length=16)
+    assert list(materialise.resume(path, 0, 5)) == []
+
+
 def test_training_order_of_odd_tables(empty, clashing, docs):
     assert materialise.materialise(empty).count() == 0
     assert materialise.materialise(clashing).count() == materialise.materialise(docs).count()
