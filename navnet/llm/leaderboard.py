@@ -35,7 +35,8 @@ SUM = np.dtype([("day", "<i8"), ("item", "<i8"), ("cents", "<i8")])
 CHANGE = np.dtype([("day", "<i8"), ("item", "<i8"), ("cents", "<i8"), ("on", "?")])
 FEED = "nation_id int, arrival_day bigint, item_id bigint, batch int, change string, old_rank int, new_rank int, revenue bigint"
 #: Settings of the session that streams. A start ends after one batch, so its stores are closed when they commit, and many
-#: small stores share one cache and hold no files in advance.
+#: small stores share one cache and hold no files in advance, and write none but their own; a batch's files are listed by
+#: few tasks.
 STREAMING = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
@@ -43,7 +44,9 @@ STREAMING = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.totalMemoryUsageMB": "200",
+    "spark.sql.streaming.checkpoint.fileChecksum.enabled": "false",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
     "spark.sql.streaming.minBatchesToRetain": "2",
 }
 
