@@ -138,6 +138,16 @@ def cut(line: Column, at: Column) -> Column:
     return F.struct(substring(line, F.lit(0.0), at).alias("before"), substring(line, at, line_length(line)).alias("after"))
 
 
+def cut_to_point(line: Column, p: Column) -> Column:
+    """struct(before, after, before_empty, after_empty): a line cut where it is nearest to p, both ends there moved to p. A
+    part that the cut leaves nothing of goes straight between the line's end and p, and is marked empty."""
+    at, size = project(line, p), line_length(line)
+    parts = cut(line, at)
+    before = F.when(at <= 0, F.array(line[0], p)).otherwise(F.concat(F.slice(parts["before"], F.lit(1), F.size(parts["before"]) - 1), F.array(p)))
+    after = F.when(at >= size, F.array(p, F.element_at(line, -1))).otherwise(F.concat(F.array(p), F.slice(parts["after"], F.lit(2), F.size(parts["after"]))))
+    return F.struct(before.alias("before"), after.alias("after"), (at <= 0).alias("before_empty"), (at >= size).alias("after_empty"))
+
+
 def centroid(ring: Column) -> Column:
     """Of a closed ring, by area; of a degenerate one, the mean of its points."""
     area = F.aggregate(_segments(ring), F.lit(0.0), lambda s, g: s + (g["a"]["x"] * g["b"]["y"] - g["b"]["x"] * g["a"]["y"]))

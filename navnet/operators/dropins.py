@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..functions import lines as L
 from ..functions.scalars import stringify_id
 from .network import split_features
 from .relational import ragged_union
 from .schema import exploded
-from .splice import access_features, passages, splice
-from .structures import detailed_features, embedded, inject
+from .splice import access_features, cut_buffer, passages, segment_nodes, splice, splice_lines
+from .structures import detailed_features, embedded, hosting, inject
 
 POINT = "struct<x:double,y:double>"
 
@@ -48,48 +49,97 @@ def node_points(own: DataFrame, kind: str) -> DataFrame:
 
 
 def with_geometry(features: DataFrame, points: DataFrame) -> DataFrame:
-    """features (id, feature_type, source_node, target_node, ...) with geometry: a node's point, an edge's line between its
-    ends; null where a point isn't known."""
-    p = points.groupBy("id").agg(F.min("point").alias("point"))
+    """features (id, feature_type, source_node, target_node, ...) with geometry: its own line where it has one, a node's
+    point, an edge's line between its ends; null where a point isn't known. Of points (id, point) of one id, the one of the
+    smallest rank counts, if they have one."""
+    rank = F.col("rank") if "rank" in points.columns else F.lit(0)
+    p = points.groupBy("id").agg(F.min(F.struct(rank.alias("rank"), "point")).alias("p")).select("id", F.col("p.point").alias("point"))
     own = features.join(p.withColumnRenamed("point", "_own"), "id", "left")
     for end in ("source", "target"):
         own = own.join(p.select(F.col("id").alias(f"{end}_node"), F.col("point").alias(f"_{end}")), f"{end}_node", "left")
     line = F.when(F.col("feature_type") == "node", F.when(F.col("_own").isNotNull(), F.array("_own"))).when(F.col("_source").isNotNull() & F.col("_target").isNotNull(), F.array("_source", "_target"))
-    return own.withColumn("geometry", line).select(*features.columns, "geometry")
+    line = F.coalesce("line", line) if "line" in features.columns else line
+    return own.withColumn("geometry", line).select(*[c for c in features.columns if c != "line"], "geometry")
 
 
 def cuts_of(complexes: dict[str, DataFrame], objects: dict[str, DataFrame], mode: str) -> DataFrame:
-    """section_id, distance, buffer, id of what cuts a section: complexes (sections: array of struct(id, relation, distance),
-    buffer) on each of their sections, by the name of their split and merge; terminals and berths (section_id, distance) with
-    a buffer of 0, in the detailed mode only."""
-    cut = lambda kind: F.concat(F.lit(f"{kind}_"), F.col("id").cast("string"))
-    rows = [df.select(F.explode("sections").alias("s"), cut(k).alias("cut"), F.col("buffer").cast("double").alias("buffer")).select(stringify_id("s.id").alias("section_id"), F.col("s.distance").cast("double").alias("distance"), "buffer", F.col("cut").alias("id")) for k, df in complexes.items()]
+    """section_id, distance, anchor, buffer, id of what cuts a section: complexes (sections: array of struct(id, relation,
+    distance); point, where they stand; buffer) on each of their sections, by the name of their split and merge; terminals
+    and berths (section_id, distance, point) in the detailed mode only. Buffers are cut_buffer()'s, by kind and mode."""
+    cut = lambda kind: F.concat(F.lit(f"{kind}_"), stringify_id("id"))
+    rows = []
+    for kind, df in complexes.items():
+        child = df.schema["children"].dataType.elementType if "children" in df.columns else None
+        lengths = F.transform("children", lambda c: c["length"].cast("double")) if child is not None and "length" in child.names else None
+        buffer = cut_buffer(kind, mode, F.col("buffer") if "buffer" in df.columns else None, lengths)
+        own = df.select(F.explode("sections").alias("s"), cut(kind).alias("id"), buffer.alias("buffer"), _column(df, "point", POINT).alias("anchor"))
+        at = F.col("s.distance").cast("double") if "distance" in df.schema["sections"].dataType.elementType.names else F.lit(None).cast("double")
+        rows.append(own.select(stringify_id("s.id").alias("section_id"), at.alias("distance"), "anchor", "buffer", "id"))
     if mode == "detailed":
-        rows += [df.where(F.col("section_id").isNotNull()).select(stringify_id("section_id").alias("section_id"), F.col("distance").cast("double").alias("distance"), F.lit(0.0).alias("buffer"), cut(k).alias("id")) for k, df in objects.items()]
-    return ragged_union(rows).where(F.col("distance").isNotNull())
+        rows += [df.where(F.col("section_id").isNotNull()).select(stringify_id("section_id").alias("section_id"), _column(df, "distance", "double").cast("double").alias("distance"), _column(df, "point", POINT).alias("anchor"), cut_buffer(k, mode).alias("buffer"), cut(k).alias("id")) for k, df in objects.items()]
+    return ragged_union(rows).where(F.col("distance").isNotNull() | F.col("anchor").isNotNull())
+
+
+def routes(own: DataFrame) -> DataFrame | None:
+    """id, line of the routes of chambers that bring their own (a field route of the children); None if none can."""
+    if "route" not in own.schema["children"].dataType.elementType.names:
+        return None
+    child = own.select(F.explode("children").alias("c")).where(F.size("c.route") > 1)
+    return child.select(F.concat(F.lit("chamber_"), F.col("c.id").cast("string"), F.lit("_route")).alias("id"), F.col("c.route").alias("line"))
 
 
-def build(sections: DataFrame, complexes: dict[str, DataFrame], objects: dict[str, DataFrame], mode: str = "detailed") -> dict[str, DataFrame]:
+def build(sections: DataFrame, complexes: dict[str, DataFrame], objects: dict[str, DataFrame], mode: str = "detailed", degrees: bool = False) -> dict[str, DataFrame]:
     """The tables of a drop-in network: nodes, edges, spliced sections, and the scalar tables of what is on them.
 
-    sections: section_id, start, end, length. complexes by kind (lock, bridge): id, name, before, after (points), sections
-    (array of struct(id, relation, distance)), buffer, children. objects by kind (terminal, berth): id, name, section_id,
-    distance. mode 'detailed' has nodes and edges of every chamber and opening, bridges in the chambers they belong to, and
-    access features; 'simplified' has one passage for each complex."""
+    sections: section_id, start, end, and line (an array of points, in metres, or with `degrees` in degrees) or else length
+    alone. complexes by kind (lock, bridge): id, name, before, after (points), sections (array of struct(id, relation,
+    distance)), point, buffer, children. objects by kind (terminal, berth): id, name, section_id, distance, point. A
+    structure stands on a section's line at its distance, or else where its point is nearest.
+
+    mode 'detailed' has nodes and edges of every chamber and opening, bridges in the chambers they belong to (these don't
+    cut their sections), and access features; 'simplified' has one passage for each complex. With lines, segments have
+    their own stretch of the line, its ends are the points of the nodes there, junctions are nodes too, and objects that
+    stand on no line are left out."""
     if mode not in ("detailed", "simplified"):
         raise ValueError(f"no mode {mode!r}")
-    spliced = splice(sections, cuts_of(complexes, objects, mode))
-    parts = [spliced.select(F.concat_ws("_", F.lit("section"), "section_id", F.col("segment").cast("string")).alias("id"), F.lit("fairway_segment").alias("feature_type"), F.lit("section").alias("type"), "source_node", "target_node", "length_m")]
-    points = ragged_union([node_points(df, k) for k, df in complexes.items()])
+    lined = "line" in sections.columns
+    points = ragged_union([node_points(df, k) for k, df in complexes.items()]).withColumn("rank", F.lit(1))
+    made, cutting = None, complexes
+    if mode == "detailed":
+        made = ragged_union([detailed_features(df, k) for k, df in complexes.items()])
+        drawn = [r for r in (routes(df) for k, df in complexes.items() if k == "lock") if r is not None]
+        made = made.join(drawn[0], "id", "left") if drawn else made.withColumn("line", F.lit(None).cast(f"array<{POINT}>"))
+        if {"lock", "bridge"} <= set(complexes):
+            pairs = embedded_pairs(complexes["bridge"], complexes["lock"], points)
+            inside = hosting(made, pairs).withColumnRenamed("structure_id", "_h")
+            cutting = {**complexes, "bridge": complexes["bridge"].join(inside, F.col("id").cast("string") == F.col("_h"), "left_anti")}
+            made = embedded_in(made, pairs, points)
+    cuts = cuts_of(cutting, objects, mode)
+    if lined:
+        spliced = splice_lines(sections, cuts, degrees)
+        ends = segment_nodes(spliced)
+        segment = spliced.select("id", F.lit("fairway_segment").alias("feature_type"), F.col("segment_type").alias("type"), "source_node", "target_node", "section_id", "length_m", F.col("geometry").alias("line"))
+        connection = F.col("id").rlike("^(terminal|berth)_.*_connection$")
+        junctions = ends.where((F.col("node_type") == "junction") & ~connection).select("id", F.lit("node").alias("feature_type"), F.lit("junction").alias("type"))
+        parts = [segment, junctions]
+        placed = [df.select(F.concat(F.lit(f"{k}_"), F.col("id").cast("string")).alias("id"), "point").where("point is not null") for k, df in objects.items() if "point" in df.columns]
+        points = ragged_union([ends.select("id", "point", F.lit(0).alias("rank")), points, *[p.withColumn("rank", F.lit(1)) for p in placed]])
+        met = ends.where(connection).select(F.col("id").alias("_met"))
+    else:
+        spliced = splice(sections, cuts)
+        parts = [spliced.select(F.concat_ws("_", F.lit("fairway_segment_section"), "section_id", F.col("segment").cast("string")).alias("id"), F.lit("fairway_segment").alias("feature_type"), F.lit("section").alias("type"), "source_node", "target_node", "length_m")]
+        met = None
     if mode == "simplified":
         parts += [passages(df, k).select("id", "feature_type", "type", "source_node", "target_node", "structure_id") for k, df in complexes.items()]
     else:
-        made = ragged_union([detailed_features(df, k) for k, df in complexes.items()])
-        if {"lock", "bridge"} <= set(complexes):
-            made = embedded_in(made, complexes["bridge"], complexes["lock"], points)
         parts.append(made)
-        parts += [access_features(df, k).withColumn("type", F.lit(k)) for k, df in objects.items()]
+        for kind, df in objects.items():
+            own = df if met is None else df.join(met, F.concat(F.lit(f"{kind}_"), F.col("id").cast("string"), F.lit("_connection")) == F.col("_met"), "left_semi")
+            parts.append(access_features(own, kind))
     features = with_geometry(ragged_union(parts), points)
+    if lined:
+        size = L.geodesic_length("geometry") if degrees else G.line_length(F.col("geometry"))
+        features = features.withColumn("length_m", F.coalesce("length_m", F.when(F.col("feature_type") != "node", size)))
     own = features.withColumn("geometry", F.when(F.col("feature_type") == "fairway_segment", F.coalesce("geometry", F.expr(f"cast(array() as array<{POINT}>)"))).otherwise(F.col("geometry")))
     nodes, _ = split_features(own, "id")
     edges = own.where("feature_type <> 'node' and source_node is not null and target_node is not null")
@@ -100,16 +150,20 @@ def build(sections: DataFrame, complexes: dict[str, DataFrame], objects: dict[st
     return out | {f"{kind}s": df for kind, df in objects.items()}
 
 
-def embedded_in(features: DataFrame, bridges: DataFrame, locks: DataFrame, points: DataFrame) -> DataFrame:
-    """features with the openings that belong to a chamber put into it: matched one to one by name and nearness, into the
-    chamber's edge nearest to the opening's middle."""
+def embedded_pairs(bridges: DataFrame, locks: DataFrame, points: DataFrame) -> DataFrame:
+    """left (opening), right (chamber) of the openings that belong to a chamber: matched one to one by name and nearness of
+    their middles."""
     of = lambda df: exploded(df.select(F.col("id").alias("_c"), "name", "children", "before", "after"), "children", ("_c",))
     inner = lambda kind: F.regexp_extract("id", f"^{kind}_(.*)_(start|end)$", 1).alias("_k")
     place = lambda kind: points.groupBy(inner(kind)).agg(F.avg("point.x").alias("x"), F.avg("point.y").alias("y")).where("_k <> ''")
     named = lambda df, kind: of(df).withColumn("_k", F.col("id").cast("string")).join(place(kind), "_k").select(F.col("_k").alias("id"), _column(of(df), "name", "string").alias("name"), "x", "y")
-    openings, chambers = named(bridges, "opening"), named(locks, "chamber")
-    pairs = embedded(openings, chambers)
-    edges = with_geometry(features.where("structure_type = 'lock' and feature_type = 'fairway_segment'"), points).where(F.col("geometry").isNotNull())
-    asked = pairs.select(F.col("left").alias("opening"), F.col("right").cast("string").alias("child_id")).join(openings.select(F.col("id").alias("opening"), "x", "y"), "opening")
-    apart = edges.join(asked, "child_id").select("opening", F.col("id").alias("edge"), G.point_line_distance(G.point(F.col("x"), F.col("y")), F.col("geometry")).alias("distance"))
+    return embedded(named(bridges, "opening"), named(locks, "chamber"))
+
+
+def embedded_in(features: DataFrame, pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """features with the openings of pairs put into their chambers: each cuts the chamber's edge nearest to its start."""
+    starts = points.select(F.regexp_extract("id", "^opening_(.*)_start$", 1).alias("opening"), "point").where("opening <> ''")
+    edges = with_geometry(features.where("structure_type = 'lock' and feature_type = 'fairway_segment'"), points).where(F.size("geometry") > 1)
+    asked = pairs.select(F.col("left").cast("string").alias("opening"), F.col("right").cast("string").alias("child_id")).join(starts, "opening")
+    apart = edges.join(asked, "child_id").select("opening", F.col("id").alias("edge"), "geometry", "point", G.point_line_distance(F.col("point"), F.col("geometry")).alias("distance"))
     return inject(features, pairs, apart)

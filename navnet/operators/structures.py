@@ -114,14 +114,33 @@ def embedded(openings: DataFrame, chambers: DataFrame, at_most: float = 500.0) -
 def inject(features: DataFrame, pairs: DataFrame, distances: DataFrame) -> DataFrame:
     """features with each embedded bridge in its chamber: the nearest edge of the chamber (distances: opening, edge,
     distance; within a millimetre approach and exit go before the route) is replaced by two parts to and from the opening,
-    and the bridge's own ends, approach and exit go. pairs: left (opening), right (chamber)."""
+    and the bridge's own ends, approach and exit go. pairs: left (opening), right (chamber).
+
+    If distances has each edge's geometry (a line) and the opening's point too, the line is cut where it is nearest to the
+    point, the parts end and begin in the point, and they have a line and a length_m, which is 0 where nothing is left."""
     edges = features.where("feature_type = 'fairway_segment' and structure_type = 'lock'").select(F.col("id").alias("edge"), "type", "source_node", "target_node", "structure_id", "structure_type", "child_id")
     own = pairs.select(F.col("left").cast("string").alias("opening"), F.col("right").cast("string").alias("child_id")).join(edges, "child_id").join(distances, ["opening", "edge"])
-    best = own.groupBy("opening").agg(F.min(F.struct(F.round("distance", 3).alias("d"), (F.col("type") == "chamber_route").alias("route"), "edge", "source_node", "target_node", "structure_id", "structure_type", "child_id", "type")).alias("b"))
-    part = lambda n, a, b: F.struct(F.concat(F.col("b.edge"), F.lit(f"_part{n}")).alias("id"), a.alias("source_node"), b.alias("target_node"))
+    drawn = {"geometry", "point"} <= set(distances.columns)
+    kept = ["edge", "source_node", "target_node", "structure_id", "structure_type", "child_id", "type", *(["geometry", "point"] if drawn else [])]
+    best = own.groupBy("opening").agg(F.min(F.struct(F.round("distance", 3).alias("d"), (F.col("type") == "chamber_route").alias("route"), *kept)).alias("b"))
+    if drawn:
+        best = best.withColumn("cut", G.cut_to_point(F.col("b.geometry"), F.col("b.point")))
     end = lambda e: F.concat(F.lit("opening_"), F.col("opening"), F.lit(f"_{e}"))
-    made = best.select("b.structure_id", "b.structure_type", "b.type", "b.child_id", F.explode(F.array(part(1, F.col("b.source_node"), end("start")), part(2, end("end"), F.col("b.target_node")))).alias("p"))
-    made = made.select("structure_id", "structure_type", "p.id", F.lit("fairway_segment").alias("feature_type"), "type", "p.source_node", "p.target_node", "child_id")
-    hosts = features.where("structure_type = 'bridge'").join(pairs.select(F.col("left").cast("string").alias("child_id")), "child_id", "left_semi").select("structure_id").distinct()
+
+    def part(n: int, a: Column, b: Column, side: str) -> Column:
+        line = [F.col(f"cut.{side}").alias("line"), F.when(F.col(f"cut.{side}_empty"), 0.0).otherwise(G.line_length(F.col(f"cut.{side}"))).alias("length_m")] if drawn else []
+        return F.struct(F.concat(F.col("b.edge"), F.lit(f"_part{n}")).alias("id"), a.alias("source_node"), b.alias("target_node"), *line)
+
+    parts = F.array(part(1, F.col("b.source_node"), end("start"), "before"), part(2, end("end"), F.col("b.target_node"), "after"))
+    made = best.select("b.structure_id", "b.structure_type", "b.type", "b.child_id", F.explode(parts).alias("p"))
+    made = made.select("structure_id", "structure_type", "p.id", F.lit("fairway_segment").alias("feature_type"), "type", "p.source_node", "p.target_node", "child_id", *(["p.line", "p.length_m"] if drawn else []))
+    hosts = hosting(features, pairs)
     gone = features.where("structure_type = 'bridge' and type in ('bridge_split', 'bridge_merge', 'bridge_approach', 'bridge_exit')").join(hosts, "structure_id", "left_semi").select("id")
-    return features.join(gone.union(best.select("b.edge")), "id", "left_anti").select(*made.columns).unionByName(made)
+    rest = features.join(gone.union(best.select("b.edge")), "id", "left_anti")
+    common = [c for c in made.columns if c not in ("line", "length_m") or c in features.columns]
+    return rest.select(*common).unionByName(made, allowMissingColumns=True)
+
+
+def hosting(features: DataFrame, pairs: DataFrame) -> DataFrame:
+    """structure_id of the bridges of which an opening is in a chamber."""
+    return features.where("structure_type = 'bridge'").join(pairs.select(F.col("left").cast("string").alias("child_id")), "child_id", "left_semi").select("structure_id").distinct()

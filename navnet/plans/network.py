@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import scalars as S
-from ..operators import compare, dropins, graph, network, relational, schema, spatial, structures
+from ..operators import compare, dropins, graph, network, relational, schema, spatial, splice, structures
 from ..sources import files, sinks
 from .catalogue import _POINTS, _VOYAGES, _points, _voyages, query
 
@@ -344,14 +344,15 @@ def parts_distance(t):
 
 # structures with their geometries; sinks and sources, written and read again
 
-_STRUCTURES = """x AS (SELECT s_suppkey AS id, s_nationkey::DOUBLE AS bx, s_nationkey + 100.0::DOUBLE AS ax FROM supplier), k AS (SELECT s_suppkey AS id, p_partkey::VARCHAR AS child, p_size::DOUBLE AS cx, p_retailprice AS cy FROM supplier JOIN part ON p_partkey % 100 = s_suppkey % 100 AND p_partkey < 300)"""
+_STRUCTURES = """x AS (SELECT s_suppkey AS id, s_nationkey::DOUBLE AS bx, s_nationkey + 100.0::DOUBLE AS ax FROM supplier), k AS (SELECT s_suppkey AS id, p_partkey::VARCHAR AS child, p_size::DOUBLE AS cx, p_retailprice AS cy FROM supplier, part, (SELECT count(*) AS n FROM supplier) AS o WHERE p_partkey % n = s_suppkey % n)"""
 
 
 def _structures(t):
     point = lambda x, y: G.point(x.cast("double"), y)
     own = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), point(F.col("s_nationkey"), F.lit(0.0)).alias("before"), point(F.col("s_nationkey") + 100, F.lit(0.0)).alias("after"))
-    kids = t.part.where("p_partkey < 300").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % 100).alias("_k"), point(F.col("p_size"), F.col("p_retailprice")).alias("centre"))
-    child = own.select(F.col("id").alias("parent")).join(kids, F.col("parent") % 100 == F.col("_k")).drop("_k")
+    many = t.supplier.agg(F.count(F.lit(1)).alias("_n"))
+    kids = t.part.crossJoin(many).select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % F.col("_n")).alias("_k"), point(F.col("p_size"), F.col("p_retailprice")).alias("centre"))
+    child = own.crossJoin(many).select(F.col("id").alias("parent"), (F.col("id") % F.col("_n")).alias("_k")).join(kids, "_k").drop("_k")
     return schema.nested(own, child.withColumn("id", F.col("id").cast("string")), "id", "parent", "children", "id")
 
 
@@ -365,28 +366,86 @@ def lock_features(t):
     return found.select("structure_id", "id", at(1, "x"), at(1, "y"), at(2, "x"), at(2, "y"))
 
 
-@query("""WITH o AS (SELECT s_suppkey AS id, s_nationkey::DOUBLE AS bx, s_nationkey + 100.0::DOUBLE AS ax FROM supplier) SELECT 'bridge_' || id::VARCHAR || '_split' AS id, bx AS x1, NULL::DOUBLE AS x2 FROM o UNION ALL SELECT 'bridge_' || id::VARCHAR || '_merge', ax, NULL FROM o UNION ALL SELECT 'opening_virtual_' || id::VARCHAR || e, (bx + ax) / 2, NULL FROM o, (VALUES ('_start'), ('_end')) v(e)
-UNION ALL SELECT 'opening_virtual_' || id::VARCHAR || '_approach', bx, (bx + ax) / 2 FROM o UNION ALL SELECT 'opening_virtual_' || id::VARCHAR || '_passage', (bx + ax) / 2, (bx + ax) / 2 FROM o UNION ALL SELECT 'opening_virtual_' || id::VARCHAR || '_exit', (bx + ax) / 2, ax FROM o""")
+@query(f"""WITH {_STRUCTURES}, v AS (SELECT id::VARCHAR AS id, 'virtual_' || id::VARCHAR AS child, (bx + ax) / 2 AS cx FROM x WHERE id % 2 = 1 UNION ALL SELECT id::VARCHAR, child, cx FROM k WHERE id % 2 = 0)
+SELECT 'bridge_' || id::VARCHAR || '_split' AS id, bx AS x1, NULL::DOUBLE AS x2 FROM x UNION ALL SELECT 'bridge_' || id::VARCHAR || '_merge', ax, NULL FROM x UNION ALL SELECT 'opening_' || child || e, cx, NULL FROM v, (VALUES ('_start'), ('_end')) w(e)
+UNION ALL SELECT 'opening_' || child || '_approach', bx, cx FROM v JOIN x ON x.id::VARCHAR = v.id UNION ALL SELECT 'opening_' || child || '_passage', cx, cx FROM v UNION ALL SELECT 'opening_' || child || '_exit', cx, ax FROM v JOIN x ON x.id::VARCHAR = v.id""")
 def bridge_features(t):
-    """Bridges without openings: each has a virtual one."""
-    own = _structures(t).withColumn("children", F.filter("children", lambda c: F.lit(False)))
+    """Every other bridge has no openings, and so a virtual one."""
+    own = _structures(t).withColumn("children", F.filter("children", lambda c: F.col("id") % 2 == 0))
     found = dropins.with_geometry(structures.detailed_features(own, "bridge"), dropins.node_points(own, "bridge"))
     at = lambda i: F.try_element_at("geometry", F.lit(i))["x"].alias(f"x{i}")
     return found.select("id", at(1), at(2))
 
 
-@query("""WITH p AS (SELECT 'lock_passage_' || s_suppkey::VARCHAR AS id, s_nationkey::DOUBLE AS x1, s_nationkey + 100.0::DOUBLE AS x2 FROM supplier), o AS (SELECT * FROM orders WHERE o_orderkey IN (SELECT s_suppkey FROM supplier))
-SELECT id, x1, x2, NULL::DOUBLE AS length_m FROM p UNION ALL SELECT 'section_' || s || '_0', NULL, NULL, 90.0 FROM (SELECT s_suppkey::VARCHAR AS s FROM supplier) UNION ALL SELECT 'section_' || s || '_1', NULL, NULL, 890.0 FROM (SELECT s_suppkey::VARCHAR AS s FROM supplier)""")
+@query("""WITH p AS (SELECT 'lock_passage_' || s_suppkey::VARCHAR AS id, s_nationkey::DOUBLE AS x1, s_nationkey + 100.0::DOUBLE AS x2 FROM supplier)
+SELECT id, x1, x2, NULL::DOUBLE AS length_m FROM p UNION ALL SELECT 'fairway_segment_section_' || s || '_0', NULL, NULL, 90.0 FROM (SELECT s_suppkey::VARCHAR AS s FROM supplier) UNION ALL SELECT 'fairway_segment_section_' || s || '_1', NULL, NULL, 890.0 FROM (SELECT s_suppkey::VARCHAR AS s FROM supplier)""")
 def simplified_build(t):
     """Each supplier's lock on a section of its own, at 100 m with 10 m around."""
     sid = F.col("id").cast("string")
-    locks = _structures(t).withColumn("sections", F.array(F.struct(sid.alias("id"), F.lit("direct").alias("relation"), F.lit(100.0).alias("distance")))).withColumn("buffer", F.lit(10.0))
+    locks = _structures(t).withColumn("sections", F.array(F.struct(sid.alias("id"), F.lit("direct").alias("relation"), F.lit(100.0).alias("distance"))))
     sections = t.supplier.select(F.col("s_suppkey").cast("string").alias("section_id"), F.lit("a").alias("start"), F.lit("b").alias("end"), F.lit(1000.0).alias("length"))
     edges = dropins.build(sections, {"lock": locks}, {}, "simplified")["edges"]
     at = lambda i: F.try_element_at("geometry", F.lit(i))["x"].alias(f"x{i}")
     return edges.select("id", at(1), at(2), "length_m")
 
 
+#: An order is a section along two sides of a square of 100 m for each of its line items; a line item stands 120 m behind the
+#: one before it, beside the line: a terminal, a bridge or a lock by its flag.
+_CORNERED = """c AS (SELECT l_orderkey AS o, l_linenumber AS k, min(l_returnflag) AS flag FROM lineitem GROUP BY ALL),
+n AS (SELECT o, max(k) * 100.0::DOUBLE AS side FROM c GROUP BY o),
+q AS (SELECT o, k, 120.0::DOUBLE * k AS d, CASE flag WHEN 'A' THEN 'terminal' WHEN 'R' THEN 'bridge' ELSE 'lock' END || '_' || o::VARCHAR || '-' || k::VARCHAR AS cut, CASE flag WHEN 'A' THEN 0.0::DOUBLE WHEN 'R' THEN 10.0::DOUBLE ELSE 50.0::DOUBLE END AS r FROM c),
+m AS (SELECT *, d - r AS split, d + CASE r WHEN 0 THEN 0.001::DOUBLE ELSE r END AS merge FROM q),
+g AS (SELECT o, coalesce(lag(merge) OVER w, 0) AS b, split AS e, lag(cut) OVER w AS source, cut AS target FROM m WINDOW w AS (PARTITION BY o ORDER BY d)
+UNION ALL SELECT o, arg_max(merge, k), 2 * any_value(side), arg_max(cut, k), NULL FROM m JOIN n USING (o) GROUP BY o),
+z AS (SELECT *, row_number() OVER (PARTITION BY o ORDER BY b) - 1 AS i FROM g JOIN n USING (o))"""
+_ENDS = """CASE WHEN source LIKE 'terminal%' THEN source || '_connection' WHEN source IS NULL THEN 'a' || o::VARCHAR ELSE source || '_merge' END AS source_node, CASE WHEN target LIKE 'terminal%' THEN target || '_connection' WHEN target IS NULL THEN 'b' || o::VARCHAR ELSE target || '_split' END AS target_node"""
+
+
+def _cornered(t):
+    own = t.lineitem.groupBy(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("k")).agg(F.min("l_returnflag").alias("flag"))
+    side = own.groupBy("o").agg((F.max("k") * 100.0).alias("side"))
+    corners = F.array(G.point(0.0, 0.0), G.point(F.col("side"), 0.0), G.point(F.col("side"), F.col("side")))
+    sections = side.select(F.col("o").alias("section_id"), _text("a", "o").alias("start"), _text("b", "o").alias("end"), corners.alias("line"))
+    d, flag = F.col("k") * 120.0, F.col("flag")
+    kind = F.when(flag == "A", "terminal").when(flag == "R", "bridge").otherwise("lock")
+    beside = F.when(d <= F.col("side"), G.point(d, -7.0)).otherwise(G.point(F.col("side") + 5, d - F.col("side")))
+    cuts = own.join(side, "o").select(F.col("o").alias("section_id"), F.concat(kind, F.lit("_"), F.col("o").cast("string"), F.lit("-"), F.col("k").cast("string")).alias("id"), F.when(flag == "A", 0.0).when(flag == "R", 10.0).otherwise(50.0).alias("buffer"), beside.alias("anchor"))
+    return sections, cuts
+
+
+@query(f"""WITH {_CORNERED} SELECT 'fairway_segment_section_' || o::VARCHAR || '_' || i::VARCHAR AS id, {_ENDS}, round(e - b, 6) AS length_m, 2 + (b < side AND side < e)::INT AS points,
+round(least(b, side), 6) AS x1, round(greatest(b - side, 0), 6) AS y1, round(least(e, side), 6) AS x2, round(greatest(e - side, 0), 6) AS y2 FROM z""")
+def spliced_lines(t):
+    """Segments with their own stretch of a bent line, between structures known by points beside it."""
+    first, last = F.col("geometry")[0], F.element_at("geometry", -1)
+    ends = [F.round(p[c], 6).alias(f"{c}{i}") for i, p in ((1, first), (2, last)) for c in ("x", "y")]
+    return splice.splice_lines(*_cornered(t)).select("id", "source_node", "target_node", F.round("length_m", 6).alias("length_m"), F.size("geometry").alias("points"), *ends)
+
+
+@query(f"""WITH {_CORNERED}, s AS (SELECT *, {_ENDS} FROM z), p AS (SELECT source_node AS id, least(b, side) AS x, greatest(b - side, 0) AS y, o, i * 2 AS place FROM s UNION ALL SELECT target_node, least(e, side), greatest(e - side, 0), o, i * 2 + 1 FROM s)
+SELECT id, CASE WHEN id LIKE 'lock%' THEN 'lock_end' WHEN id LIKE 'bridge%' THEN 'bridge_end' ELSE 'junction' END AS node_type, round(arg_min(x, place), 6) AS x, round(arg_min(y, place), 6) AS y FROM p GROUP BY id""")
+def segment_nodes(t):
+    """The nodes at the segments' ends: junctions, connections, splits and merges, each with its point."""
+    return splice.segment_nodes(splice.splice_lines(*_cornered(t))).select("id", "node_type", F.round("point.x", 6).alias("x"), F.round("point.y", 6).alias("y"))
+
+
+@query("""WITH o AS (SELECT s_suppkey AS id, s_nationkey AS n FROM supplier), e AS (
+SELECT id, 'fairway_segment_section_' || id::VARCHAR || '_0' AS edge, 'a' || n::VARCHAR AS source_node, 'lock_' || id::VARCHAR || '_split' AS target_node, 330.0 AS length_m FROM o UNION ALL SELECT id, 'fairway_segment_section_' || id::VARCHAR || '_1', 'lock_' || id::VARCHAR || '_merge', 'terminal_' || id::VARCHAR || '_connection', 230.0 FROM o
+UNION ALL SELECT id, 'fairway_segment_section_' || id::VARCHAR || '_2', 'terminal_' || id::VARCHAR || '_connection', 'a' || ((n + 1) % 25)::VARCHAR, 299.999 FROM o
+UNION ALL SELECT id, 'chamber_' || id::VARCHAR || '_approach', 'lock_' || id::VARCHAR || '_split', 'chamber_' || id::VARCHAR || '_start', 50.0 FROM o UNION ALL SELECT id, 'chamber_' || id::VARCHAR || '_route', 'chamber_' || id::VARCHAR || '_start', 'chamber_' || id::VARCHAR || '_end', 40.0 FROM o
+UNION ALL SELECT id, 'chamber_' || id::VARCHAR || '_exit', 'chamber_' || id::VARCHAR || '_end', 'lock_' || id::VARCHAR || '_merge', 50.0 FROM o UNION ALL SELECT id, 'terminal_access_' || id::VARCHAR, 'terminal_' || id::VARCHAR || '_connection', 'terminal_' || id::VARCHAR, 25.0 FROM o)
+SELECT edge AS id, source_node, target_node, length_m::DOUBLE AS length_m FROM e""")
+def detailed_build(t):
+    """Each supplier's section of 1000 m between its nation and the next, with a lock at 400 m and a terminal at 700 m."""
+    own = t.supplier.select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"), "s_nationkey")
+    p = lambda x, y=0.0: G.point(float(x), float(y))
+    sections = own.select(F.col("id").alias("section_id"), _text("a", "s_nationkey").alias("start"), F.concat(F.lit("a"), ((F.col("s_nationkey") + 1) % 25).cast("string")).alias("end"), F.array(p(0), p(500), p(1000)).alias("line"))
+    chamber = F.struct("id", p(380).alias("first"), p(420).alias("last"), p(400).alias("centre"), F.lit(40.0).alias("length"))
+    lock = own.select("id", "name", p(300).alias("before"), p(500).alias("after"), p(400, 9).alias("point"), F.array(F.struct("id", F.lit("direct").alias("relation"))).alias("sections"), F.array(chamber).alias("children"))
+    terminal = own.select("id", "name", F.col("id").alias("section_id"), p(700, 25).alias("point"))
+    return dropins.build(sections, {"lock": lock}, {"terminal": terminal})["edges"].select("id", "source_node", "target_node", F.round("length_m", 6).alias("length_m"))
+
+
 def _folder(t, name: str) -> str:
     """A folder of the query's own in the shared one."""
     base = t.spark.conf.get("spark.checkpoint.dir", None) or t.spark.conf.get("spark.sql.warehouse.dir")
@@ -409,11 +468,11 @@ def tables_exported(t):
     return t.spark.read.parquet(f"{path}/nodes")
 
 
-@query("""SELECT 'l' || o_orderkey::VARCHAR AS id, o_totalprice AS width, o_totalprice AS x FROM orders WHERE o_orderkey % 10 = 0""")
+@query("""SELECT 'l' || o_orderkey::VARCHAR AS id, o_totalprice AS width, o_totalprice AS x FROM orders""")
 def lines_exported(t):
     """Lines as GeoJSON features, read again as a collection's features."""
     path = _folder(t, "lines")
-    own = t.orders.where("o_orderkey % 10 = 0").select(_text("l", "o_orderkey").alias("id"), F.col("o_totalprice").alias("width"), F.array(G.point(F.col("o_totalprice"), F.lit(0.0)), G.point(F.lit(1.0), F.lit(2.0))).alias("geometry"))
+    own = t.orders.select(_text("l", "o_orderkey").alias("id"), F.col("o_totalprice").alias("width"), F.array(G.point(F.col("o_totalprice"), F.lit(0.0)), G.point(F.lit(1.0), F.lit(2.0))).alias("geometry"))
     sinks.with_line(own, path, "edges")
     rows = t.spark.read.schema("type string, geometry struct<type:string,coordinates:array<array<double>>>, properties struct<id:string,width:double>").json(f"{path}/edges.geojson")
     return rows.where("geometry.type = 'LineString'").select("properties.id", "properties.width", F.col("geometry.coordinates")[0][0].alias("x"))

@@ -42,15 +42,110 @@ def test_detailed_build(tables):
     assert at("opening_virtual_3_start") == (210, 0)
     line = lambda i: [(q.x, q.y) for q in edges[i].geometry]
     assert line("chamber_12_approach") == [(450, 0), (500, 30)] and line("chamber_12_exit") == [(500, 30), (550, 0)]
-    # the bridge of the east chamber is in that chamber, its own ends are gone; the road bridge stays
-    assert "chamber_11_route" not in edges and line("chamber_11_route_part1") == [(480, 0), (480, 1)] and line("chamber_11_route_part2") == [(490, 1), (520, 0)]
+    # the bridge of the east chamber begins at (480, 1), as near to the approach as to the route: the approach is cut, at its
+    # end, and nothing is left behind it; the bridge's own ends are gone; the road bridge stays
+    assert "chamber_11_approach" not in edges and "chamber_11_route" in edges
+    assert line("chamber_11_approach_part1") == [(450, 0), (480, 1)] and line("chamber_11_approach_part2") == [(480, 1), (480, 0)]
+    assert (edges["chamber_11_approach_part2"].source_node, edges["chamber_11_approach_part2"].length_m) == ("opening_21_end", 0.0)
     assert "bridge_2_split" not in nodes and "bridge_3_split" in nodes and "opening_virtual_3_passage" in edges
     # sections end at what stands on them
     ends = {(r.section_id, r.source_node, r.target_node) for r in made["sections"].collect()}
-    assert {("s1", "a", "lock_1_split"), ("s1", "lock_1_merge", "b"), ("s2", "b", "bridge_3_split"), ("s2", "bridge_3_merge", "terminal_5_split"), ("s2", "terminal_5_merge", "c")} == ends
+    assert {("s1", "a", "lock_1_split"), ("s1", "lock_1_merge", "b"), ("s2", "b", "bridge_3_split"), ("s2", "bridge_3_merge", "terminal_5_connection"), ("s2", "terminal_5_connection", "c")} == ends
     assert made["chambers"].count() == 2 and made["openings"].count() == 1 and made["locks"].columns[:2] == ["id", "name"]
 
 
+def parts_of(edges):
+    """The connected parts of a network, each as the set of its nodes."""
+    parts = []
+    for r in edges:
+        touched = [x for x in parts if x & {r.source_node, r.target_node}]
+        parts = [x for x in parts if x not in touched] + [set().union({r.source_node, r.target_node}, *touched)]
+    return parts
+
+
+@pytest.fixture
+def lined(spark, tables):
+    """The same with lines: a bent section, a straight one, and a terminal and a berth off it, known by their points."""
+    line = f"array<{P}>"
+    sections = spark.createDataFrame([("s1", "a", "b", [p(0), p(300), p(300, 400), p(600, 400)]), ("s2", "b", "c", [p(600, 400), p(1100, 400)]), ("s3", "c", "d", [p(1100, 400), p(1100, 900)]), ("s4", "x", "y", None)], f"section_id string, start string, end string, line {line}")
+    chamber = [{"id": "11", "name": "Lock One", "first": p(300, 180), "last": p(300, 220), "centre": p(300, 200), "length": 40.0}]
+    lock = spark.createDataFrame([("1", "Lock One", p(300, 100), p(300, 300), None, [{"id": "s1", "relation": "direct", "distance": None}], chamber, p(310, 200))], COMPLEX + f", point {P}")
+    bridge = spark.createDataFrame([("3", "Road bridge", p(790, 400), p(810, 400), None, [{"id": "s2", "relation": "direct", "distance": None}], [], p(800, 420))], COMPLEX + f", point {P}")
+    objects = {"terminal": spark.createDataFrame([("5", "Quay", "s2", p(1000, 430)), ("6", "Off", "s4", p(0))], f"id string, name string, section_id string, point {P}"), "berth": spark.createDataFrame([("9", "Berth", "s2", p(900, 390))], f"id string, name string, section_id string, point {P}")}
+    return sections, {"lock": lock, "bridge": bridge}, objects
+
+
+def test_detailed_build_along_lines(lined):
+    made = dropins.build(*lined, "detailed")
+    nodes, edges = {r.id: r for r in made["nodes"].collect()}, {r.id: r for r in made["edges"].collect()}
+    line = lambda i: [(q.x, q.y) for q in edges[i].geometry]
+    # the lock takes half its chamber and 50 m, around 500 m along the line; the bridge 10 m, terminal and berth nothing
+    assert line("fairway_segment_section_s1_0") == [(0, 0), (300, 0), (300, 130)] and line("fairway_segment_section_s1_1") == [(300, 270), (300, 400), (600, 400)]
+    ends = {k: (r.source_node, r.target_node, r.length_m, r.type) for k, r in edges.items() if k.startswith("fairway_segment_section")}
+    assert ends == {
+        "fairway_segment_section_s1_0": ("a", "lock_1_split", 430.0, "approach_or_exit"), "fairway_segment_section_s1_1": ("lock_1_merge", "b", 430.0, "approach_or_exit"),
+        "fairway_segment_section_s2_0": ("b", "bridge_3_split", 190.0, "approach_or_exit"), "fairway_segment_section_s2_1": ("bridge_3_merge", "berth_9_connection", 90.0, "approach_or_exit"),
+        "fairway_segment_section_s2_2": ("berth_9_connection", "terminal_5_connection", pytest.approx(99.999), "approach_or_exit"), "fairway_segment_section_s2_3": ("terminal_5_connection", "c", pytest.approx(99.999), "approach_or_exit"),
+        "fairway_segment_section_s3": ("c", "d", 500.0, "clear"),
+    }
+    at = lambda i: (nodes[i].geometry[0].x, nodes[i].geometry[0].y, nodes[i].type)
+    assert at("a") == (0, 0, "junction") and at("c") == (1100, 400, "junction") and at("lock_1_split") == (300, 130, "lock_split") and at("lock_1_merge") == (300, 270, "lock_merge")
+    assert at("terminal_5_connection") == (1000, 400, "junction") and at("terminal_5") == (1000, 430, "terminal") and line("terminal_access_5") == [(1000, 400), (1000, 430)] and edges["terminal_access_5"].length_m == 30
+    # the approach goes from the section's end, everything hangs together, and what stands on no line is left out
+    assert line("chamber_11_approach") == [(300, 130), (300, 180)] and len(parts_of(edges.values())) == 1
+    assert {"a", "b", "c", "d"} <= nodes.keys() and "terminal_6" not in nodes and all(r.geometry for r in [*nodes.values(), *edges.values()])
+    assert {r.source_node for r in edges.values()} | {r.target_node for r in edges.values()} <= nodes.keys()
+
+
+def test_simplified_build_along_lines(lined):
+    edges = {r.id: r for r in dropins.build(*lined, "simplified")["edges"].collect()}
+    assert edges["fairway_segment_section_s1_0"].length_m == 490 and "terminal_access_5" not in edges and len(parts_of(edges.values())) == 1
+
+
+def test_lines_in_degrees(spark):
+    """Cut on the grid, measured on the ellipsoid: the segments' lengths add up to the line's."""
+    from navnet.operators import splice
+
+    sections = spark.createDataFrame([(1.0, 7.0, 8.0, [p(4.30, 51.70), p(4.35, 51.71), p(4.40, 51.70)])], f"section_id double, start double, end double, line array<{P}>")
+    cuts = spark.createDataFrame([("1", "terminal_2", 0.0, p(4.36, 51.72)), ("1", "berth_3", 0.0, p(4.32, 51.70))], f"section_id string, id string, buffer double, anchor {P}")
+    got = splice.splice_lines(sections, cuts, degrees=True).orderBy("segment").collect()
+    whole = splice.splice_lines(sections, cuts.where("false"), degrees=True).collect()
+    assert [(r.source_node, r.target_node) for r in got] == [("7", "berth_3_connection"), ("berth_3_connection", "terminal_2_connection"), ("terminal_2_connection", "8")]
+    assert [r.id for r in whole] == ["fairway_segment_section_1"] and whole[0].length_m == pytest.approx(7259, abs=25)
+    assert sum(r.length_m for r in got) == pytest.approx(whole[0].length_m, abs=0.01)
+
+
+def test_line_kernel_matches_plain_cuts(spark):
+    """Pieces of odd lines (repeated vertices, one point, null) at odd measures, against the plain expressions."""
+    import random
+
+    from navnet.functions import lines as L
+
+    rng = random.Random(7)
+    rows = []
+    for i in range(200):
+        line = [p(rng.randrange(6), rng.randrange(6)) for _ in range(rng.randrange(2, 12))]
+        cuts = sorted(rng.choice([0.0, 1.0, 2.5, 7.0, 100.0, rng.random() * 20]) for _ in range(rng.randrange(0, 5)))
+        rows.append((i, line, cuts[:-1], cuts[1:]))
+    df = spark.createDataFrame([*rows, (500, None, [0.0], [1.0]), (501, [], [0.0], [1.0])], f"id int, line array<{P}>, b array<double>, e array<double>").repartition(3)
+    got = {r.id: r.p for r in df.select("id", L.pieces("line", "b", "e").alias("p")).collect()}
+    plain = df.where("size(line) > 0").select("id", F.transform(F.arrays_zip("b", "e"), lambda z: G.substring(F.col("line"), z["b"], F.least(z["e"], G.line_length(F.col("line"))))).alias("p"))
+    for r in plain.collect():
+        assert [[(q.x, q.y) for q in part] for part in got[r.id]] == [[(pytest.approx(q.x, abs=1e-9), pytest.approx(q.y, abs=1e-9)) for q in part] for part in r.p], r.id
+    assert got[500] is None and got[501] == []
+
+
+def test_opening_cuts_its_chambers_line(spark):
+    line = f"array<{P}>"
+    rows = [([p(0), p(10), p(10, 10)], p(11, 4)), ([p(0), p(10)], p(-3, 1)), ([p(0), p(10)], p(14, 0)), ([p(0), p(10), p(20)], p(10, 2))]
+    got = [r.c for r in spark.createDataFrame(rows, f"line {line}, p {P}").coalesce(1).select(G.cut_to_point(F.col("line"), F.col("p")).alias("c")).collect()]
+    pts = lambda part: [(q.x, q.y) for q in part]
+    assert (pts(got[0].before), pts(got[0].after), got[0].before_empty, got[0].after_empty) == ([(0, 0), (10, 0), (11, 4)], [(11, 4), (10, 10)], False, False)
+    assert (pts(got[1].before), pts(got[1].after), got[1].before_empty) == ([(0, 0), (-3, 1)], [(-3, 1), (10, 0)], True)
+    assert (pts(got[2].before), pts(got[2].after), got[2].after_empty) == ([(0, 0), (14, 0)], [(14, 0), (10, 0)], True)
+    assert (pts(got[3].before), pts(got[3].after)) == ([(0, 0), (10, 2)], [(10, 2), (20, 0)])
+
+
 def test_simplified_build(tables):
     made = dropins.build(*tables, "simplified")
     assert {r.id for r in made["nodes"].collect()} == {f"{k}_{i}_{e}" for k, i in (("lock", 1), ("bridge", 2), ("bridge", 3)) for e in ("split", "merge")}

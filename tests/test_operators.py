@@ -115,7 +115,7 @@ def test_passages_and_access(spark):
     got = splice.passages(p, "lock").collect()
     assert [r.id for r in got] == ["lock_7_split", "lock_7_merge", "lock_passage_7"] and got[2].section_id == "2"
     t = spark.createDataFrame([("1", "t", "s"), ("2", "u", None)], "id string, name string, section_id string")
-    assert [r.id for r in splice.access_features(t, "terminal").collect()] == ["terminal_1", "terminal_1_connection", "terminal_1_access"]
+    assert [r.id for r in splice.access_features(t, "terminal").collect()] == ["terminal_1_connection", "terminal_1", "terminal_access_1"]
 
 
 def scattered(spark, n, seed, start=0):
