@@ -14,10 +14,9 @@ they are shuffled. What remains is asked within a bucket by sorting and sweeping
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +25,8 @@ ROWS, LEVELS = 4096, 10
 _NONE = np.iinfo(np.int64).max
 
 
-def _first_in(values: np.ndarray, order: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """The least order among the sorted values' places [low, high): of two overlapping runs of a power of two."""
+def _first_in(order: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The least order among the places [low, high): of two overlapping runs of a power of two."""
     out = np.full(len(low), _NONE)
     run, k = order, 0
     while len(todo := np.flatnonzero((high - low) >> k > 0)):
@@ -54,28 +53,31 @@ def _first_over(points: int, order: np.ndarray, low: np.ndarray, high: np.ndarra
     return runs[0] if points else np.empty(0, np.int64)
 
 
-def _asked(ranges: pa.Table, data: pa.Table) -> pa.Table:
-    """id, first of the ranges that a bucket is asked for: role 'in' (begins and ends here), 'begin', 'end'."""
-    ask = {c: ranges.column(c).to_numpy(zero_copy_only=False) for c in ("id", "begin", "end")}
+def _answered(key: tuple[pa.Scalar, ...], ranges: pa.Table, data: pa.Table) -> pa.Table:
+    """kind, a, b, first of the parts of ranges that a bucket is asked for: 'in' (begins and ends here), 'begin', 'end'."""
     role, own = (np.array(t.column("role").to_pylist(), object) for t in (ranges, data))
-    begin, end, order = (data.column(c).to_numpy(zero_copy_only=False) for c in ("begin", "end", "order"))
-    best = np.full(len(role), _NONE)
+    ask_begin, ask_end, begin, end = (t.column(c).to_numpy(zero_copy_only=False) for t in (ranges, data) for c in ("begin", "end"))
+    order = data.column("order").to_numpy(zero_copy_only=False).astype(np.int64)
     # Data that begins here, after the range does and before it ends.
     starts = np.argsort(begin, kind="stable")
     starts = starts[own[starts] != "end"]
     at, rank = begin[starts], order[starts]
-    low = np.where(role == "end", 0, np.searchsorted(at, ask["begin"], side="right"))
-    high = np.where(role == "begin", len(at), np.searchsorted(at, ask["end"], side="right"))
-    np.minimum(best, _first_in(at, rank, low, np.maximum(low, high)), out=best)
+    low = np.where(role == "end", 0, np.searchsorted(at, ask_begin, side="right"))
+    high = np.where(role == "begin", len(at), np.searchsorted(at, ask_end, side="right"))
+    best = _first_in(rank, low, np.maximum(low, high))
     # Data that the range begins in: a row that leaves the bucket covers the rest of it, one that comes in covers its begin.
     here = np.flatnonzero(role != "end")
-    sort = here[np.argsort(ask["begin"][here], kind="stable")]
-    points = ask["begin"][sort]
+    sort = here[np.argsort(ask_begin[here], kind="stable")]
+    points = ask_begin[sort]
     low = np.where(own == "end", 0, np.searchsorted(points, begin, side="left"))
     high = np.where(own == "begin", len(points), np.searchsorted(points, end, side="right"))
     best[sort] = np.minimum(best[sort], _first_over(len(points), order, low, np.maximum(low, high)))
-    found = best < _NONE
-    return pa.table({"id": ranges.column("id").filter(pa.array(found)), "first": pa.array(best[found])})
+    found = pa.array(best < _NONE)
+    whole = pa.array(role == "in")
+    a = pc.if_else(pa.array(role == "end"), ranges.column("end"), ranges.column("begin"))
+    b = pc.if_else(whole, ranges.column("end"), pa.scalar(0.0))
+    out = pa.table({"key": pa.chunked_array([pa.repeat(key[0], len(role))]), "kind": pa.array(role.tolist(), pa.string()), "a": a, "b": b, "first": pa.array(best)})
+    return out.filter(found)
 
 
 def _bucket(value: Column) -> Column:
@@ -114,21 +116,34 @@ def first_touching(ranges: DataFrame, data: DataFrame, rows: int = ROWS) -> Data
     bounds = quantiles.select("key", F.when(many > 1, F.array_sort(F.array_distinct(pick))).otherwise(F.expr("cast(array() as array<double>)")).alias("bounds"))
     ask, own = (df.join(bounds, "key").withColumns({"i": _bucket(F.col("begin")), "j": _bucket(F.col("end"))}).drop("bounds") for df in (ask, own))
 
-    # What a bucket begins with at the earliest, and what covers a node of the tree.
-    starts = own.groupBy("key", F.col("i").alias("bucket")).agg(F.min("order").alias("order"))
-    covers = own.where("j - i > 1").groupBy("key", "i", "j").agg(F.min("order").alias("order")).select("key", "order", F.explode(_nodes(F.col("i") + 1, F.col("j") - 1)).alias("node")).groupBy("key", "node").agg(F.min("order").alias("order"))
-    whole = ask.where("j - i > 1").groupBy("key", "i", "j").agg(F.lit(1).alias("_")).select("key", "i", "j", F.explode(_nodes(F.col("i") + 1, F.col("j") - 1)).alias("node"))
-    up = F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda k: F.expr("x").cast("int")) if False else None  # noqa: F841
+    # What is asked of buckets as a whole, and what covers a bucket.
     leaf = lambda c: F.array(*[F.shiftright(c + (1 << LEVELS), k) for k in range(LEVELS + 1)])
-    sums = starts.select("key", "order", F.explode(leaf(F.col("bucket"))).alias("node")).groupBy("key", "node").agg(F.min("order").alias("order"))
-    inside = whole.join(sums, ["key", "node"]).groupBy("key", "i", "j").agg(F.min("order").alias("first"))
-    over = ask.select("key", "i").distinct().select("key", "i", F.explode(leaf(F.col("i"))).alias("node")).join(covers, ["key", "node"]).groupBy("key", "i").agg(F.min("order").alias("first"))
-
-    # Within buckets. A row that stands in two of them stands in each by what matters there.
-    end = F.lit(None).cast("double")
+    up = lambda df, *by: df.groupBy("key", *by).agg(F.min("order").alias("order"))
+    between = _nodes(F.col("i") + 1, F.col("j") - 1)
+    starts = up(up(own, "i").select("key", "order", F.explode(leaf(F.col("i"))).alias("node")), "node")
+    covers = up(up(own.where("j - i > 1"), "i", "j").select("key", "order", F.explode(between).alias("node")), "node")
+    inside = up(ask.where("j - i > 1").select("key", "i", "j").distinct().select("key", "i", "j", F.explode(between).alias("node")).join(starts, ["key", "node"]), "i", "j")
+    over = up(ask.select("key", "i").distinct().select("key", "i", F.explode(leaf(F.col("i"))).alias("node")).join(covers, ["key", "node"]), "i")
+
+    # What is asked within buckets: a range or row that stands in two has a part in each, with the end that it has there.
+    none = F.lit(None).cast("double")
     part = lambda role, bucket, b, e: F.struct(F.lit(role).alias("role"), bucket.alias("bucket"), b.alias("begin"), e.alias("end"))
-    parts = F.when(F.col("i") == F.col("j"), F.array(part("in", F.col("i"), F.col("begin"), F.col("end")))).otherwise(F.array(part("begin", F.col("i"), F.col("begin"), end), part("end", F.col("j"), end, F.col("end"))))
-    asked = ask.select("key", "begin", "end", F.explode(parts).alias("p")).select("key", "p.*").distinct().withColumn("id", F.struct("role", "begin", "end"))
-    asked = asked.withColumn("id", F.to_json(F.struct("role", F.hex(F.encode(F.col("begin").cast("string"), "utf-8")).alias("b"), F.hex(F.encode(F.col("end").cast("string"), "utf-8")).alias("e"))))
-    stood = own.select("key", "order", F.explode(parts).alias("p")).select("key", "p.*", "order").groupBy("key", "role", "bucket", "begin", "end").agg(F.min("order").alias("order"))
-    return ask, own, asked, stood, inside, over, kind
+    parts = F.when(F.col("i") == F.col("j"), F.array(part("in", F.col("i"), F.col("begin"), F.col("end")))).otherwise(F.array(part("begin", F.col("i"), F.col("begin"), none), part("end", F.col("j"), none, F.col("end"))))
+    asked = ask.select("key", F.explode(parts).alias("p")).select("key", "p.*").distinct()
+    stood = up(own.select("key", "order", F.explode(parts).alias("p")).select("key", "p.*", "order"), "role", "bucket", "begin", "end")
+    stood = stood.select(*[F.col(c).alias(c) for c in stood.columns])  # columns of its own, also where both sides are of one table
+    within = asked.groupBy("key", "bucket").cogroup(stood.groupBy("key", "bucket")).applyInArrow(_answered, f"key {kind}, kind string, a double, b double, first bigint")
+
+    number = lambda c: F.col(c).cast("double")
+    known = within.unionByName(inside.select("key", F.lit("inside").alias("kind"), number("i").alias("a"), number("j").alias("b"), F.col("order").alias("first")))
+    known = known.unionByName(over.select("key", F.lit("over").alias("kind"), number("i").alias("a"), F.lit(0.0).alias("b"), F.col("order").alias("first")))
+    probe = lambda name, a, b: F.struct(F.lit(name).alias("kind"), a.alias("a"), b.alias("b"))
+    zero, here = F.lit(0.0), F.col("i") == F.col("j")
+    probes = F.array(
+        F.when(here, probe("in", F.col("begin"), F.col("end"))).otherwise(probe("begin", F.col("begin"), zero)),
+        F.when(~here, probe("end", F.col("end"), zero)),
+        F.when(F.col("j") - F.col("i") > 1, probe("inside", number("i"), number("j"))),
+        probe("over", number("i"), zero),
+    )
+    each = ask.select("key", "begin", "end", F.explode(F.filter(probes, lambda p: p.isNotNull())).alias("p")).select("key", "begin", "end", "p.*")
+    return each.join(known, ["key", "kind", "a", "b"]).groupBy("key", "begin", "end").agg(F.min("first").alias("first"))

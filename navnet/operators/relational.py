@@ -11,6 +11,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .intervals import first_touching
+from .store import stored
+
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """The first row of each key (nulls are a key of their own)."""
@@ -49,10 +52,12 @@ def fill_from(left: DataFrame, right: DataFrame, key: str, order: str, columns:
     return found.withColumns({c: F.coalesce(f"_new_{c}", c) if c in left.columns else F.col(f"_new_{c}") for c in columns}).drop(*[f"_new_{c}" for c in columns])
 
 
-def match_by_range(left: DataFrame, data: DataFrame | None, key: str, begin: str, end: str, left_id: str, order: str, columns: list[str], prefix: str = "") -> DataFrame:
+def match_by_range(left: DataFrame, data: DataFrame | None, key: str, begin: str, end: str, left_id: str, order: str, columns: list[str], prefix: str = "", pairs: int = 100_000_000) -> DataFrame:
     """left_id and prefixed columns of the first data row (by order) of the same key whose range touches left's; ranges
     are closed and may be reversed. Rows of left with a null key or end are left out, those without a match have nulls.
-    The equality is a hash join's, the ranges its residual condition. No data: left_id only; empty data: an error."""
+    Where the keys' rows make up more than so many pairs, these are never looked at one by one (intervals.first_touching), so
+    a key of half of all rows is many tasks'; up to that, the equality is a hash join's and the ranges its residual
+    condition. The result is the same. Data without an order can't be first. No data: left_id only; empty data: an error."""
     rows = left.dropna(subset=[key, begin, end])
     if data is None:
         return rows.select(left_id).distinct()
@@ -61,10 +66,21 @@ def match_by_range(left: DataFrame, data: DataFrame | None, key: str, begin: str
     have = [c for c in columns if c in data.columns]
     if not have or any(c not in data.columns for c in (key, begin, end)):
         return rows.select(left_id).distinct()
-    lo, hi = lambda p: F.least(f"{p}.{begin}", f"{p}.{end}"), lambda p: F.greatest(f"{p}.{begin}", f"{p}.{end}")
-    hit = (F.col(f"l.{key}") == F.col(f"d.{key}")) & ~((hi("l") < lo("d")) | (hi("d") < lo("l")))
-    own = rows.alias("l").join(data.dropna(subset=[key, begin, end]).alias("d"), hit, "left")
-    best = own.groupBy(F.col(f"l.{left_id}").alias(left_id)).agg(F.min_by(F.struct(*[F.col(f"d.{c}").alias(c) for c in have]), F.col(f"d.{order}")).alias("_r"))
+    lo, hi = F.least(begin, end), F.greatest(begin, end)
+    own = rows.select(left_id, F.col(key).alias("_k"), lo.cast("double").alias("_b"), hi.cast("double").alias("_e"))
+    there = data.dropna(subset=[key, begin, end, order]).select(F.col(key).alias("_k"), lo.cast("double").alias("_lo"), hi.cast("double").alias("_hi"), F.col(order).alias("_o"), F.struct(*have).alias("_r"))
+    count = lambda df, n: df.groupBy("_k").agg(F.count(F.lit(1)).cast("double").alias(n))
+    if (count(own, "_n").join(count(there, "_m"), "_k").agg(F.sum(F.col("_n") * F.col("_m"))).first()[0] or 0) <= pairs:
+        met = own.join(there, (own["_k"] == there["_k"]) & (F.col("_lo") <= F.col("_e")) & (F.col("_b") <= F.col("_hi")), "left")
+        best = met.groupBy(left_id).agg(F.min_by("_r", "_o").alias("_r"))
+        return best.select(left_id, *[F.col("_r")[c].alias(prefix + c) for c in have])
+    if dict(there.dtypes)["_o"] not in ("tinyint", "smallint", "int", "bigint"):
+        ranks = stored(there.select("_o").distinct().orderBy("_o").withColumn("_n", F.monotonically_increasing_id()), "orders")
+        there = there.join(ranks, "_o").withColumn("_o", F.col("_n")).drop("_n")
+    named = lambda df, b, e, *more: df.select(F.col("_k").alias("key"), F.col(b).alias("begin"), F.col(e).alias("end"), *more)
+    first = first_touching(named(own, "_b", "_e"), named(there, "_lo", "_hi", F.col("_o").alias("order"))).select(F.col("key").alias("_k"), F.col("begin").alias("_b"), F.col("end").alias("_e"), F.col("first").alias("_o"))
+    found = first.join(there, ["_k", "_o"]).where("_lo <= _e and _b <= _hi").groupBy("_k", "_b", "_e").agg(F.min_by(F.struct("_o", "_r"), F.struct("_lo", "_hi")).alias("_f"))
+    best = own.join(found, ["_k", "_b", "_e"], "left").groupBy(left_id).agg(F.min_by("_f._r", "_f._o").alias("_r"))
     return best.select(left_id, *[F.col("_r")[c].alias(prefix + c) for c in have])
 
 
