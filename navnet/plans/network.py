@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions import areas as A
 from ..functions import geometry as G
 from ..functions import scalars as S
 from ..operators import compare, dropins, graph, network, relational, schema, spatial, splice, structures
@@ -342,6 +343,34 @@ def parts_distance(t):
     return _points(t).crossJoin(F.broadcast(parts)).select("id", F.round(G.parts_distance(G.point(F.col("x"), F.col("y")), F.col("parts")), 6).alias("distance"))
 
 
+#: Each label's box with a square hole, and a second part beside it.
+_HOLED = """h AS (SELECT label, min(x) AS x0, min(y) AS y0 FROM e GROUP BY label), w AS (SELECT e.id, h.label, x - x0 AS u, y - y0 AS v FROM e, h),
+f AS (SELECT id, label, greatest(-u, u - 0.2, 0) AS ox, greatest(-v, v - 0.2, 0) AS oy, CASE WHEN u > 0.05 AND u < 0.15 AND v > 0.05 AND v < 0.15 THEN least(u - 0.05, 0.15 - u, v - 0.05, 0.15 - v) ELSE 0 END AS hole, greatest(0.21 - u, u - 0.23, 0) AS px, greatest(-v, v - 0.2, 0) AS py FROM w),
+d AS (SELECT id, label, least(CASE WHEN hole > 0 THEN hole ELSE sqrt(ox * ox + oy * oy) END, sqrt(px * px + py * py)) AS d FROM f)"""
+
+
+def _holed(t):
+    low = _points(t).groupBy(F.col("label").alias("id")).agg(F.min("x").alias("x0"), F.min("y").alias("y0"))
+    at = lambda x, y: G.point(F.col("x0") + x, F.col("y0") + y)
+    ring = lambda a, b, c, d: F.array(at(a, b), at(c, b), at(c, d), at(a, d), at(a, b))
+    return low.select("id", F.struct(F.lit(2).alias("dim"), F.array(ring(0, 0, 0.2, 0.2), ring(0.05, 0.05, 0.15, 0.15), ring(0.21, 0, 0.23, 0.2)).alias("chains")).alias("shape"))
+
+
+@query(f"""WITH {_POINTS}, {_HOLED} SELECT id AS left_id, label AS right_id, round(d, 9) AS distance FROM d WHERE d <= 0.02""")
+def areas_within(t):
+    """Points at polygons with holes and parts, all within a distance."""
+    points = _points(t).select("id", A.of_points(G.point(F.col("x"), F.col("y"))).alias("shape"))
+    return spatial.area_join(points, _holed(t), 0.02).withColumn("distance", F.round("distance", 9))
+
+
+@query(f"""WITH {_POINTS}, {_HOLED}, m AS (SELECT id, label, d, min(d) OVER (PARTITION BY id) AS least FROM d WHERE d <= 0.02), r AS (SELECT * FROM m WHERE d <= 0 OR least > 0)
+SELECT e.id AS left_id, r.label AS right_id, CASE WHEN r.d <= 0 THEN 'strict' WHEN r.d > 0 THEN 'near' END AS relation FROM e LEFT JOIN r ON r.id = e.id""")
+def area_cascade(t):
+    """Touched areas, else near ones, else none."""
+    points = _points(t).select("id", A.of_points(G.point(F.col("x"), F.col("y"))).alias("shape"))
+    return spatial.area_cascade(points, _holed(t), 0.02).select("left_id", "right_id", "relation")
+
+
 # structures with their geometries; sinks and sources, written and read again
 
 _STRUCTURES = """x AS (SELECT s_suppkey AS id, s_nationkey::DOUBLE AS bx, s_nationkey + 100.0::DOUBLE AS ax FROM supplier), k AS (SELECT s_suppkey AS id, p_partkey::VARCHAR AS child, p_size::DOUBLE AS cx, p_retailprice AS cy FROM supplier, part, (SELECT count(*) AS n FROM supplier) AS o WHERE p_partkey % n = s_suppkey % n)"""
