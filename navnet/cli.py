@@ -9,7 +9,7 @@ import logging
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .operators import dropins, graph, splice, structures, traffic, validate
+from .operators import dropins, graph, network, splice, structures, traffic, validate
 from .operators.store import stored
 from .sources import files, sinks
 from .timing import timer
@@ -26,13 +26,50 @@ def build(spark: SparkSession, a: argparse.Namespace) -> None:
     print(json.dumps(sinks.export_graph(nodes.withColumnRenamed(a.node, "id"), edges, a.target)))
 
 
+def foreign(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Nodes and sections of an explicit-link source to a graph, with records, border edges and subgraphs."""
+    t = files.bundle(spark, a.source, ("nodes", "sections"))
+    nodes, edges = network.foreign_graph(t["nodes"], t["sections"], a.order)
+    first = [c for c in nodes.schema["records"].dataType.elementType.names if c not in nodes.columns]
+    nodes = nodes.withColumns({c: F.col("records")[0][c] for c in first})
+    print(json.dumps(sinks.export_graph(nodes.withColumnRenamed("node_id", "id"), edges.withColumnsRenamed({"source": "src", "target": "dst"}), a.target)))
+
+
+def stitch(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Border links between two graphs: nodes with id, x and y in metres, the foreign ones with countrycode."""
+    read = lambda p, n: spark.read.parquet(f"{p}/{n}")
+    links = network.stitched(read(a.home, "nodes"), read(a.foreign, "nodes"), read(a.foreign, "edges"), a.country, float(a.at_most))
+    links.write.mode("overwrite").parquet(a.target)
+
+
+def enrich(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Edges with what is known of their sections. The plan (JSON) lists by_key: table, key, prefix, columns; and by_range:
+    table, prefix, columns; tables are Parquet folders of the source."""
+    with open(a.plan) as f:
+        plan = json.load(f)
+    table = lambda name: spark.read.parquet(f"{a.source}/{name}")
+    by_key = [(table(name), key, prefix, columns) for name, key, prefix, columns in plan.get("by_key", [])]
+    by_range = [(table(name), prefix, columns) for name, prefix, columns in plan.get("by_range", [])]
+    network.enriched(table("edges"), by_key, by_range, a.order, a.section, tuple(a.route.split(","))).write.mode("overwrite").parquet(f"{a.target}/edges")
+
+
 def merge(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Two graphs and their border links to one."""
+    """Two graphs and their border links to one; links that aren't given are found as stitch finds them."""
     read = lambda p, n: spark.read.parquet(f"{p}/{n}")
-    nodes, edges = graph.merge_graphs((read(a.home, "nodes"), read(a.home, "edges")), (read(a.foreign, "nodes"), read(a.foreign, "edges")), spark.read.parquet(a.links), a.country)
+    links = spark.read.parquet(a.links) if a.links else network.stitched(read(a.home, "nodes"), read(a.foreign, "nodes"), read(a.foreign, "edges"), a.country, float(a.at_most))
+    nodes, edges = graph.merge_graphs((read(a.home, "nodes"), read(a.home, "edges")), (read(a.foreign, "nodes"), read(a.foreign, "edges")), links, a.country)
     print(json.dumps(sinks.export_graph(nodes, edges, a.target)))
 
 
+def run_all(spark: SparkSession, a: argparse.Namespace) -> None:
+    """From the sources of both graphs (folders home and foreign) to the merged graph and its report, in the target."""
+    step = lambda fn, **options: fn(spark, argparse.Namespace(**{**vars(a), **options}))
+    step(build, source=f"{a.source}/home", target=f"{a.target}/home")
+    step(foreign, source=f"{a.source}/foreign", target=f"{a.target}/foreign")
+    step(merge, home=f"{a.target}/home", foreign=f"{a.target}/foreign", links="", target=f"{a.target}/merged")
+    step(check, source=f"{a.target}/merged", target=f"{a.target}/report.md")
+
+
 def check(spark: SparkSession, a: argparse.Namespace) -> None:
     """A report on a merged graph."""
     nodes, edges = spark.read.parquet(f"{a.source}/nodes"), spark.read.parquet(f"{a.source}/edges")
@@ -100,7 +137,11 @@ def parser() -> argparse.ArgumentParser:
     commands = p.add_subparsers(dest="command", required=True)
     for name, fn, options in (
         ("build", build, {"--order": "id", "--start": "start_junction_id", "--end": "end_junction_id", "--node": "id"}),
-        ("merge", merge, {"--home": None, "--foreign": None, "--links": None, "--country": "NL"}),
+        ("foreign", foreign, {"--order": "order"}),
+        ("stitch", stitch, {"--home": None, "--foreign": None, "--country": "NL", "--at-most": "100"}),
+        ("merge", merge, {"--home": None, "--foreign": None, "--links": "", "--country": "NL", "--at-most": "100"}),
+        ("enrich", enrich, {"--plan": None, "--order": "order", "--section": "section_id", "--route": "route_id,km_begin,km_end"}),
+        ("all", run_all, {"--order": "order", "--start": "start_junction_id", "--end": "end_junction_id", "--node": "id", "--country": "NL", "--at-most": "100"}),
         ("validate", check, {}),
         ("process", process, {}),
         ("cuts", cuts, {}),
@@ -110,7 +151,7 @@ def parser() -> argparse.ArgumentParser:
         ("publish", publish, {"--needed": "nodes,edges,summary.json"}),
     ):
         c = commands.add_parser(name, help=fn.__doc__)
-        if name != "merge":
+        if name not in ("merge", "stitch"):
             c.add_argument("source")
         if name != "publish":
             c.add_argument("target")

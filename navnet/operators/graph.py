@@ -11,19 +11,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import lines as L
 from .components import components
 from .relational import keep_last, ragged_union, semi_referenced
 from .store import stored
 
 
 def build_graph(sections: DataFrame, junctions: DataFrame, order: str, start: str = "start", end: str = "end", node: str = "id") -> tuple[DataFrame, DataFrame]:
-    """nodes, edges: sections with both ends, the last of each undirected pair; junctions that some section refers to."""
+    """nodes, edges: sections with both ends, the last of each undirected pair; junctions that some section refers to. Sections
+    with a line in degrees (an array of points) get length_m, along it on the ellipsoid."""
     own = sections.where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumnRenamed(start, "src").withColumnRenamed(end, "dst")
     keyed = own.withColumn("_a", F.least("src", "dst")).withColumn("_b", F.greatest("src", "dst"))
-    edges = keep_last(keyed, ["_a", "_b"], [order]).drop("_a", "_b")
+    edges = measured(keep_last(keyed, ["_a", "_b"], [order]).drop("_a", "_b"))
     return semi_referenced(junctions, node, edges, ("src", "dst")), edges
 
 
+def measured(edges: DataFrame) -> DataFrame:
+    """edges with length_m, the geodesic length of their lines (degrees), if they have lines; null where there is none."""
+    return edges.withColumn("length_m", L.geodesic_length("line")) if "line" in edges.columns else edges
+
+
 def merge_graphs(home: tuple[DataFrame, DataFrame], foreign: tuple[DataFrame, DataFrame], links: DataFrame, country: str, names: tuple[str, str] = ("FIS", "EURIS"), pruned_nodes: tuple = (), pruned_edges: tuple = (), edge_id: str = "edge_id") -> tuple[DataFrame, DataFrame]:
     """One graph: ids prefixed by source, foreign nodes of the home country (and edges at them) left out, pruned parts of
     the home graph too, and border links (home_node, foreign_node, bridgehead, distance)."""

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..functions.geometry import geodesic_metres
 from .components import components
-from .graph import harbour_access
+from .graph import harbour_access, measured
 from .relational import fill_from, keep_first, left_first, match_by_range, ragged_union, section_endpoints
 from .spatial import nearest
 
@@ -31,8 +32,9 @@ def border_links(nodes: DataFrame) -> DataFrame:
 def foreign_graph(nodes: DataFrame, sections: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
     """nodes with records (all rows of a node, by `order`) and subgraph; edges (section columns, source, target, is_border,
     subgraph). nodes: node_id, sectionref, borderpoint, locode, ...; sections: code, .... A section's ends are the first and
-    last of its nodes; border edges join the nodes that border_links() finds. subgraph: the smallest node of the part."""
-    own = section_endpoints(sections, nodes, "code", "sectionref", "node_id", order)
+    last of its nodes; border edges join the nodes that border_links() finds. Sections with a line in degrees get length_m,
+    along it on the ellipsoid. subgraph: the smallest node of the part."""
+    own = measured(section_endpoints(sections, nodes, "code", "sectionref", "node_id", order))
     edges = ragged_union([own.withColumn("is_border", F.lit(False)), border_links(nodes).withColumn("is_border", F.lit(True))])
     parts = components(edges, "source", "target").withColumnRenamed("component", "subgraph")
     edges = edges.join(parts, edges["source"] == parts["node"], "left").drop("node")
@@ -55,9 +57,10 @@ def stitched(home: DataFrame, foreign: DataFrame, edges: DataFrame, country: str
     return links.join(found, F.col("bridgehead") == F.col("left_id")).select("foreign_node", "foreign_cc", "bridgehead", F.col("right_id").alias("home_node"), "distance")
 
 
-def harbours(rows: DataFrame, junctions: DataFrame, cell: float) -> tuple[DataFrame, DataFrame]:
+def harbours(rows: DataFrame, junctions: DataFrame, cell: float, degrees: bool = False) -> tuple[DataFrame, DataFrame]:
     """nodes and access edges of harbours (id, name, code, unlocode, x, y): the edge goes to the junction (node, code, x, y) of
-    the same code, else to the nearest one. Rows without id or place are left out."""
+    the same code, else to the nearest one. Rows without id or place are left out. The edge has its length in the places'
+    own unit, or, if these are degrees, length_m on the ellipsoid too."""
     own = rows.where(S.is_valid("id") & F.col("x").isNotNull() & F.col("y").isNotNull()).withColumn("code", F.upper(F.trim("code")))
     nodes = own.select(F.concat(F.lit("harbour_"), S.stringify_id("id")).alias("id"), F.lit("harbour").alias("node_type"), "name", S.harbour_locode("unlocode", "code").alias("locode"), F.col("code").alias("isrs_id"), "x", "y")
     at = junctions.select(F.col("node").alias("id"), "x", "y")
@@ -65,7 +68,7 @@ def harbours(rows: DataFrame, junctions: DataFrame, cell: float) -> tuple[DataFr
     access = harbour_access(keyed.select("id", "code"), junctions.select("node", F.upper(F.trim("code")).alias("code")), nearest(keyed.select("id", "x", "y"), at, cell))
     ends = access.join(keyed.select(F.col("id").alias("harbour_id"), "name", "x", "y"), "harbour_id").join(at.select(F.col("id").alias("node"), F.col("x").alias("nx"), F.col("y").alias("ny")), "node")
     length = F.sqrt(F.pow(F.col("x") - F.col("nx"), 2) + F.pow(F.col("y") - F.col("ny"), 2))
-    edges = ends.select(F.col("harbour_id").alias("src"), F.col("node").alias("dst"), "by", F.lit("harbour_access").alias("segment_type"), F.lit("vinharbour").alias("data_source"), F.concat(F.lit("Access to "), F.col("name")).alias("name"), length.alias("length"))
+    edges = ends.select(F.col("harbour_id").alias("src"), F.col("node").alias("dst"), "by", F.lit("harbour_access").alias("segment_type"), F.lit("vinharbour").alias("data_source"), F.concat(F.lit("Access to "), F.col("name")).alias("name"), length.alias("length"), *([geodesic_metres("x", "y", "nx", "ny").alias("length_m")] if degrees else []))
     return nodes, edges
 
 

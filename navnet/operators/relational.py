@@ -148,10 +148,46 @@ def missing_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return counts.select(F.explode(F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c))])).alias("column", "missing"))
 
 
-def describe(df: DataFrame, column: str) -> DataFrame:
-    """count, mean, std, min, quartiles (interpolated), max of a column."""
-    q = lambda p: F.percentile(column, p)
-    return df.agg(F.count(column).alias("count"), F.avg(column).alias("mean"), F.stddev(column).alias("std"), F.min(column).alias("min"), q(0.25).alias("q25"), q(0.5).alias("q50"), q(0.75).alias("q75"), F.max(column).alias("max"))
+def describe(df: DataFrame, column: str, few: int = 1_000_000) -> DataFrame:
+    """count, mean, std, min, quartiles (interpolated), max of a column. Quartiles are exact: those of at most `few` values by
+    percentile(), which holds the distinct ones in a task, those of more by order_values()."""
+    plain = [F.count(column).alias("count"), F.avg(column).alias("mean"), F.stddev(column).alias("std"), F.min(column).alias("min"), F.max(column).alias("max")]
+    names, order = ("q25", "q50", "q75"), ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
+    many = df.agg(F.count(column)).first()[0]
+    if many <= few:
+        return df.agg(*plain, *[F.percentile(column, p).alias(n) for n, p in zip(names, (0.25, 0.5, 0.75), strict=True)]).select(*order)
+    places = {n: divmod(p * (many - 1), 1) for n, p in zip(names, (0.25, 0.5, 0.75), strict=True)}
+    found = order_values(df, column, sorted({int(k) + d for k, _ in places.values() for d in (0, 1) if int(k) + d < many}))
+    quartiles = {n: found[int(k)] if not share else (1 - share) * found[int(k)] + share * found[int(k) + 1] for n, (k, share) in places.items()}
+    return df.agg(*plain).withColumns({n: F.lit(float(v)) for n, v in quartiles.items()}).select(*order)
+
+
+def order_values(df: DataFrame, column: str, places: list[int], bins: int = 1024) -> dict[int, float]:
+    """The values at the given places (from 0) of the sorted non-null values of a column of finite numbers. Each pass counts the
+    values of every place's range in bins and keeps the bin that holds the place, until a bin is one value; a few counts
+    for each place are all that comes to the driver, and no task holds the values."""
+    value = F.col(column).cast("double")
+    own = df.where(F.col(column).isNotNull()).select(value.alias("v"))
+    low, high = own.agg(F.min("v"), F.max("v")).first()
+    todo, out = {k: (low, high, k) for k in places}, {}  # range, and the place within it
+    while todo:
+        ranges = sorted({(a, b) for a, b, _ in todo.values()})
+        asked = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).alias("a"), F.lit(b).alias("b")) for i, (a, b) in enumerate(ranges)])
+        rows = own.select("v", F.explode(F.filter(asked, lambda r: (F.col("v") >= r["a"]) & (F.col("v") <= r["b"]))).alias("r"))
+        bin_ = F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("r.a")) / F.nullif(F.col("r.b") - F.col("r.a"), F.lit(0.0)) * bins))
+        counts = rows.groupBy("r.i", F.coalesce(bin_, F.lit(0)).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).orderBy("i", "bin").collect()
+        rest = {}
+        for k, (a, b, at) in todo.items():
+            for r in (r for r in counts if r.i == ranges.index((a, b))):
+                if at < r.n:
+                    if r.a == r.b:
+                        out[k] = r.a
+                    else:
+                        rest[k] = (r.a, r.b, at)
+                    break
+                at -= r.n
+        todo = rest
+    return out
 
 
 def group_voyages(trips: DataFrame, keys: list[str], cargo: str, capacity: str, event: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """Networks built from their sources: what SQL doesn't say, errors, and greedy matching against one pass over sorted pairs."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from navnet.functions import geometry as G
 from navnet.functions import scalars as S
-from navnet.operators import compare, components, network, spatial
+from navnet.operators import compare, components, graph, network, relational, spatial
 from navnet.plans.catalogue import QUERIES, Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -26,16 +28,56 @@ def test_greedy_pairs_are_those_of_one_sorted_pass(spark):
     assert got == want and want
 
 
+def test_matching_of_chains_and_giant_parts(spark):
+    """A chain in which each pair waits for the one before it: one sorted pass, also where a part is too large for a task."""
+    rows = [(i // 2 * 2, (i + 1) // 2 * 2 + 1, 20_000.0 - i, 1.0) for i in range(10_000)]
+    chain = spark.createDataFrame([*rows, (None, 1, 1.0, 1.0), (1, None, 1.0, 1.0)], "left long, right long, score double, distance double")
+    used, want = (set(), set()), set()
+    for a, b, *_ in rows:
+        if a not in used[0] and b not in used[1]:
+            used[0].add(a)
+            used[1].add(b)
+            want.add((a, b))
+    assert {(r.left, r.right) for r in spatial.greedy_pairs(chain).collect()} == want
+    assert {(r.left, r.right) for r in spatial.greedy_pairs(chain.where("score > 19985"), giant=5).collect()} == {(a, b) for a, b in want if 20_000 - a > 19_985}
+    assert spatial.greedy_pairs(chain.limit(0)).count() == 0
+
+
 def test_rounds_that_run_out_are_an_error(spark, monkeypatch):
-    chain = spark.createDataFrame([(i // 2 * 2, (i + 1) // 2 * 2 + 1, 100.0 - i, 1.0) for i in range(30)], "left long, right long, score double, distance double")
-    assert spatial.greedy_pairs(chain).count() > 0
-    with pytest.raises(RuntimeError):
-        spatial.greedy_pairs(chain, rounds=3)
     monkeypatch.setattr(components, "ROUNDS", 1)
     with pytest.raises(RuntimeError):
         components.components(spark.createDataFrame([(i, i + 1) for i in range(40)], "src long, dst long"))
 
 
+def test_quartiles_of_many_values(spark):
+    """Order statistics by refinement against sorting: ties, one value, negative numbers, nulls, places in between."""
+    rng = random.Random(3)
+    for values in ([rng.gauss(0, 1e6) for _ in range(3001)], [rng.choice([1.0, 2.0, 2.0, 7.5]) for _ in range(1000)], [5.0] * 40, [-3.0, 1e12, 2.0, 2.0000001], [1.0]):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(3)
+        ordered = sorted(values)
+        places = sorted({0, len(values) // 3, len(values) // 2, len(values) - 1})
+        assert relational.order_values(df, "v", places) == {k: ordered[k] for k in places}
+        exact, refined = (relational.describe(df, "v", few).first() for few in (10_000, 0))
+        assert tuple(exact) == pytest.approx(tuple(refined), nan_ok=True) if None not in exact else exact.q50 == refined.q50
+
+
+def test_lengths_on_the_ellipsoid(spark):
+    """Whole lines in degrees: a degree of the equator and of a meridian, and a bent line; null without a line."""
+    line = "array<struct<x:double,y:double>>"
+    p = lambda x, y: {"x": x, "y": y}
+    rows = [("a", "b", 1, [p(0.0, 0.0), p(1.0, 0.0)]), ("b", "c", 2, [p(0.0, 0.0), p(0.0, 1.0)]), ("c", "d", 3, [p(5.0, 52.0), p(5.01, 52.0), p(5.01, 52.01)]), ("d", "e", 4, None)]
+    sections = spark.createDataFrame(rows, f"start string, end string, ord int, line {line}")
+    edges = {r.src: r.length_m for r in graph.build_graph(sections, spark.createDataFrame([("a",)], "id string"), "ord")[1].collect()}
+    assert edges["a"] == pytest.approx(111319.4908, abs=1e-3) and edges["b"] == pytest.approx(110574.3886, abs=1e-3) and edges["d"] is None
+    assert edges["c"] == pytest.approx(686.72 + 1112.68, abs=0.5)
+    nodes = spark.createDataFrame([("n1", "s", None, "L", 1), ("n2", "s", None, "M", 2)], "node_id string, sectionref string, borderpoint string, locode string, ord int")
+    own = spark.createDataFrame([("s", rows[0][3])], f"code string, line {line}")
+    assert network.foreign_graph(nodes, own, "ord")[1].first().length_m == pytest.approx(111319.4908, abs=1e-3)
+    place = spark.createDataFrame([(15, "H", "C1", "NLTE1", 0.0, 0.0)], "id int, name string, code string, unlocode string, x double, y double")
+    access = network.harbours(place, spark.createDataFrame([("100", "C1", 0.0, 1.0)], "node string, code string, x double, y double"), 1.0, degrees=True)[1].first()
+    assert access.length_m == pytest.approx(110574.3886, abs=1e-3) and access.length == 1.0
+
+
 def test_numbers_are_not_read_as_texts(spark):
     df = spark.createDataFrame([(-5, "-5"), (7, "km 7.5")], "n int, t string")
     assert [tuple(r) for r in df.select(S.number_in_text("n"), S.number_in_text("t")).collect()] == [(None, 5.0), (7.0, 7.5)]
