@@ -120,6 +120,7 @@ def assign(spark: SparkSession, a: argparse.Namespace) -> None:
     known = {r.class_code: (r.beam, r.length, r.cemt) for r in t["vessels"].collect()} if "vessels" in t else {}
     trips, intensity, status = traffic.assign(voyages, traffic.geocode(codes, t["nodes"], t["places"]), t["edges"], known)
     trips = stored(trips, "assigned")
+    intensity = traffic.with_penalties(intensity, trips, t["edges"], known)
     sinks.export_assignment(trips, intensity, traffic.penalised(trips, t["edges"], known), t["edges"], a.target)
     print(json.dumps({r.status: r.groups for r in status.collect()}))
 

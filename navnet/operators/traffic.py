@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from .graph import route
+from .network import penalty_sums
 from .relational import edge_intensity, group_voyages, top_record
 
+#: Kinds of limits that a vessel can exceed.
+KINDS = ("lock", "bridge", "fairway", "sea", "cemt")
+
 
 def locode_nodes(nodes: DataFrame) -> DataFrame:
     """code, node, rank, x, y: nodes (id, locode, kind, x, y) by location code and by its first five characters; harbours
@@ -65,16 +69,26 @@ def assign(voyages: DataFrame, codes: DataFrame, edges: DataFrame, vessels: dict
     return trips, edge_intensity(trips.where("status = 'success'"), "edges"), trips.groupBy("status").agg(F.count(F.lit(1)).alias("groups"), F.sum("trips").alias("trips"))
 
 
-def penalised(trips: DataFrame, edges: DataFrame, vessels: dict[str, tuple[float, float, str]]) -> DataFrame:
-    """Per edge and kind of limit that is exceeded: trips, cargo, and the class of the group with most trips."""
-    kinds = ("lock", "bridge", "fairway", "sea", "cemt")
+def passed(trips: DataFrame, edges: DataFrame, vessels: dict[str, tuple[float, float, str]]) -> DataFrame:
+    """key, class_code, trips, total_cargo, origin, destination and the penalties by kind and in total, of every edge that a
+    routed group passes."""
     default = S.VESSEL_DEFAULT
     known = {"": (default["beam"], default["length"], default["cemt"]), **vessels}
     used = trips.where("status = 'success'").select("class_code", "trips", "total_cargo", "origin", "destination", F.explode("edges").alias("key"))
-    rows = used.join(edges, "key")
     chosen = None
     for code, vessel in known.items():
-        chosen = F.when(F.col("class_code") == code, penalty_columns(edges, *vessel)) if chosen is None else chosen.when(F.col("class_code") == code, penalty_columns(edges, *vessel))
-    over = F.filter(F.array(*[F.when(chosen[k] > 0, F.lit(k)) for k in kinds]), lambda k: k.isNotNull())
-    flat = rows.select("key", "class_code", "trips", "total_cargo", "origin", "destination", F.explode(over).alias("kind"))
+        own = penalty_columns(edges, *vessel)
+        chosen = F.when(F.col("class_code") == code, own) if chosen is None else chosen.when(F.col("class_code") == code, own)
+    return used.join(edges, "key").select("key", "class_code", "trips", "total_cargo", "origin", "destination", *[chosen[k].alias(k) for k in (*KINDS, "total")])
+
+
+def with_penalties(intensity: DataFrame, trips: DataFrame, edges: DataFrame, vessels: dict[str, tuple[float, float, str]]) -> DataFrame:
+    """intensity (edge, ...) with the penalties of the trips over each edge, by kind and in total, summed by trips."""
+    return intensity.join(penalty_sums(passed(trips, edges, vessels).withColumnRenamed("key", "edge")), "edge", "left")
+
+
+def penalised(trips: DataFrame, edges: DataFrame, vessels: dict[str, tuple[float, float, str]]) -> DataFrame:
+    """Per edge and kind of limit that is exceeded: trips, cargo, and the class of the group with most trips."""
+    over = F.filter(F.array(*[F.when(F.col(k) > 0, F.lit(k)) for k in KINDS]), lambda k: k.isNotNull())
+    flat = passed(trips, edges, vessels).select("key", "class_code", "trips", "total_cargo", "origin", "destination", F.explode(over).alias("kind"))
     return top_record(flat, ["key", "kind"], "trips", ["class_code", "origin", "destination"], ["class_code"], ["trips", "total_cargo"])

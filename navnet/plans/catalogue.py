@@ -176,17 +176,17 @@ def nearest_within(t):
     return spatial.nearest(p.where("id % 7 <> 0"), p.where("id % 7 = 0"), 0.02, at_most=0.03, broadcast_rows=10).withColumn("distance", F.round("distance", 6))
 
 
-@query(f"""WITH {_POINTS} SELECT l.id AS left_id, r.id AS right_id, round(sqrt({_D2}), 6) AS distance FROM e l JOIN e r ON {_D2} <= 0.05 * 0.05 WHERE l.label = 1 AND r.label = 2""")
+@query(f"""WITH {_POINTS} SELECT l.id AS left_id, r.id AS right_id, round(sqrt({_D2}), 6) AS distance FROM e l JOIN e r ON {_D2} <= 0.05 * 0.05 WHERE l.label < 5 AND r.label >= 5""")
 def grid_within_distance(t):
     p = _points(t)
-    return spatial.within_distance(p.where("label = 1"), p.where("label = 2"), 0.05).withColumn("distance", F.round("distance", 6))
+    return spatial.within_distance(p.where("label < 5"), p.where("label >= 5"), 0.05).withColumn("distance", F.round("distance", 6))
 
 
-@query(f"""WITH {_POINTS}, a AS (SELECT l.id AS left_id, r.id AS right_id, 0 AS step FROM e l JOIN e r ON {_D2} <= 0.01 * 0.01 WHERE l.label = 3 AND r.label = 4), m AS (SELECT * FROM e WHERE label = 3 AND id NOT IN (SELECT left_id FROM a)),
-b AS (SELECT l.id AS left_id, r.id AS right_id, 1 AS step FROM m l JOIN e r ON {_D2} <= 0.04 * 0.04 WHERE r.label = 4) SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT id, NULL, NULL FROM m WHERE id NOT IN (SELECT left_id FROM b)""")
+@query(f"""WITH {_POINTS}, a AS (SELECT l.id AS left_id, r.id AS right_id, 0 AS step FROM e l JOIN e r ON {_D2} <= 0.01 * 0.01 WHERE l.label < 5 AND r.label >= 5), m AS (SELECT * FROM e WHERE label < 5 AND id NOT IN (SELECT left_id FROM a)),
+b AS (SELECT l.id AS left_id, r.id AS right_id, 1 AS step FROM m l JOIN e r ON {_D2} <= 0.04 * 0.04 WHERE r.label >= 5) SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT id, NULL, NULL FROM m WHERE id NOT IN (SELECT left_id FROM b)""")
 def spatial_cascade(t):
     p = _points(t)
-    return spatial.cascade(p.where("label = 3"), p.where("label = 4"), [0.01, 0.04]).select("left_id", "right_id", "step")
+    return spatial.cascade(p.where("label < 5"), p.where("label >= 5"), [0.01, 0.04]).select("left_id", "right_id", "step")
 
 
 @query(f"""WITH {_POINTS} SELECT id, round(x, 6) AS x, round(y, 6) AS y FROM e WHERE x BETWEEN -0.1 AND 0.1 AND y BETWEEN -0.05 AND 0.2""")

@@ -180,7 +180,7 @@ def test_assignment_from_files_to_layers(spark, tmp_path, capsys):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     empty = "cast(array() as array<struct<id:string,name:string,width:double,length:double,minutes:double>>)"
     edges = spark.createDataFrame([("a", "b", "e1", 1000.0, "Waal"), ("b", "c", "e2", 500.0, "Waal")], "src string, dst string, key string, length_m double, water_name string")
-    edges = edges.selectExpr("*", "'x' as name", "cast(null as double) as width", "cast(null as string) as cemt_class", f"{empty} as chambers", f"{empty} as openings").withColumn("geometry", F.array(G.point(F.lit(0.0), F.lit(0.0)), G.point(F.lit(1.0), F.lit(1.0))))
+    edges = edges.selectExpr("*", "'x' as name", "case when key = 'e1' then 5.0D end as width", "cast(null as string) as cemt_class", f"{empty} as chambers", f"{empty} as openings").withColumn("geometry", F.array(G.point(F.lit(0.0), F.lit(0.0)), G.point(F.lit(1.0), F.lit(1.0))))
     edges.write.parquet(f"{src}/edges.parquet")
     nodes = spark.createDataFrame([("a", "NLAAA01", "harbour", 0.0, 0.0), ("c", "NLCCC", "harbour", 1.0, 1.0)], "id string, locode string, kind string, x double, y double")
     nodes.write.parquet(f"{src}/nodes.parquet")
@@ -191,6 +191,11 @@ def test_assignment_from_files_to_layers(spark, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out) == {"success": 1, "geocode_fail": 1}
     got = {r.edge: (r.total_cargo, r.trips) for r in spark.read.parquet(f"{out}/intensity").collect()}
     assert got == {"e1": (15.0, 2), "e2": (15.0, 2)} and spark.read.parquet(f"{out}/trips_with_paths").first().path == ["a", "b", "c"]
+    sums = {r.edge: r for r in spark.read.parquet(f"{out}/intensity").collect()}
+    kinds = ("lock", "bridge", "fairway", "sea", "cemt")
+    assert sums["e1"].penalty_total > 0 == sums["e2"].penalty_total and all(r.penalty_total == sum(r[f"penalty_{k}"] for k in kinds) for r in sums.values())
+    over = [r for r in spark.read.parquet(f"{out}/penalised_edges").collect()]
+    assert {r.key for r in over} == {"e1"} and over[0].trips == 2
     with pytest.raises(ValueError):
         none = spark.createDataFrame([], "status string, edge string")
         sinks.export_assignment(none, none, None, edges, out)
