@@ -130,7 +130,7 @@ def build(sections: DataFrame, complexes: dict[str, DataFrame], objects: dict[st
         parts = [spliced.select(F.concat_ws("_", F.lit("fairway_segment_section"), "section_id", F.col("segment").cast("string")).alias("id"), F.lit("fairway_segment").alias("feature_type"), F.lit("section").alias("type"), "source_node", "target_node", "length_m")]
         met = None
     if mode == "simplified":
-        parts += [passages(df, k).select("id", "feature_type", "type", "source_node", "target_node", "structure_id") for k, df in complexes.items()]
+        parts += [passages(df, k).drop("name", "section_id") if not lined else passages(df, k).drop("name") for k, df in complexes.items()]
     else:
         parts.append(made)
         for kind, df in objects.items():

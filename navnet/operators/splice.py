@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions import lines as L
 from ..functions.scalars import stringify_id
+from .relational import bottleneck
 
 EPS = 0.001
 #: Fixed values, metres: what a lock takes of a section beyond half its longest chamber, a lock in the simplified mode, a bridge.
@@ -119,16 +120,31 @@ def segment_nodes(segments: DataFrame) -> DataFrame:
     return first.select("id", "n.node_type", "n.point")
 
 
+#: What a simplified passage says of what its structure is made of: of a lock the largest, of a bridge the least, by the fields
+#: that can tell it.
+CAPACITIES = {"lock": {"dim_gate_width": ("dim_gate_width", "width"), "dim_usable_length": ("dim_usable_length", "length")}, "bridge": {"dim_gate_width": ("dim_gate_width", "width"), "dim_height": ("dim_height", "height")}}
+
+
 def passages(structures: DataFrame, kind: str) -> DataFrame:
     """Node and edge features of a simplified passage through each structure (id, name, before, after: the points where it
-    splits and merges, sections: array of struct(id, relation), children). Structures without both points are skipped."""
+    splits and merges, sections: array of struct(id, relation), children). Structures without both points are skipped.
+
+    With children, an edge has their constituent_ids, comma-joined, and the capacity of the whole: a lock's widest and longest
+    chamber, a bridge's narrowest and lowest opening; null where no child says."""
     s = structures.where(F.col("before").isNotNull() & F.col("after").isNotNull()).withColumn("_id", F.col("id").cast("string"))
     name = lambda part: F.concat(F.lit(f"{kind}_"), F.col("_id"), F.lit(f"_{part}"))
     overlap = F.filter("sections", lambda x: x["relation"] == "overlap")
     section = F.coalesce(F.try_element_at(overlap, F.lit(1))["id"], F.try_element_at(F.col("sections"), F.lit(1))["id"])
     node = lambda part: F.struct(name(part).alias("id"), F.lit("node").alias("feature_type"), F.lit(f"{kind}_{part}").alias("type"), F.lit(None).cast("string").alias("source_node"), F.lit(None).cast("string").alias("target_node"), F.lit(None).cast("string").alias("section_id"))
     edge = F.struct(F.concat(F.lit(f"{kind}_passage_"), F.col("_id")).alias("id"), F.lit("fairway_segment").alias("feature_type"), F.lit(f"{kind}_passage").alias("type"), name("split").alias("source_node"), name("merge").alias("target_node"), section.cast("string").alias("section_id"))
-    return s.select(F.col("_id").alias("structure_id"), "name", F.explode(F.array(node("split"), node("merge"), edge)).alias("f")).select("structure_id", "name", "f.*")
+    fields = structures.schema["children"].dataType.elementType.names if "children" in structures.columns else []
+    told = {target: next(f for f in names if f in fields) for target, names in CAPACITIES.get(kind, {}).items() if set(names) & set(fields)}
+    own = bottleneck("children", *((told, {}) if kind == "bridge" else ({}, told))) if fields else []
+    found = s.select("*", *own) if own else s
+    extra = [*told, "constituent_ids"] if own else []
+    rows = found.select(F.col("_id").alias("structure_id"), "name", *extra, F.explode(F.array(node("split"), node("merge"), edge)).alias("f"))
+    only = [F.when(F.col("f.feature_type") != "node", F.col(c)).alias(c) for c in extra]
+    return rows.select("structure_id", "name", "f.*", *only)
 
 
 def access_features(objects: DataFrame, kind: str) -> DataFrame:

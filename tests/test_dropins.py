@@ -135,6 +135,19 @@ def test_line_kernel_matches_plain_cuts(spark):
     assert got[500] is None and got[501] == []
 
 
+def test_capacities_of_passages(spark):
+    from navnet.operators import splice
+
+    child = "array<struct<id:string,dim_gate_width:double,dim_usable_length:double,dim_height:double>>"
+    kids = [("a", 9.0, 100.0, 7.0), ("b", 12.0, None, 5.5), ("c", None, 80.0, None)]
+    df = spark.createDataFrame([("1", "S", p(0), p(9), [("s", "direct"), ("t", "overlap")], kids), ("2", "E", p(0), p(9), [], [])], f"id string, name string, before {P}, after {P}, sections array<struct<id:string,relation:string>>, children {child}")
+    lock = {r.id: r for r in splice.passages(df, "lock").collect()}
+    bridge = {r.id: r for r in splice.passages(df, "bridge").collect()}
+    assert (lock["lock_passage_1"].dim_gate_width, lock["lock_passage_1"].dim_usable_length, lock["lock_passage_1"].constituent_ids, lock["lock_passage_1"].section_id) == (12.0, 100.0, "a,b,c", "t")
+    assert (bridge["bridge_passage_1"].dim_gate_width, bridge["bridge_passage_1"].dim_height) == (9.0, 5.5)
+    assert (lock["lock_passage_2"].dim_gate_width, lock["lock_passage_2"].constituent_ids) == (None, "") and lock["lock_1_split"].constituent_ids is None
+
+
 def test_opening_cuts_its_chambers_line(spark):
     line = f"array<{P}>"
     rows = [([p(0), p(10), p(10, 10)], p(11, 4)), ([p(0), p(10)], p(-3, 1)), ([p(0), p(10)], p(14, 0)), ([p(0), p(10), p(20)], p(10, 2))]
@@ -151,6 +164,7 @@ def test_simplified_build(tables):
     assert {r.id for r in made["nodes"].collect()} == {f"{k}_{i}_{e}" for k, i in (("lock", 1), ("bridge", 2), ("bridge", 3)) for e in ("split", "merge")}
     edges = {r.id: r for r in made["edges"].collect()}
     assert [(q.x, q.y) for q in edges["lock_passage_1"].geometry] == [(450, 0), (550, 0)]
+    assert edges["lock_passage_1"].constituent_ids == "11,12" and edges["lock_passage_1"].dim_usable_length == 40 and edges["bridge_passage_2"].constituent_ids == "21"
     assert not any("terminal" in (r.target_node or "") for r in edges.values())
     with pytest.raises(ValueError):
         dropins.build(*tables, "other")
