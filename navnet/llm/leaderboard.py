@@ -28,7 +28,8 @@ from pyspark.sql.streaming import StatefulProcessor
 from .common import shared_dir, stored
 
 #: buckets: a shard's memory is 16 bytes for each of its items, so a nation's items over BUCKETS; a merger's is TOP items a
-#: bucket, whatever the input.
+#: bucket, whatever the input. PARTITIONS: each has two stores, which every start opens anew.
+PARTITIONS = 64
 TOP, BUCKETS, LATENESS, CHUNK = 10, 32, 15, 1 << 20
 #: One sum of a shard's packet; one change of a shard's board (on: whether the item is on it afterwards).
 SUM = np.dtype([("day", "<i8"), ("item", "<i8"), ("cents", "<i8")])
@@ -169,7 +170,7 @@ class Merger(StatefulProcessor):
         pass
 
 
-def change_feed(lines: DataFrame, top: int = TOP, buckets: int = BUCKETS, lateness: int = LATENESS) -> DataFrame:
+def change_feed(lines: DataFrame, top: int = TOP, buckets: int = BUCKETS, lateness: int = LATENESS, partitions: int = PARTITIONS) -> DataFrame:
     """nation_id, arrival_day, item_id, batch, change (enter, exit, move), old_rank, new_rank (null: off the board), revenue
     (afterwards) of every item whose rank on its nation's board differs from the board before; the first is empty.
 
@@ -177,7 +178,8 @@ def change_feed(lines: DataFrame, top: int = TOP, buckets: int = BUCKETS, latene
     read. Batches are fed by their numbers; an arrival day's lines are all in one batch, and days don't go back from batch
     to batch. Lines whose event_day + lateness is below the largest event_day of all earlier batches are dropped, and so
     are lines without nation_id or item_id, but these count for that largest day. Repeated rows count each; null cents
-    are 0; a line without batch, event_day or arrival_day is dropped. No lines give an empty feed.
+    are 0; a line without batch, event_day or arrival_day is dropped. No lines give an empty feed. partitions: of the state at
+    most, or the session's shuffle partitions if these are fewer; a large cluster wants more, as many as there are shards.
 
     Everything is under a new folder of spark.checkpoint.dir: the batches, published one by one into the streamed folder,
     the checkpoint, and the feed."""
@@ -190,7 +192,7 @@ def change_feed(lines: DataFrame, top: int = TOP, buckets: int = BUCKETS, latene
     latest = spark.read.schema(own.schema).parquet(f"{folder}/cut").groupBy("batch").agg(F.max("event_day").alias("day")).orderBy("batch").collect()
 
     session = spark.newSession()
-    for name, value in {"spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions"), **STREAMING}.items():
+    for name, value in {"spark.sql.shuffle.partitions": str(min(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))), **STREAMING}.items():
         session.conf.set(name, value)
     seen = None
     for batch, day in latest:
