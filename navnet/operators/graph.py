@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -101,8 +102,8 @@ def route(groups: DataFrame, edges: DataFrame, class_key: str, costs: dict[str,
     """groups with path (nodes), edges (keys), cost, status: the cheapest path from origin_node to destination_node.
 
     edges: src, dst, key. costs: a weight expression over edges for each class. A path depends on origin, destination and
-    class, so groups are dealt by (origin, class) and one search serves all destinations; the network, of a checked size,
-    is broadcast. Status: geocode_fail without an end, no_path if unknown or unreachable, else success (origin equal to
+    class: each such three is asked for once, however many groups have it, dealt by (origin, class), and one search serves
+    all destinations; groups are joined to the answers. The network, of a checked size, is broadcast. Status: geocode_fail without an end, no_path if unknown or unreachable, else success (origin equal to
     destination: an empty path). Equal costs: fewer edges, then the smaller node."""
     spark = groups.sparkSession
     if edges.limit(MAX_EDGES + 1).count() > MAX_EDGES:
@@ -146,9 +147,11 @@ def route(groups: DataFrame, edges: DataFrame, class_key: str, costs: dict[str,
             rows = pd.concat([g for _, g in frame.groupby(["origin_node", class_key], dropna=False, sort=False)]) if len(frame) else frame
             yield rows.assign(path=[o[0] for o in out], edges=[o[1] for o in out], cost=[o[2] for o in out], status=[o[3] for o in out])
 
-    texts = T.ArrayType(T.StringType())
-    schema = T.StructType([*groups.schema.fields, T.StructField("path", texts), T.StructField("edges", texts), T.StructField("cost", T.DoubleType()), T.StructField("status", T.StringType())])
-    return groups.repartition("origin_node", class_key).mapInPandas(run, schema)
+    texts, asked = T.ArrayType(T.StringType()), ["origin_node", "destination_node", class_key]
+    schema = T.StructType([*[groups.schema[c] for c in asked], T.StructField("path", texts), T.StructField("edges", texts), T.StructField("cost", T.DoubleType()), T.StructField("status", T.StringType())])
+    found = groups.select(*asked).distinct().repartition("origin_node", class_key).mapInPandas(run, schema).withColumnsRenamed({c: f"_{c}" for c in asked})
+    same = reduce(lambda a, b: a & b, [groups[c].eqNullSafe(found[f"_{c}"]) for c in asked])
+    return groups.join(found, same).drop(*[f"_{c}" for c in asked])
 
 
 def search(origin: int, wanted: set[int], start, head, edge, weight) -> dict[int, tuple[float, int, int]]:

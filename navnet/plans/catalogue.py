@@ -82,13 +82,15 @@ def penalised_edges(t):
     return g.withColumns({c: F.round(c, 2) for c in ("l_quantity", "l_extendedprice")})
 
 
-@query("""SELECT CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'no_path' ELSE 'geocode_fail' END AS status, count(*) AS n FROM orders GROUP BY 1""")
+@query("""SELECT CASE WHEN o_orderstatus = 'P' THEN 'geocode_fail' WHEN o_orderkey % 30 < 25 THEN 'success' ELSE 'no_path' END AS status, o_orderpriority AS class, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL""")
 def trip_status_counts(t):
-    """Orders as trips over a network of one edge: from its one end to the other, to a node off it, or without an end."""
-    edges = t.region.where("r_regionkey = 0").select(F.lit("a").alias("src"), F.lit("b").alias("dst"), F.lit("e").alias("key"), F.lit(1.0).alias("weight"))
-    end = F.when(F.col("o_orderstatus") == "F", "b").when(F.col("o_orderstatus") == "O", "z")
-    trips = t.orders.select(F.lit("a").alias("origin_node"), end.alias("destination_node"), F.lit("M8").alias("class"))
-    return graph.route(trips, edges, "class", {"M8": F.col("weight")}).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    """Orders as trips in a ring of all nations: from the customer's to one by the order's number, which may be off the ring, or
+    to nowhere; a class for each priority."""
+    edges = t.nation.select(F.col("n_nationkey").cast("string").alias("src"), ((F.col("n_nationkey") + 1) % 25).cast("string").alias("dst"), F.concat(F.lit("e"), F.col("n_nationkey").cast("string")).alias("key"), F.lit(1.0).alias("weight"))
+    end = F.when(F.col("o_orderstatus") != "P", (F.col("o_orderkey") % 30).cast("string"))
+    trips = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).select(F.col("c_nationkey").cast("string").alias("origin_node"), end.alias("destination_node"), F.col("o_orderpriority").alias("class"))
+    classes = {c: F.col("weight") for c in sorted(r[0] for r in t.orders.select("o_orderpriority").distinct().collect())}
+    return graph.route(trips, edges, "class", classes).groupBy("status", "class").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH s AS (SELECT o_orderkey, o_custkey % 50 AS k, o_totalprice AS b, o_totalprice + 2000 AS e FROM orders), d AS (SELECT p_partkey AS id, p_partkey % 50 AS k, p_retailprice * 150 AS b, p_retailprice * 150 - 500 AS e, p_size FROM part)
@@ -112,7 +114,7 @@ def interval_inverse_overlap(t):
 
 
 @query("""WITH e AS (SELECT DISTINCT s_nationkey AS src, (s_suppkey % 25)::INT AS dst FROM supplier), s AS (SELECT c_nationkey AS a, (c_custkey % 25)::INT AS b, c_custkey AS ord, c_mktsegment AS seg FROM customer)
-SELECT src, dst, first(seg ORDER BY (a = src AND b = dst AND src <> dst AND FALSE), NOT ((a > b) <> (src > dst)), ord DESC) FILTER (WHERE ord IS NOT NULL) AS seg, first(ord ORDER BY NOT ((a > b) <> (src > dst)), ord DESC) FILTER (WHERE ord IS NOT NULL) AS section FROM e LEFT JOIN s ON least(a, b) = least(src, dst) AND greatest(a, b) = greatest(src, dst) GROUP BY src, dst""")
+SELECT src, dst, first(seg ORDER BY NOT ((a > b) <> (src > dst)), ord DESC) FILTER (WHERE ord IS NOT NULL) AS seg, first(ord ORDER BY NOT ((a > b) <> (src > dst)), ord DESC) FILTER (WHERE ord IS NOT NULL) AS section FROM e LEFT JOIN s ON least(a, b) = least(src, dst) AND greatest(a, b) = greatest(src, dst) GROUP BY src, dst""")
 def bidirectional_edge_lookup(t):
     e = t.supplier.select(F.col("s_nationkey").alias("src"), (F.col("s_suppkey") % 25).cast("int").alias("dst")).distinct()
     s = t.customer.select(F.col("c_nationkey").alias("start"), (F.col("c_custkey") % 25).cast("int").alias("end"), F.col("c_custkey").alias("section"), F.col("c_mktsegment").alias("seg"))
