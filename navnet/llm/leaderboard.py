@@ -196,7 +196,7 @@ def change_feed(lines: DataFrame, top: int = TOP, buckets: int = BUCKETS, latene
         session.conf.set(name, value)
     seen = None
     for batch, day in latest:
-        _publish(spark, f"{folder}/cut/batch={batch}", f"{folder}/lines")
+        _publish(spark, f"{folder}/cut", f"{folder}/lines", f"batch={batch}")
         fed = session.readStream.schema(own.schema).parquet(f"{folder}/lines")
         kept = fed.where(F.col("nation_id").isNotNull() & F.col("item_id").isNotNull() & (F.lit(True) if seen is None else F.col("event_day") + lateness >= seen))
         shard = F.pmod(F.xxhash64("item_id"), F.lit(buckets)).cast("int").alias("bucket")
@@ -215,13 +215,14 @@ def change_feed(lines: DataFrame, top: int = TOP, buckets: int = BUCKETS, latene
     return spark.read.schema(FEED).parquet(f"{folder}/feed").select(*names)
 
 
-def _publish(spark, source: str, folder: str) -> None:
-    """Move a batch's folder into the streamed folder."""
+def _publish(spark, source: str, folder: str, name: str) -> None:
+    """Move a batch's folder from source into the streamed folder, under its own name: into an empty folder itself, some file
+    systems would move its files."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path(folder))
-    if not files.rename(path(source), path(folder)):
-        raise OSError(f"can't move {source} to {folder}")
+    if not files.rename(path(f"{source}/{name}"), path(f"{folder}/{name}")):
+        raise OSError(f"can't move {source}/{name} to {folder}")
 
 
 def sale_batches(sale_lines: DataFrame, vendors: DataFrame, items: DataFrame, batches: int = 8, first_day: int = 19723, days: int = 180) -> DataFrame:
