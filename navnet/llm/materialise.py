@@ -29,6 +29,8 @@ from .tokens import encoder, public_vocabulary
 HEADER, HEADER_SIZE = "<qiii", 20
 #: Shards at most: with more sequences the shards, which Spark sorts with spilling, are larger instead.
 MOST_SHARDS = 20_000
+#: Words whose ids a Python worker keeps: about 80 MB.
+KEPT = 400_000
 
 
 def feistel(number: np.ndarray, size: int, key: int, rounds: int = 4) -> np.ndarray:
@@ -55,7 +57,7 @@ def sequences(docs: DataFrame, length: int = 512, end_id: int = 50256, vocabular
     path, pattern = vocabulary or public_vocabulary()
 
     def run(batch: pa.RecordBatch) -> dict:
-        encode = encoder(path, pattern).encode
+        encode = encoder(path, pattern, most=KEPT).encode
         out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "n_tokens", "ids")}
         for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             ids = np.append(np.frombuffer(encode(text or ""), "<u4"), end_id)

@@ -18,15 +18,16 @@ class Encoder:
     """encode(text): little-endian unsigned 32-bit ids as bytes, as the tokenizers library gives them for the same
     vocabulary. specials: strings that are one id each wherever they stand; without, all strings are ordinary text. The vocabulary's pattern never joins a single space to what
     stands before it, so a text is cut at such spaces and each piece is encoded by itself; pieces are mostly words, and
-    are kept (at most _MOST of at most _LONGEST characters)."""
+    are kept (at most `most` of at most _LONGEST characters)."""
 
-    def __init__(self, path: str, pattern: str, specials: tuple[tuple[str, int], ...] = ()):
+    def __init__(self, path: str, pattern: str, specials: tuple[tuple[str, int], ...] = (), most: int = _MOST):
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._ids = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self._known: dict[str, bytes] = {}
+        self._most = most
         self._special = {s: i.to_bytes(4, "little") for s, i in specials}
         self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")") if specials else None
 
@@ -47,7 +48,7 @@ class Encoder:
             if got is None:
                 got = self._bytes(" " + piece)
                 if len(piece) <= _LONGEST:
-                    if len(known) >= _MOST:
+                    if len(known) >= self._most:
                         known.clear()
                     known[piece] = got
             out.append(got)
@@ -57,11 +58,11 @@ class Encoder:
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(*vocabulary) -> Encoder:
-    """One for each Python worker. vocabulary: path, pattern and, if any, specials."""
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = Encoder(*vocabulary)
-    return _ENCODERS[vocabulary]
+def encoder(*vocabulary, most: int = _MOST) -> Encoder:
+    """One for each Python worker. vocabulary: path, pattern and, if any, specials; most: pieces that are kept."""
+    if (key := (vocabulary, most)) not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*vocabulary, most=most)
+    return _ENCODERS[key]
 
 
 def public_vocabulary(name: str = "byte_bpe_50k") -> tuple[str, str]:
