@@ -293,7 +293,7 @@ def route_extent(t):
 
 @query(f"""WITH {_CODED} SELECT x.code, sum((NOT (x.e < y.b OR y.e < x.b))::INT)::BIGINT AS forward, sum((NOT (x.e < longest - y.e OR longest - y.b < x.b))::INT)::BIGINT AS backward FROM c x JOIN c y ON x.code = y.code AND x.id % 2 = 0 AND y.id % 2 = 1 JOIN m ON m.code = x.code GROUP BY 1 HAVING backward > forward""")
 def inverted_routes(t):
-    return compare.inverted_routes(compare.code_matches(*_coded(t)))
+    return compare.inverted_routes(compare.route_counts(*_coded(t)))
 
 
 @query("""WITH k AS (SELECT source, coalesce(lang, '') AS lang, count(*) AS c FROM documents GROUP BY ALL) SELECT source, sum(c)::BIGINT AS n, string_agg(lang || '=' || c::VARCHAR, ',' ORDER BY lang) AS types FROM k GROUP BY source""")
