@@ -61,11 +61,14 @@ def component_sizes(edges: DataFrame) -> DataFrame:
 
 def neighbourhood(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     """node, hops: every node within so many steps of a seed (node), with its least number of steps."""
-    both = stored(edges.select("src", "dst").union(edges.select("dst", "src")).distinct(), "neighbourhood")
-    found = front = seeds.select("node", F.lit(0).alias("hops"))
+    own = stored(edges.select("src", "dst"), "neighbourhood")
+    # Fronts are stored, so that their sizes are known: edges are only shuffled for a front that is large itself.
+    found = front = stored(seeds.select("node", F.lit(0).alias("hops")), "neighbourhood")
     for k in range(1, hops + 1):
-        front = front.join(both, front["node"] == both["src"]).select(F.col("dst").alias("node"), F.lit(k).alias("hops")).distinct()
-        front = stored(front.join(found.select("node"), "node", "left_anti"), "neighbourhood")
+        at = front.select(F.col("node").alias("at")).distinct()
+        step = at.join(own, F.col("at") == F.col("src")).select(F.col("dst").alias("node")).union(at.join(own, F.col("at") == F.col("dst")).select("src"))
+        step = step.where(F.col("node").isNotNull()).distinct().join(found.select("node"), "node", "left_anti")
+        front = stored(step.withColumn("hops", F.lit(k)), "neighbourhood")
         found = found.unionByName(front)
     return found.groupBy("node").agg(F.min("hops").alias("hops"))
 
