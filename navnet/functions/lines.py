@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from . import geometry as G
 
 LINE = T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
+#: Pairs of segments that line_distances() looks at together.
+SEGMENT_PAIRS = 1 << 18
 _XY = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 
 
@@ -61,6 +63,46 @@ def geodesic_length(lines: pa.Array) -> pa.Array:
     return pc.if_else(own.valid, pa.array(own.lengths(_on_ellipsoid)), pa.scalar(None, pa.float64()))
 
 
+@F.arrow_udf(T.DoubleType())
+def line_distances(ones: pa.Array, others: pa.Array) -> pa.Array:
+    """The least distance between two lines of two points and more, as geometry.line_distance(): every segment of one with every
+    segment of the other, of all pairs of a batch at once, parts of them where they have very many segments."""
+    one, other = Lines(ones), Lines(others)
+    m, n = np.maximum(one.count - 1, 0), np.maximum(other.count - 1, 0)
+    out = np.full(len(m), np.inf)
+    ends = np.cumsum(m * n)
+    at = 0
+    while at < len(m):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SEGMENT_PAIRS, side="right")))
+        pair = np.repeat(np.arange(at, stop), m[at:stop])
+        i = np.repeat(one.first[at:stop], m[at:stop]) + np.arange(len(pair)) - np.repeat(np.cumsum(m[at:stop]) - m[at:stop], m[at:stop])
+        # For each segment of one, runs of the other's.
+        for low in range(0, int(n[at:stop].max(initial=0)), max(1, SEGMENT_PAIRS // max(1, len(pair)))):
+            high = np.minimum(n[pair], low + max(1, SEGMENT_PAIRS // max(1, len(pair))))
+            own = np.maximum(high - low, 0)
+            p, a = np.repeat(pair, own), np.repeat(i, own)
+            b = other.first[p] + low + np.arange(len(p)) - np.repeat(np.cumsum(own) - own, own)
+            np.minimum.at(out, p, _apart(*(v[k] for v, k in ((one.x, a), (one.y, a), (one.x, a + 1), (one.y, a + 1), (other.x, b), (other.y, b), (other.x, b + 1), (other.y, b + 1)))))
+        at = stop
+    return pa.array(out, mask=(np.isinf(out) | np.isnan(out)))
+
+
+def _apart(ax, ay, bx, by, cx, cy, dx, dy) -> np.ndarray:
+    """Of segments a-b and c-d: 0 where they cross, else the least distance of an end to the other segment."""
+
+    def near(px, py, ax, ay, bx, by):
+        vx, vy = bx - ax, by - ay
+        size = vx * vx + vy * vy
+        share = np.clip(np.divide((px - ax) * vx + (py - ay) * vy, size, out=np.zeros(len(size)), where=size > 0), 0, 1)
+        x, y = px - (ax + share * vx), py - (ay + share * vy)
+        return np.sqrt(x * x + y * y)
+
+    turn = lambda ax, ay, bx, by, px, py: np.sign((bx - ax) * (py - ay) - (by - ay) * (px - ax))
+    cross = (turn(ax, ay, bx, by, cx, cy) * turn(ax, ay, bx, by, dx, dy) < 0) & (turn(cx, cy, dx, dy, ax, ay) * turn(cx, cy, dx, dy, bx, by) < 0)
+    ends = np.minimum(np.minimum(near(ax, ay, cx, cy, dx, dy), near(bx, by, cx, cy, dx, dy)), np.minimum(near(cx, cy, ax, ay, bx, by), near(dx, dy, ax, ay, bx, by)))
+    return np.where(cross, 0.0, ends)
+
+
 def with_grid(df: DataFrame, name: str, new: str) -> DataFrame:
     """df with the column `new`: the line of the column `name`, in degrees, in metres of the national grid. A step of its own,
     so that expressions and kernels can build on the column."""

@@ -5,8 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from navnet.operators import compare, graph, spatial
-from navnet.operators.components import components
+from navnet.functions import geometry as G
+from navnet.operators import compare, spatial
 
 
 def _ranges(n, seed):
@@ -46,3 +46,19 @@ def test_greedy_class_pairs_take_what_greedy_pairs_take(spark):
     want = {tuple(r) for r in spatial.greedy_pairs(listed.select("left", "right", "score", "distance")).collect()}
     got = spatial.greedy_class_pairs(a, b, pairs)
     assert {tuple(r) for r in got.collect()} == want and len(want) > 30
+
+
+def test_lines_within_by_batches_of_pairs(spark):
+    """Lines of several lengths, crossing, touching and degenerate: the kernel against the plain expression, over all pairs."""
+    rng = random.Random(6)
+    line = lambda: [(rng.uniform(-1, 1), rng.uniform(-1, 1)) for _ in range(rng.randrange(2, 7))]
+    rows = [(i, line(), f"0{i % 3}", i % 20, i % 20 + 5) for i in range(60)] + [(60, [(0.0, 0.0), (0.0, 0.0)], "01", 3, 8), (61, [(0.0, 0.0), (1.0, 0.0)], "1", 3, 8)]
+    own = spark.createDataFrame(rows, "id long, line array<struct<x:double,y:double>>, code string, begin long, end long")
+    left, right = own.where("id % 2 = 0"), own.where("id % 2 = 1")
+    plain = left.select(F.col("id").alias("a"), F.col("line").alias("p")).crossJoin(right.select(F.col("id").alias("b"), F.col("line").alias("q")))
+    want = {(r.a, r.b): r.d for r in plain.select("a", "b", G.line_distance(F.col("p"), F.col("q")).alias("d")).where("d <= 0.1").collect()}
+    near = compare.lines_within(left, right, 0.1, 0.3)
+    got = [(r.left_id, r.right_id, r.distance) for r in near.collect()]
+    assert len(got) == len(want) and {(a, b): d for a, b, d in got} == pytest.approx(want, abs=1e-12)
+    both = {(r.left_id, r.right_id) for r in compare.combined_within(left, right, 0.1, 0.3).collect()}
+    assert both == {(r.left_id, r.right_id) for r in compare.combined(near, compare.code_matches(left, right)).collect()} and both
