@@ -273,9 +273,8 @@ def lines_within(t):
 SELECT left_id, right_id FROM l2 JOIN c x ON x.id = left_id JOIN c y ON y.id = right_id AND x.code = y.code JOIN m ON m.code = x.code WHERE NOT (x.b + 5 < y.b OR y.b + 5 < x.b) OR NOT (x.b + 5 < longest - y.b - 5 OR longest - y.b < x.b)""")
 def combined_match(t):
     own = _lines(t)
-    coded = own.select("id", F.concat(F.lit("00"), (F.col("id") % 9).cast("string")).alias("code"), (F.col("id") % 20).alias("begin"), (F.col("id") % 20 + 5).alias("end"))
-    halves = [df.where(f"id % 2 = {k}") for df in (own, coded) for k in (0, 1)]
-    return compare.combined(compare.lines_within(halves[0], halves[1], 0.01, 0.1), compare.code_matches(halves[2], halves[3])).select("left_id", "right_id")
+    coded = own.select("id", "line", F.concat(F.lit("00"), (F.col("id") % 9).cast("string")).alias("code"), (F.col("id") % 20).alias("begin"), (F.col("id") % 20 + 5).alias("end"))
+    return compare.combined_within(coded.where("id % 2 = 0"), coded.where("id % 2 = 1"), 0.01, 0.1).select("left_id", "right_id")
 
 
 _CODED = "c AS (SELECT p_partkey AS id, regexp_replace(p_brand, 'Brand#', '') AS code, p_size AS b, p_size + 2 AS e FROM part), m AS (SELECT code, max(greatest(b, e)) AS longest FROM c GROUP BY code)"
