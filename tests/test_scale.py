@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from navnet.functions import geometry as G
 from navnet.operators import compare, spatial
+from navnet.operators.components import components
 
 
 def _ranges(n, seed):
@@ -62,3 +63,10 @@ def test_lines_within_by_batches_of_pairs(spark):
     assert len(got) == len(want) and {(a, b): d for a, b, d in got} == pytest.approx(want, abs=1e-12)
     both = {(r.left_id, r.right_id) for r in compare.combined_within(left, right, 0.1, 0.3).collect()}
     assert both == {(r.left_id, r.right_id) for r in compare.combined(near, compare.code_matches(left, right)).collect()} and both
+
+
+def test_components_of_chains_and_stars(spark):
+    """A chain in the nodes' order goes by hashes, a star in one round; a self-loop is a part of its own."""
+    edges = [(f"c{i:03}", f"c{i + 1:03}") for i in range(40)] + [("s0", f"t{i}") for i in range(20)] + [("u", "u"), ("v", None)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "src string, dst string")).collect()}
+    assert got == {**{f"c{i:03}": "c000" for i in range(41)}, "s0": "s0", **{f"t{i}": "s0" for i in range(20)}, "u": "u"}
