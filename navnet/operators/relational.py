@@ -102,9 +102,13 @@ def double_lookup(edges: DataFrame, nodes: DataFrame, key: str, ends: tuple[str,
     return out
 
 
-def section_endpoints(sections: DataFrame, nodes: DataFrame, code: str, ref: str, node: str, order: str) -> DataFrame:
-    """sections with source and target: the first and last of the nodes that refer to them (one node: a loop)."""
-    ends = nodes.groupBy(F.col(ref).alias("_ref")).agg(F.min_by(node, order).alias("source"), F.max_by(node, order).alias("target"))
+def section_endpoints(sections: DataFrame, nodes: DataFrame, code: str, ref: str, node: str, order: str, place: str | None = None) -> DataFrame:
+    """sections with source and target: the first and last of the nodes that refer to them (one node: a loop). Among nodes of
+    equal order it is the one with the smallest place (a column of numbers), or without it the smallest node first and the
+    largest last."""
+    by = lambda at: F.when(F.col(order).isNotNull(), F.struct(F.col(order), at))
+    source, target = F.min_by(node, by(F.col(place or node))), F.max_by(node, by(-F.col(place) if place else F.col(node)))
+    ends = nodes.groupBy(F.col(ref).alias("_ref")).agg(source.alias("source"), target.alias("target"))
     return sections.join(ends, sections[code] == ends["_ref"]).drop("_ref")
 
 
