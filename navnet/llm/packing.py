@@ -7,6 +7,7 @@ of merges), until one task has them all or a round merges next to nothing. A tas
 
 from __future__ import annotations
 
+import bisect
 import zlib
 from collections.abc import Iterator
 
@@ -20,8 +21,8 @@ from .common import arrow_map, stored
 from .tokens import encoder, library_vocabulary
 
 TASK_ITEMS = 200_000
-#: Documents whose pieces are packed together where their order counts.
-WINDOW = 2_048
+#: Documents whose pieces are packed together first where their order counts; ranges of them that meet in a round.
+WINDOW, FAN = 2_048, 32
 _MEMBER = "struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint>"
 
 
@@ -76,6 +77,29 @@ def pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, vocabulary: t
     return arrow_map(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *([F.col(order).cast("bigint").alias("at")] if kept else [])), run, schema)
 
 
+def _merged(table: pa.Table, capacity: int, slack: int) -> tuple[list[bool], pa.Array, pa.ListArray, list[list[int]]]:
+    """Items of fill and members packed best-fit: whether each bin is nearly full, its fill, its members, its items' places."""
+    fills, members = table.column("fill").to_pylist(), table.column("members").combine_chunks()
+    bins = best_fit(fills, capacity)
+    total = [sum(fills[i] for i in b) for b in bins]
+    taken = members.take(pa.array([i for b in bins for i in b], pa.int64()))
+    ends, at = [0], 0
+    lengths = pc.list_value_length(taken).to_pylist()
+    for b in bins:
+        n = at + len(b)
+        ends.append(ends[-1] + sum(lengths[at:n]))
+        at = n
+    joined = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken.flatten())
+    return [t >= capacity - slack for t in total], pa.array(total, pa.int64()), joined, bins
+
+
+def best_pair(left: list[tuple[int, int]], right: list[tuple[int, int]], capacity: int) -> tuple[int, int] | None:
+    """Of residuals (fill, number) on two sides, the numbers of the pair that fills a sequence best; None if none fits."""
+    right = sorted(right)
+    fits = [(fill + right[k - 1][0], i, right[k - 1][1]) for fill, i in left if (k := bisect.bisect_right(right, (capacity - fill, float("inf"))))]
+    return max(fits)[1:] if fits else None
+
+
 def pack(items: DataFrame, capacity: int = 1024, slack: int = 4, task_items: int = TASK_ITEMS) -> DataFrame:
     """The rows of items (columns of pieces()), each with sequence_id and offset: sequences hold at most capacity tokens,
     without gaps. slack: free tokens of a bin that counts as nearly full. An empty table gives an empty result."""
@@ -89,18 +113,8 @@ def pack(items: DataFrame, capacity: int = 1024, slack: int = 4, task_items: int
         whole = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
         if whole is None:
             return
-        fills, members = whole.column("fill").to_pylist(), whole.column("members").combine_chunks()
-        bins = best_fit(fills, capacity)
-        total = [sum(fills[i] for i in b) for b in bins]
-        taken = members.take(pa.array([i for b in bins for i in b], pa.int64()))
-        ends, at = [0], 0
-        lengths = pc.list_value_length(taken).to_pylist()
-        for b in bins:
-            n = at + len(b)
-            ends.append(ends[-1] + sum(lengths[at:n]))
-            at = n
-        joined = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken.flatten())
-        yield pa.RecordBatch.from_arrays([pa.array([t >= capacity - slack for t in total]), pa.array(total, pa.int64()), joined], names=["done", "fill", "members"])
+        full, fills, joined, _ = _merged(whole, capacity, slack)
+        yield pa.RecordBatch.from_arrays([pa.array(full), fills, joined], names=["done", "fill", "members"])
 
     while left:
         tasks = max(1, -(-left // task_items))
@@ -126,27 +140,57 @@ def _with_offsets(name: str):
     return F.aggregate(name, start, step, lambda acc: acc["out"])
 
 
-def pack_in_order(items: DataFrame, capacity: int = 1024, window: int = WINDOW) -> DataFrame:
+def pack_in_order(items: DataFrame, capacity: int = 1024, window: int = WINDOW, *, slack: int = 4, fan: int = FAN) -> DataFrame:
     """The rows of items (columns of pieces(), with at: the documents' places from 0), each with sequence_id and offset.
 
-    Only pieces of the same `window` consecutive places share a sequence, best-fit; sequences are numbered by window, and
-    in a window by the first of their members. So the documents come in the order of their places, to within a window,
-    however many there are. An empty table gives an empty result."""
-    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
+    Hierarchical residual packing along the places. The pieces of `window` consecutive places are packed best-fit; bins that
+    are nearly full (slack) are done, the underfull ones are residuals. In a round of the tree `fan` neighbouring ranges
+    meet: where two of them touch, the two residuals of the windows there that fill a sequence best become one, which lies
+    between the windows' own; residuals at a range's ends go on to the next round, until one range is left. Sequences are
+    numbered by window, in a window by the first of their members, so the documents come in the order of their places, to
+    within a window, however many there are. An empty table gives an empty result."""
+    fields = "part bigint, sequence_id bigint, fill bigint, members array<{}>".format(_MEMBER)
 
-    def run(table: pa.Table) -> pa.Table:
+    def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([(c, "ascending") for c in ("at", "piece", "doc_id")])
-        lengths = table.column("length").to_pylist()
-        bins = sorted(best_fit(lengths, capacity), key=min)
-        first = table.column("window")[0].as_py() << 33
-        taken = table.select(["doc_id", "piece", "start", "length", "ids_crc32"]).take(pa.array([i for b in bins for i in b], pa.int64()))
-        number, offset = [], []
-        for k, b in enumerate(bins):
-            at = 0
-            for i in b:
-                number.append(first + k)
-                offset.append(at)
-                at += lengths[i]
-        return taken.append_column("sequence_id", pa.array(number, pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
-
-    return items.withColumn("window", F.expr(f"at div {window}")).groupBy("window").applyInArrow(run, schema)
+        part = table.column("part")[0].as_py()
+        full, fills, members, bins = _merged(table, capacity, slack)
+        number = np.empty(len(bins), np.int64)
+        number[sorted(range(len(bins)), key=lambda k: min(bins[k]))] = (part << 33) + 1 + np.arange(len(bins))
+        return pa.table([pa.array(full), pa.array([part] * len(bins), pa.int64()), pa.array(number), fills, members], names=["done", "part", "sequence_id", "fill", "members"])
+
+    def meet(size: int):
+        def run(table: pa.Table) -> pa.Table:
+            rows = table.select(["part", "sequence_id", "fill", "members"]).to_pylist()
+            own: dict[int, list[int]] = {}
+            for i, r in enumerate(rows):
+                own.setdefault(r["part"], []).append(i)
+            out, ends = [], (0, size * fan - 1)
+            for b in sorted(own):
+                if b % size == 0 and b % (size * fan) and (pair := best_pair(*([(rows[i]["fill"], i) for i in own.get(k, [])] for k in (b - 1, b)), capacity)):
+                    left, right = (rows[i] for i in pair)
+                    out.append({"done": True, "part": b, "sequence_id": b << 33, "fill": left["fill"] + right["fill"], "members": left["members"] + right["members"]})
+                    for k, i in zip((b - 1, b), pair, strict=True):
+                        own[k].remove(i)
+            out += [{"done": k % (size * fan) not in ends} | rows[i] for k, left in own.items() for i in left]
+            return pa.Table.from_pylist(out, pa.schema([("done", pa.bool_()), *[table.schema.field(c) for c in ("part", "sequence_id", "fill", "members")]]))
+
+        return run
+
+    member = F.array(F.struct("doc_id", "piece", "start", "length", "ids_crc32"))
+    own = items.select(F.expr(f"at div {window}").alias("part"), "at", "piece", "doc_id", F.col("length").alias("fill"), member.alias("members"))
+    packed, done, size = stored(own.groupBy("part").applyInArrow(fit, "done boolean, " + fields), "packing-round"), [], 1
+    while True:
+        done.append(packed.where("done").drop("done"))
+        level = packed.where(~F.col("done")).drop("done")
+        parts = level.agg(F.countDistinct(F.expr(f"part div {size}"))).first()[0]
+        if parts <= 1:
+            done.append(level)
+            break
+        packed = stored(level.groupBy(F.expr(f"part div {size * fan}")).applyInArrow(meet(size), "done boolean, " + fields), "packing-round")
+        size *= fan
+    bins = done[0]
+    for more in done[1:]:
+        bins = bins.unionByName(more)
+    bins = bins.select("sequence_id", F.explode(_with_offsets("members")).alias("m"))
+    return bins.select("m.doc_id", "m.piece", "m.start", "m.length", "m.ids_crc32", "sequence_id", "m.offset")
