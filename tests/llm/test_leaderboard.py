@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from navnet.llm import leaderboard
@@ -82,3 +83,10 @@ def test_sale_batches(spark):
         cents = int(np.floor(100 * amount + 0.5)) if amount is not None else quantity * 250 if quantity and item == 10 else 0
         want.append(({7: 4, 9: 5}.get(vendor), item if item in (10, 11) else None, s, a, -cents if flag == "swapped" else cents, min(8, 1 + (a - 19723) * 8 // 180)))
     assert got == sorted(want, key=repr)
+
+
+def test_packets_give_the_workers_memory_back(monkeypatch):
+    freed = []
+    monkeypatch.setattr(leaderboard, "release", lambda: freed.append(1), raising=False)
+    line = pa.RecordBatch.from_pydict({"nation_id": pa.array([1], pa.int32()), "bucket": pa.array([0], pa.int32()), "arrival_day": [3], "item_id": [4], "cents": [5]})
+    assert sum(b.num_rows for b in leaderboard.packets(iter([line]))) == 1 and freed
