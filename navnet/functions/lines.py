@@ -123,6 +123,30 @@ def from_grid(lines: pa.Array) -> pa.Array:
     return _array(np.append(0, np.cumsum(own.count)), x, y, own.valid)
 
 
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
+def projections(lines: pa.Array, points: pa.Array) -> pa.Array:
+    """The measures of an array's points along a line, as geometry.project(): a batch's points are held against the first
+    segments of their lines, then against the second ones, and so on."""
+    own, counts = Lines(lines), pc.fill_null(pc.list_value_length(points), 0).to_numpy(zero_copy_only=False)
+    flat, line = points.flatten(), np.repeat(np.arange(len(counts)), counts)
+    px, py = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.float64) if len(flat) else np.empty(0) for c in ("x", "y"))
+    step, best, at, done = own.steps(_planar), np.full(len(px), np.inf), np.zeros(len(px)), np.zeros(len(px))
+    i, k = np.arange(len(px)), 1
+    while len(i := i[own.count[line[i]] > k]):
+        b = own.first[line[i]] + k
+        ax, ay, dx, dy = own.x[b - 1], own.y[b - 1], own.x[b] - own.x[b - 1], own.y[b] - own.y[b - 1]
+        size2 = dx * dx + dy * dy
+        share = np.clip(np.divide((px[i] - ax) * dx + (py[i] - ay) * dy, size2, out=np.zeros(len(i)), where=size2 != 0), 0.0, 1.0)
+        d = _planar(ax + share * dx, ay + share * dy, px[i], py[i])
+        near = i[d < best[i]]
+        at[near] = (done[i] + share * step[b])[d < best[i]]
+        best[i] = np.fmin(d, best[i])
+        done[i] += step[b]
+        k += 1
+    measures = pc.if_else(flat.is_valid(), pa.array(at), pa.scalar(None, pa.float64()))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), measures)
+
+
 @F.arrow_udf(T.ArrayType(LINE))
 def pieces(lines: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
     """The parts of a line between the measures of two arrays, in their order: the points at both measures (the line's ends

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import geometry as G
 from ..functions import lines as L
@@ -13,30 +17,57 @@ from .relational import bottleneck
 EPS = 0.001
 #: Fixed values, metres: what a lock takes of a section beyond half its longest chamber, a lock in the simplified mode, a bridge.
 LOCK_BUFFER, SIMPLE_LOCK_BUFFER, BRIDGE_BUFFER = 50.0, 10.0, 10.0
-_SEGMENT = "struct<begin:double,end:double,source:string,target:string>"
+_SEGMENTS = T.ArrayType(T.StructType([T.StructField("begin", T.DoubleType()), T.StructField("end", T.DoubleType()), T.StructField("source", T.StringType()), T.StructField("target", T.StringType())]))
+
+
+@F.arrow_udf(_SEGMENTS)
+def _remaining(lengths: pa.Array, cuts: pa.Array) -> pa.Array:
+    """The fold of segments() over a batch of lines: their first cuts at once, then their second ones, and so on."""
+    length, count = (x.to_numpy(zero_copy_only=False) for x in (lengths, pc.fill_null(pc.list_value_length(cuts), 0)))
+    flat, line = cuts.flatten(), np.repeat(np.arange(len(count)), count)
+    fields = {c: flat.field(c) for c in ("distance", "buffer", "id")}
+    order = pc.sort_indices(pa.table({"line": line, **fields}), sort_keys=[(c, "ascending") for c in ("line", *fields)], null_placement="at_start").to_numpy()
+    distance, buffer = (fields[c].to_numpy(zero_copy_only=False).astype(np.float64)[order] for c in ("distance", "buffer"))
+    # a cut without a place or buffer: greatest and least go by the rest
+    low, high = np.nan_to_num(distance - buffer, nan=0.0), np.fmin(length.astype(np.float64)[line], distance + buffer)
+    # each line's cuts, and one place more for its last segment
+    first = np.cumsum(count) - count + np.arange(len(count))
+    begin, end, kept = np.zeros(len(line) + len(count)), np.zeros(len(line) + len(count)), np.zeros(len(line) + len(count), bool)
+    at, i, k = np.zeros(len(count)), np.arange(len(count)), 0
+    while len(i := i[count[i] > k]):
+        place = first[i] + k
+        cut, whole, least = place - i, length[i], at[i] + EPS
+        split = np.maximum(least, np.maximum(0.0, low[cut]))
+        split = np.where(split >= whole, np.maximum(least, whole - 2 * EPS), split)
+        merge = np.maximum(split + EPS, high[cut])
+        merge = np.where(merge >= whole, np.maximum(split + EPS, whole - EPS), merge)
+        begin[place], end[place], kept[place] = at[i], split, split > least
+        at[i] = merge
+        k += 1
+    last = first + count
+    begin[last], end[last], kept[last] = at, length, at < length
+    number = np.full(len(kept), -1)
+    number[np.delete(np.arange(len(kept)), last)] = order
+    source = np.append(-1, number[:-1])
+    source[first] = -1
+    ids = [fields["id"].take(pa.array(n[kept], mask=n[kept] < 0)) for n in (source, number)]
+    sizes = np.add.reduceat(kept.astype(np.int64), first) if len(first) else first
+    rows = pa.StructArray.from_arrays([pa.array(begin[kept]), pa.array(end[kept]), *ids], names=["begin", "end", "source", "target"])
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), rows)
 
 
 def segments(length: Column, cuts: Column) -> Column:
     """Array of struct(begin, end, source, target): what remains of a line of this length around its cuts (an array of
     struct(distance, buffer, id)). source and target are the ids of the structures at the ends, null at the line's own.
     Cuts go by distance (then buffer, id); one that overlaps the cut before it begins where that ends."""
-    start = F.struct(F.lit(0.0).alias("at"), F.lit(None).cast("string").alias("source"), F.expr(f"cast(array() as array<{_SEGMENT}>)").alias("out"))
-    seg = lambda b, e, s, t: F.struct(b.alias("begin"), e.alias("end"), s.alias("source"), t.alias("target"))
+    plain = F.transform(F.coalesce(cuts, F.expr("cast(array() as array<struct<distance:double,buffer:double,id:string>>)")), lambda c: F.struct(c["distance"].cast("double").alias("distance"), c["buffer"].cast("double").alias("buffer"), c["id"].cast("string").alias("id")))
+    return _remaining(length.cast("double"), plain)
 
-    def step(acc: Column, cut: Column) -> Column:
-        at = acc["at"]
-        split = F.greatest(at + EPS, F.greatest(F.lit(0.0), cut["distance"] - cut["buffer"]))
-        split = F.when(split >= length, F.greatest(at + EPS, length - 2 * EPS)).otherwise(split)
-        merge = F.greatest(split + EPS, F.least(length, cut["distance"] + cut["buffer"]))
-        merge = F.when(merge >= length, F.greatest(split + EPS, length - EPS)).otherwise(merge)
-        out = F.when(split > at + EPS, F.array_append(acc["out"], seg(at, split, acc["source"], cut["id"]))).otherwise(acc["out"])
-        return F.struct(merge.alias("at"), cut["id"].alias("source"), out.alias("out"))
 
-    def finish(acc: Column) -> Column:
-        return F.when(acc["at"] < length, F.array_append(acc["out"], seg(acc["at"], length, acc["source"], F.lit(None).cast("string")))).otherwise(acc["out"])
-
-    ordered = F.array_sort(F.transform(F.coalesce(cuts, F.expr("cast(array() as array<struct<distance:double,buffer:double,id:string>>)")), lambda c: F.struct(c["distance"].cast("double").alias("distance"), c["buffer"].cast("double").alias("buffer"), c["id"].cast("string").alias("id"))))
-    return F.aggregate(ordered, start, step, finish)
+def _dealt(df: DataFrame, key: str) -> DataFrame:
+    """df by key over as many partitions as the session has: rows are few bytes and much work, so Spark would put them together."""
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(n, key)
 
 
 def cut_buffer(kind: str, mode: str, own: Column | None = None, lengths: Column | None = None) -> Column:
@@ -84,11 +115,16 @@ def splice_lines(sections: DataFrame, cuts: DataFrame, degrees: bool = False) ->
     if degrees:
         at = L.with_grid(at.withColumn("_a", F.when(F.col("c.anchor").isNotNull(), F.array("c.anchor"))), "_a", "_g")
         at = at.select("section_id", F.col("c").withField("anchor", F.try_element_at("_g", F.lit(1))).alias("c"))
-    own = at.groupBy("section_id").agg(F.collect_list("c").alias("_cuts"))
-    rows = sections.withColumn("section_id", stringify_id("section_id")).where(F.size("line") > 1)
+    own = _dealt(at, "section_id").groupBy("section_id").agg(F.collect_list("c").alias("_cuts"))
+    rows = _dealt(sections.withColumn("section_id", stringify_id("section_id")).where(F.size("line") > 1), "section_id")
     rows = L.with_grid(rows, "line", "_line") if degrees else rows.withColumn("_line", F.col("line"))
     rows = rows.join(own, "section_id", "left").withColumn("_length", G.line_length(F.col("_line")))
-    placed = F.transform(F.coalesce("_cuts", F.array()), lambda c: F.struct(F.coalesce(c["distance"], F.when(c["anchor"].isNotNull(), G.project(F.col("_line"), c["anchor"]))).alias("distance"), c["buffer"].alias("buffer"), c["id"].alias("id")))
+    rows = rows.withColumn("_cuts", F.coalesce("_cuts", F.array()))
+    if "anchor" in cuts.columns:
+        rows = rows.withColumn("_at", L.projections("_line", F.transform("_cuts", lambda c: c["anchor"])))
+        placed = F.zip_with("_cuts", "_at", lambda c, at: F.struct(F.coalesce(c["distance"], at).alias("distance"), c["buffer"].alias("buffer"), c["id"].alias("id")))
+    else:
+        placed = F.transform("_cuts", lambda c: F.struct(c["distance"].alias("distance"), c["buffer"].alias("buffer"), c["id"].alias("id")))
     rows = rows.withColumn("_cuts", F.filter(placed, lambda c: c["distance"].isNotNull())).withColumn("_s", segments(F.col("_length"), F.col("_cuts")))
     rows = rows.withColumn("_p", L.pieces("_line", F.transform("_s", lambda s: s["begin"]), F.transform("_s", lambda s: s["end"])))
     cut = rows.withColumn("_clear", F.size("_cuts") == 0)
@@ -116,7 +152,7 @@ def segment_nodes(segments: DataFrame) -> DataFrame:
     end = lambda node, cut, point: F.struct(F.col(node).alias("id"), kind(F.col(cut)).alias("node_type"), point.alias("point"))
     ends = F.array(end("source_node", "source_cut", F.col("geometry")[0]), end("target_node", "target_cut", F.element_at("geometry", -1)))
     rows = segments.select("section_id", "segment", F.posexplode(ends).alias("side", "n")).where(F.col("n.id").isNotNull())
-    first = rows.groupBy("n.id").agg(F.min_by("n", F.struct("section_id", "segment", "side")).alias("n"))
+    first = _dealt(rows.withColumn("id", F.col("n.id")), "id").groupBy("id").agg(F.min_by("n", F.struct("section_id", "segment", "side")).alias("n"))
     return first.select("id", "n.node_type", "n.point")
 
 
