@@ -13,6 +13,7 @@ from ..functions import geometry as G
 from ..functions import lines as L
 from ..functions.scalars import stringify_id
 from .relational import bottleneck
+from .store import dealt
 
 EPS = 0.001
 #: Fixed values, metres: what a lock takes of a section beyond half its longest chamber, a lock in the simplified mode, a bridge.
@@ -64,12 +65,6 @@ def segments(length: Column, cuts: Column) -> Column:
     return _remaining(length.cast("double"), plain)
 
 
-def _dealt(df: DataFrame, key: str) -> DataFrame:
-    """df by key over as many partitions as the session has: rows are few bytes and much work, so Spark would put them together."""
-    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(n, key)
-
-
 def cut_buffer(kind: str, mode: str, own: Column | None = None, lengths: Column | None = None) -> Column:
     """Metres of a section that a structure takes on each side: a lock's own buffer, else half its longest chamber (lengths:
     array) and LOCK_BUFFER, in the simplified mode SIMPLE_LOCK_BUFFER; a bridge BRIDGE_BUFFER; a terminal or berth none."""
@@ -115,8 +110,8 @@ def splice_lines(sections: DataFrame, cuts: DataFrame, degrees: bool = False) ->
     if degrees:
         at = L.with_grid(at.withColumn("_a", F.when(F.col("c.anchor").isNotNull(), F.array("c.anchor"))), "_a", "_g")
         at = at.select("section_id", F.col("c").withField("anchor", F.try_element_at("_g", F.lit(1))).alias("c"))
-    own = _dealt(at, "section_id").groupBy("section_id").agg(F.collect_list("c").alias("_cuts"))
-    rows = _dealt(sections.withColumn("section_id", stringify_id("section_id")).where(F.size("line") > 1), "section_id")
+    own = dealt(at, "section_id").groupBy("section_id").agg(F.collect_list("c").alias("_cuts"))
+    rows = dealt(sections.withColumn("section_id", stringify_id("section_id")).where(F.size("line") > 1), "section_id")
     rows = L.with_grid(rows, "line", "_line") if degrees else rows.withColumn("_line", F.col("line"))
     rows = rows.join(own, "section_id", "left").withColumn("_length", G.line_length(F.col("_line")))
     rows = rows.withColumn("_cuts", F.coalesce("_cuts", F.array()))
@@ -152,7 +147,7 @@ def segment_nodes(segments: DataFrame) -> DataFrame:
     end = lambda node, cut, point: F.struct(F.col(node).alias("id"), kind(F.col(cut)).alias("node_type"), point.alias("point"))
     ends = F.array(end("source_node", "source_cut", F.col("geometry")[0]), end("target_node", "target_cut", F.element_at("geometry", -1)))
     rows = segments.select("section_id", "segment", F.posexplode(ends).alias("side", "n")).where(F.col("n.id").isNotNull())
-    first = _dealt(rows.withColumn("id", F.col("n.id")), "id").groupBy("id").agg(F.min_by("n", F.struct("section_id", "segment", "side")).alias("n"))
+    first = dealt(rows.withColumn("id", F.col("n.id")), "id").groupBy("id").agg(F.min_by("n", F.struct("section_id", "segment", "side")).alias("n"))
     return first.select("id", "n.node_type", "n.point")
 
 
