@@ -460,6 +460,24 @@ def test_blocked_sweeps_sample_the_posterior():
         assert seen[k] / sum(seen.values()) == pytest.approx(w / total, abs=0.012)
 
 
+@pytest.mark.parametrize("c, mass, d, base", [(300, 5000.0, 0.75, 0.004), (700, 60.0, 0.75, 0.001), (900, 4000.0, 0.8, 0.02), (800, 3e5, 0.75, 0.3), (800, 3.0, 0.5, 1.0)])
+def test_large_groups_are_seated_by_their_exact_distribution(c, mass, d, base):
+    """The shares of the numbers of tables of groups of hundreds of customers are the weights from the recurrence of seatings."""
+    ways = np.full(c + 1, -np.inf)
+    ways[0] = 0.0
+    for n in range(1, c + 1):
+        with np.errstate(divide="ignore"):
+            ways[1 : n + 1] = np.logaddexp(ways[:n], np.append(np.log(n - 1 - d * np.arange(1, n)), -np.inf) + ways[1 : n + 1])
+        ways[0] = -np.inf
+    t = np.arange(1, c + 1)
+    weight = ways[1:] + t * np.log(base) + np.cumsum(np.log(mass + d * (t - 1)))
+    p = np.exp(weight - weight.max())
+    p /= p.sum()
+    drawn = hpylm.seated(np.full(20_000, float(c)), np.full(20_000, mass), d, np.arange(20_000) * 7919, base)
+    seen = np.bincount(drawn.astype(int), minlength=c + 1)[1:] / len(drawn)
+    assert np.abs(np.cumsum(seen) - np.cumsum(p)).max() < 0.015
+
+
 def test_language_model_of_odd_tables(spark, empty, clashing, rows):
     assert scored(empty) == [] and len(scored(clashing)) == len(rows)
     alone = spark.createDataFrame([(i, "a b") for i in range(40) if zlib.crc32(str(i).encode()) % 7 == 2], "doc_id bigint, text string")
