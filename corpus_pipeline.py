@@ -34,7 +34,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces and their places in sequences of 1024 tokens, which follow the documents' order."""
-    return packing.pack_in_order(packing.pieces(numbered(docs, "at"), order="at"))
+    return packing.pack_in_order(packing.pieces(numbered(docs, "at"), order="at", kept_words=100_000))
 
 
 STAGES = [("language_id", language), ("ngram_jaccard", near_copies), ("secret_scan", secrets), ("source_mixing", mixture), ("best_fit_packing", packed)]

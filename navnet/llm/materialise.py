@@ -22,15 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_map, stored
-from .tokens import encoder, public_vocabulary
+from .tokens import KEPT, encoder, public_vocabulary
 
 #: doc_id, whether there is one, piece, number of ids; then the ids, little-endian, padded with zeros; then a line feed, by
 #: the text sink.
 HEADER, HEADER_SIZE = "<qiii", 20
 #: Shards at most: with more sequences the shards, which Spark sorts with spilling, are larger instead.
 MOST_SHARDS = 20_000
-#: Words whose ids a Python worker keeps: about 80 MB.
-KEPT = 400_000
 
 
 def feistel(number: np.ndarray, size: int, key: int, rounds: int = 4) -> np.ndarray:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, stored
-from .tokens import encoder, library_vocabulary
+from .tokens import KEPT, encoder, library_vocabulary
 
 TASK_ITEMS = 200_000
 #: Documents whose pieces are packed together first where their order counts; ranges of them that meet in a round.
@@ -50,17 +50,17 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, vocabulary: tuple | None = None, order: str | None = None) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, vocabulary: tuple | None = None, order: str | None = None, kept_words: int = KEPT) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every whole text's ids and then end_id (null text: empty). A special token's
     string is its one id, as by the library's defaults. Documents over
     capacity are cut into pieces of capacity, of which the first may be shorter. Repeated rows give repeated pieces.
-    order: a column of docs that the pieces keep, as the column at."""
+    order: a column of docs that the pieces keep, as the column at. kept_words: words whose ids a Python worker keeps."""
     vocabulary = vocabulary or library_vocabulary()
     end = end_id.to_bytes(4, "little")
     kept = order is not None
 
     def run(batch: pa.RecordBatch) -> dict:
-        encode = encoder(*vocabulary).encode
+        encode = encoder(*vocabulary, most=kept_words).encode
         out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
         counts = []
         for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):

@@ -1,5 +1,6 @@
 """Operators over the whole corpus: joins, search, packing, order, mixing, language model, and the pipeline."""
 
+import inspect
 import math
 import random
 import zlib
@@ -13,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from navnet.llm import common, hpylm, materialise, mixing, ngram_join, packing, topk
+from navnet.llm import common, hpylm, materialise, mixing, ngram_join, packing, tokens, topk
 from navnet.llm.tokens import Encoder, library_vocabulary, public_vocabulary
 
 
@@ -224,6 +225,15 @@ def test_pieces_and_packing(docs, rows):
     assert len(bins) <= 1.15 * -(-total // 64)
 
 
+def test_pieces_keep_the_ids_of_many_words():
+    """Without a reason not to, a worker that packs keeps as many words as one that materialises, so few are encoded twice."""
+    most = inspect.signature(packing.pieces).parameters["kept_words"].default
+    own, calls = tokens.Encoder(*tokens.library_vocabulary(), most=most), []
+    own._ids = lambda text: calls.append(text) or [1]
+    text = "a " + " ".join(f"w{i}" for i in range(150_000))
+    assert own.encode(text) == own.encode(text) and len(calls) == 150_002  # the first word is always encoded
+
+
 def test_best_fit_is_best_fit():
     rng = random.Random(12)
     for _ in range(50):
