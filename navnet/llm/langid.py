@@ -23,6 +23,10 @@ _LETTER = re.compile(r"[^\W\d_]")
 _SLICE = 1 << 20
 
 
+#: Nodes whose probabilities are worked out at once.
+_NODES = 4096
+
+
 @dataclass
 class PpmModel:
     """Frozen trees: symbol (of a byte), node (of the last three symbols), bits (node x symbol, by language)."""
@@ -93,35 +97,39 @@ def train(samples: dict[str, list[bytes]]) -> PpmModel:
             key = key * a + s[3 - back : len(s) - back]
         return key
 
-    probability: list[np.ndarray] = []  # by order: nodes x symbols x languages
-    keys: list[np.ndarray] = []
-    for order in range(4):
-        known = np.unique(np.concatenate([contexts(s, order) for s in texts.values()]))
-        shorter = np.full((len(known), a, len(languages)), 1.0 / a)
-        if order:
-            shorter = probability[-1][np.searchsorted(keys[-1], known % a ** (order - 1))].copy()
-        out = shorter
-        for k, lang in enumerate(languages):
-            s = texts[lang]
-            at = np.searchsorted(known, contexts(s, order))
-            n = np.bincount(at * a + s[3:], minlength=len(known) * a).reshape(len(known), a).astype(float)
-            total, distinct = n.sum(1, keepdims=True), (n > 0).sum(1, keepdims=True)
-            unseen = np.where(n > 0, 0.0, shorter[:, :, k])
-            mass = unseen.sum(1, keepdims=True)
-            full = mass <= 0  # every symbol has been seen: nothing to escape to
-            with np.errstate(divide="ignore", invalid="ignore"):
-                p = np.where(n > 0, n / np.where(full, total, total + distinct), distinct / (total + distinct) * unseen / mass)
-            out[:, :, k] = np.where(total > 0, p, shorter[:, :, k])
-        probability.append(out)
-        keys.append(known)
+    keys = [np.unique(np.concatenate([contexts(s, order) for s in texts.values()])) for order in range(4)]
     first = np.cumsum([0, *(len(k) for k in keys)])
     node = np.zeros((a, a, a), np.int32)
     node[:, :, keys[1]] = first[1] + np.arange(len(keys[1]), dtype=np.int32)
     node[:, keys[2] // a, keys[2] % a] = first[2] + np.arange(len(keys[2]), dtype=np.int32)
     node.reshape(-1)[keys[3]] = first[3] + np.arange(len(keys[3]), dtype=np.int32)
-    bits = -np.log2(np.concatenate(probability).reshape(-1, len(languages)))
-    bits.reshape(-1, a, len(languages))[:, a - 1] += np.log2(256 - (a - 1)) if a <= 256 else 0
-    return PpmModel(languages, symbol, node.reshape(-1), np.asfortranarray(bits.astype(np.float32)))
+    bits = np.empty((first[-1] * a, len(languages)), np.float32, order="F")
+    more = np.log2(256 - (a - 1)) if a <= 256 else 0.0
+    for k, lang in enumerate(languages):  # one language, some nodes at a time: of doubles, the driver holds little at once
+        s, longest = texts[lang], np.full((1, a), 1.0 / a)
+        for order, known in enumerate(keys):
+            at = np.searchsorted(known, contexts(s, order))
+            by = np.argsort(at, kind="stable")
+            at, symbols = at[by], s[3:][by]
+            last, longest = longest, np.empty((len(known), a)) if order < 3 else None
+            for lo in range(0, len(known), _NODES):
+                own = known[lo : lo + _NODES]
+                shorter = last[np.searchsorted(keys[order - 1], own % a ** (order - 1))] if order else last
+                i, j = np.searchsorted(at, [lo, lo + len(own)])
+                n = np.bincount((at[i:j] - lo) * a + symbols[i:j], minlength=len(own) * a).reshape(len(own), a).astype(float)
+                total, distinct = n.sum(1, keepdims=True), (n > 0).sum(1, keepdims=True)
+                unseen = np.where(n > 0, 0.0, shorter)
+                mass = unseen.sum(1, keepdims=True)
+                full = mass <= 0  # every symbol has been seen: nothing to escape to
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    p = np.where(n > 0, n / np.where(full, total, total + distinct), distinct / (total + distinct) * unseen / mass)
+                p = np.where(total > 0, p, shorter)
+                if longest is not None:
+                    longest[lo : lo + len(own)] = p
+                p = -np.log2(p)
+                p[:, a - 1] += more
+                bits[(first[order] + lo) * a : (first[order] + lo + len(own)) * a, k] = p.reshape(-1)
+    return PpmModel(languages, symbol, node.reshape(-1), bits)
 
 
 def fold(text: str) -> bytes:

@@ -1,5 +1,6 @@
 """Operators that look at each text: fingerprints, licences, secrets, language."""
 
+import tracemalloc
 import hashlib
 import random
 import re
@@ -371,3 +372,13 @@ def test_long_texts_are_scored_as_a_whole():
     a = model.bits.shape[0] // model.node_count
     index = model.node[(s[:-3] * a + s[1:-2]) * a + s[2:-1]] * a + s[3:]
     assert parts == pytest.approx(model.bits[index].astype(float).sum(0), rel=1e-9)
+
+
+def test_training_of_languages_holds_little_of_doubles_at_once():
+    rng = np.random.default_rng(3)
+    samples = {k: [bytes(rng.integers(97, 97 + n, 60_000, dtype=np.uint8))] for k, n in (("a", 26), ("b", 20), ("c", 24), ("d", 22))}
+    tracemalloc.start()
+    model = langid.train(samples)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3.5 * model.bits.nbytes
