@@ -10,6 +10,7 @@ from pathlib import Path
 from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,6 +226,15 @@ def test_pieces_and_packing(docs, rows):
     assert len(bins) <= 1.15 * -(-total // 64)
 
 
+def test_a_shard_reads_its_rows_where_they_lie():
+    """A chunk's columns may be Arrow buffers: neither they nor the terms become objects of Python."""
+    words = [b"a", b"b", b"c", b"\xc3\xa9"]
+    row = topk.chunk([1, 2, 3], ["a b a", "c \u00e9", "b"])
+    own = [topk.Shard([r], b" ".join(words), np.ones(4), 2.0) for r in (dict(row), {k: pa.py_buffer(v) if isinstance(v, bytes) else v for k, v in row.items()})]
+    assert (own[0].docs == own[1].docs).all() and (own[0].at == own[1].at).all() and (own[0].value == own[1].value).all() and (own[0].dense == own[1].dense).all()
+    assert topk._split(b"").to_pylist() == [] and topk._split(b" ".join(words)).to_pylist() == words
+
+
 def test_pieces_keep_the_ids_of_many_words():
     """Without a reason not to, a worker that packs keeps as many words as one that materialises, so few are encoded twice."""
     most = inspect.signature(packing.pieces).parameters["kept_words"].default
