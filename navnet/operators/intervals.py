@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import stored
+
 #: Rows of a bucket; levels of the tree over a key's buckets, of which there are 2**LEVELS at most.
 ROWS, LEVELS = 4096, 10
 _NONE = np.iinfo(np.int64).max
@@ -107,13 +109,15 @@ def first_touching(ranges: DataFrame, data: DataFrame, rows: int = ROWS) -> Data
     kind = dict(ranges.dtypes)["key"]
     ask = ranges.select("key", F.col("begin").cast("double"), F.col("end").cast("double")).distinct()
     own = data.select("key", F.col("begin").cast("double"), F.col("end").cast("double"), F.col("order").cast("bigint")).groupBy("key", "begin", "end").agg(F.min("order").alias("order"))
-    # Bounds: of each key, quantiles of where its rows begin, as many as its rows ask for.
+    # Bounds: of each key, quantiles of where its rows begin, as many as its rows ask for. They are written, since approximate
+    # quantiles come out differently in another order of the partial ones, and ranges and data must have the same buckets.
     steps = [(k + 1) / (1 << LEVELS) for k in range((1 << LEVELS) - 1)]
     both = ask.select("key", "begin").unionByName(own.select("key", "begin"))
     quantiles = both.groupBy("key").agg(F.percentile_approx("begin", steps, 4096).alias("q"), F.count(F.lit(1)).alias("n"))
     many = F.least(F.lit(1 << LEVELS), F.greatest(F.lit(1), F.ceil(F.col("n") / rows))).cast("int")
     pick = F.transform(F.sequence(F.lit(1), F.greatest(many - 1, F.lit(1))), lambda i: F.element_at("q", F.floor(i * (1 << LEVELS) / many).cast("int")))
     bounds = quantiles.select("key", F.when(many > 1, F.array_sort(F.array_distinct(pick))).otherwise(F.expr("cast(array() as array<double>)")).alias("bounds"))
+    bounds = stored(bounds, "bounds")
     ask, own = (df.join(bounds, "key").withColumns({"i": _bucket(F.col("begin")), "j": _bucket(F.col("end"))}).drop("bounds") for df in (ask, own))
 
     # What is asked of buckets as a whole, and what covers a bucket.
