@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from . import geometry as G
 
 LINE = T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
-#: Pairs of segments that line_distances() looks at together.
+#: Pairs of segments that distances() looks at together.
 SEGMENT_PAIRS = 1 << 18
 _XY = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 
@@ -63,28 +63,74 @@ def geodesic_length(lines: pa.Array) -> pa.Array:
     return pc.if_else(own.valid, pa.array(own.lengths(_on_ellipsoid)), pa.scalar(None, pa.float64()))
 
 
-@F.arrow_udf(T.DoubleType())
-def line_distances(ones: pa.Array, others: pa.Array) -> pa.Array:
-    """The least distance between two lines of two points and more, as geometry.line_distance(): every segment of one with every
-    segment of the other, of all pairs of a batch at once, parts of them where they have very many segments."""
-    one, other = Lines(ones), Lines(others)
-    m, n = np.maximum(one.count - 1, 0), np.maximum(other.count - 1, 0)
+def distances(one: Lines, other: Lines, i: np.ndarray, j: np.ndarray, at_most: float = np.inf) -> np.ndarray:
+    """The least distances between pairs of lines of two points and more (the i-th of one, the j-th of other), as
+    geometry.line_distance(): every segment of one with every segment of the other whose boxes are not farther apart than
+    at_most, of many pairs at once, parts of them where they have very many segments. Infinite, or any number over at_most,
+    where there is none that near."""
+    boxes = [[(np.minimum(v[:-1], v[1:]), np.maximum(v[:-1], v[1:])) for v in (own.x, own.y)] for own in (one, other)]
+    m, n = np.maximum(one.count[i] - 1, 0), np.maximum(other.count[j] - 1, 0)
     out = np.full(len(m), np.inf)
     ends = np.cumsum(m * n)
     at = 0
     while at < len(m):
         stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SEGMENT_PAIRS, side="right")))
         pair = np.repeat(np.arange(at, stop), m[at:stop])
-        i = np.repeat(one.first[at:stop], m[at:stop]) + np.arange(len(pair)) - np.repeat(np.cumsum(m[at:stop]) - m[at:stop], m[at:stop])
+        own = np.repeat(one.first[i[at:stop]], m[at:stop]) + np.arange(len(pair)) - np.repeat(np.cumsum(m[at:stop]) - m[at:stop], m[at:stop])
         # For each segment of one, runs of the other's.
         for low in range(0, int(n[at:stop].max(initial=0)), max(1, SEGMENT_PAIRS // max(1, len(pair)))):
             high = np.minimum(n[pair], low + max(1, SEGMENT_PAIRS // max(1, len(pair))))
-            own = np.maximum(high - low, 0)
-            p, a = np.repeat(pair, own), np.repeat(i, own)
-            b = other.first[p] + low + np.arange(len(p)) - np.repeat(np.cumsum(own) - own, own)
-            np.minimum.at(out, p, _apart(*(v[k] for v, k in ((one.x, a), (one.y, a), (one.x, a + 1), (one.y, a + 1), (other.x, b), (other.y, b), (other.x, b + 1), (other.y, b + 1)))))
+            size = np.maximum(high - low, 0)
+            p, a = np.repeat(pair, size), np.repeat(own, size)
+            b = other.first[j[p]] + low + np.arange(len(p)) - np.repeat(np.cumsum(size) - size, size)
+            for (low1, high1), (low2, high2) in zip(*boxes, strict=True) if at_most < np.inf else ():
+                near = np.flatnonzero((low1[a] - high2[b] <= at_most) & (low2[b] - high1[a] <= at_most))
+                p, a, b = p[near], a[near], b[near]
+            apart = _apart(*(v[k] for v, k in ((one.x, a), (one.y, a), (one.x, a + 1), (one.y, a + 1), (other.x, b), (other.y, b), (other.x, b + 1), (other.y, b + 1))))
+            if len(p):
+                first = np.flatnonzero(np.r_[True, p[1:] != p[:-1]])
+                out[p[first]] = np.minimum(out[p[first]], np.minimum.reduceat(apart, first))
         at = stop
-    return pa.array(out, mask=(np.isinf(out) | np.isnan(out)))
+    return np.where(np.isnan(out), np.inf, out)
+
+
+class Crossings:
+    """Which lines of two batches cross, of blocks of all pairs: lines of few points, as columns of first points, second points
+    and so on (a shorter line's last point stands again, which crosses nothing)."""
+
+    MOST = 8
+
+    def __init__(self, one: Lines, other: Lines) -> None:
+        self.sides = []
+        for own in (one, other):
+            k = own.first + np.minimum(np.arange(int(own.count.max(initial=0)))[:, None], own.count - 1)
+            self.sides.append((own.x[k], own.y[k]))
+
+    @classmethod
+    def fit(cls, one: Lines, other: Lines) -> bool:
+        return 1 < min(one.count.min(initial=2), other.count.min(initial=2)) and max(one.count.max(initial=0), other.count.max(initial=0)) <= cls.MOST
+
+    def of(self, part: slice) -> np.ndarray:
+        """A row for each line of this part of one, a column for each line of other."""
+        (px, py), (qx, qy) = self.sides
+        px, py = px[:, part, None], py[:, part, None]
+
+        def turns(ax, ay, bx, by, points) -> list[tuple[np.ndarray, np.ndarray]]:
+            """Whether points stand on the one and on the other side of segments a-b."""
+            vx, vy = bx - ax, by - ay
+            side = [vx * (y - ay) - vy * (x - ax) for x, y in points]
+            return [(t < 0, t > 0) for t in side]
+
+        def parted(t: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+            return [(a[0] & b[1]) | (a[1] & b[0]) for a, b in zip(t, t[1:], strict=False)]
+
+        out = np.zeros((px.shape[1], qx.shape[1]), bool)
+        ps, qs = list(zip(px, py, strict=True)), list(zip(qx, qy, strict=True))
+        theirs = [parted(turns(*a, *b, ps)) for a, b in zip(qs, qs[1:], strict=False)]  # [their segment][our segment]
+        for k, (a, b) in enumerate(zip(ps, ps[1:], strict=False)):
+            for mine, own in zip(parted(turns(*a, *b, qs)), theirs, strict=True):
+                out |= mine & own[k]
+        return out
 
 
 def _apart(ax, ay, bx, by, cx, cy, dx, dy) -> np.ndarray:
